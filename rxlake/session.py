@@ -46,16 +46,28 @@ def get_spark(
     leave them unset and let AQE size shuffles from
     ``advisoryPartitionSizeInBytes``.
     """
+    from pyspark import SparkConf
+
+    given = SparkConf()  # spark-submit / spark-defaults values, if any
     builder = SparkSession.builder.appName(app)
-    if master:
+    if master and not given.contains("spark.master"):
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    active = SparkSession.getActiveSession()
     for key, value in conf.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+        if given.contains(key) and key not in (extra or {}):
+            continue
+        if active is not None:
+            try:
+                active.conf.set(key, value)
+            except Exception:  # noqa: BLE001 - static conf of a running session
+                pass
+        else:
+            builder = builder.config(key, value)
+    spark = active or builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -93,18 +105,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local helpers can test for existence."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop FileSystem of ``path``."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS is the public way
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    return bool(fs.exists(hpath))
-
-
 def default_sf_dir() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
