@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from rxlake.functions.text import terms_statement
 from rxlake.operators.joins import bounded_broadcast
 from rxlake.schemas import SEVERITY_ORDER
+from rxlake.session import path_exists
 
 LABEL = "severity_label"
 DEFAULT_SEED = 42
@@ -157,12 +158,11 @@ def score_severity(model: PipelineModel, df: DataFrame, text_col: str = "narrati
 
 def load_or_train(path: str, train: DataFrame, **kw) -> PipelineModel:
     """K6: load the saved pipeline, or train and save it when missing."""
-    try:
+    if path_exists(train.sparkSession, f"{path.rstrip('/')}/metadata"):
         return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - missing/unreadable model -> retrain
-        model = train_severity(train, **kw)
-        model.write().overwrite().save(path)
-        return model
+    model = train_severity(train, **kw)
+    model.write().overwrite().save(path)
+    return model
 
 
 # ---------------------------------------------------------------- A9, A10

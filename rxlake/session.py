@@ -107,3 +107,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def default_sf_dir() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem that owns ``path``
+    (works for local, HDFS and object-store URIs alike)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS has no Python API
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return bool(fs.exists(hpath))
