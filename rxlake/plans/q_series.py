@@ -60,10 +60,9 @@ def _hw_ctes() -> dict[str, str]:
         "fits": f"""SELECT drug_code, region, 'bt' AS fit, n - {H} AS len, last_month, n, y FROM sizes
   UNION ALL SELECT drug_code, region, 'fin' AS fit, n AS len, last_month, n, y FROM sizes""",
         "init": f"""SELECT drug_code, region, fit, len, last_month, n,
-       list_sum(y[1:{M}]) / {M} AS l0,
-       (list_sum(y[{M + 1}:{2 * M}]) - list_sum(y[1:{M}])) / {M * M} AS b0,
-       list_transform(y[1:{M}], lambda v: v - list_sum(y[1:{M}]) / {M}) AS s0
-  FROM fits""",
+       l0, b0, list_transform(y[1:{M}], lambda v, i: v - (l0 + i * b0)) AS s0
+  FROM (SELECT *, list_sum(y[1:{M}]) / {M} - b0 * CAST({(M + 1) / 2} AS DOUBLE) AS l0
+          FROM (SELECT *, (list_sum(y[{M + 1}:{2 * M}]) - list_sum(y[1:{M}])) / {M * M} AS b0 FROM fits))""",
         "grid": _grid_sql(),
         "hw": f"""SELECT i.drug_code, i.region, i.fit, i.len, i.last_month, i.n, g.alpha, g.beta, g.gamma,
        0 AS t, i.l0 AS l, i.b0 AS b, i.s0 AS s, CAST(0.0 AS DOUBLE) AS sse

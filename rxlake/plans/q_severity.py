@@ -15,7 +15,6 @@ from rxlake.operators import severity as sev
 from rxlake.plans.registry import register
 from rxlake.plans.staged import Staged, with_ctes
 from rxlake.schemas import SEVERITY_ORDER
-from rxlake.session import scratch_path
 from rxlake.sources import adapters
 from rxlake.sources.tables import Tables
 from rxlake.streaming.triage_stream import with_signal
@@ -107,37 +106,58 @@ def m8_sample_cases(spark, sf_dir):
     return sev.sample_cases(_narratives(spark, sf_dir), n=10, seed=1).select("case_id", "severity_label")
 
 
-def _split_model(spark, sf_dir):
-    split = sev.stratified_split(_narratives(spark, sf_dir), seed=SEED)
-    model = sev.train_severity(split.filter("split = 'train'"))
-    return split, model
+def model_path(spark, sf_dir) -> str:
+    """Stable model location per input directory under the shared folder
+    (K6: the first scoring run trains and saves, later runs load)."""
+    import hashlib
+
+    from rxlake.session import ensure_checkpoint_dir
+
+    key = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/severity-{key}"
+
+
+def _split(spark, sf_dir):
+    return sev.stratified_split(_narratives(spark, sf_dir), seed=SEED)
+
+
+def _train_and_save(spark, sf_dir):
+    """Train on the split's train rows and save (the reference's train mode)."""
+    model = sev.train_severity(_split(spark, sf_dir).filter("split = 'train'"))
+    model.write().overwrite().save(model_path(spark, sf_dir))
+    return model
+
+
+def _model(spark, sf_dir):
+    """Saved model, trained on the train split when missing (score mode)."""
+    return sev.load_or_train(model_path(spark, sf_dir), _split(spark, sf_dir).filter("split = 'train'"))
 
 
 @register("m5_train_severity")
 def m5_train_severity(spark, sf_dir):
-    """Train on the split's train rows; return holdout predictions."""
-    split, model = _split_model(spark, sf_dir)
-    return sev.score_severity(model, split.filter("split = 'test'")).select(
+    """Train (and save) on the train split; return holdout predictions."""
+    model = _train_and_save(spark, sf_dir)
+    return sev.score_severity(model, _split(spark, sf_dir).filter("split = 'test'")).select(
         "case_id", "severity_label", "predicted_severity"
     )
 
 
 @register("a10_classification_report")
 def a10_classification_report(spark, sf_dir):
-    split, model = _split_model(spark, sf_dir)
-    return sev.classification_report(sev.score_severity(model, split.filter("split = 'test'")))
+    """Holdout report of the saved model (trained when missing)."""
+    holdout = _split(spark, sf_dir).filter("split = 'test'")
+    return sev.classification_report(sev.score_severity(_model(spark, sf_dir), holdout))
 
 
 def _scored_all(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    model = sev.load_or_train(scratch_path(spark, "severity-model"), _narratives(spark, sf_dir))
-    scored = sev.score_severity(model, adapters.narratives(t))
+    scored = sev.score_severity(_model(spark, sf_dir), adapters.narratives(t))
     return scored.join(_narratives(spark, sf_dir).select("case_id", "severity_label"), "case_id", "left")
 
 
 @register("m7_score_severity")
 def m7_score_severity(spark, sf_dir):
-    """Score every document (train first when no saved model exists)."""
+    """Score every document with the saved model (trained first if missing)."""
     return _scored_all(spark, sf_dir).select("case_id", "severity_label", "predicted_severity")
 
 

@@ -40,14 +40,28 @@ def read_feed(spark: SparkSession, path: str, feed: str, mode: str = "FAILFAST")
     return _csv(spark, FEEDS[feed].schema, mode).csv(path)
 
 
-def quarantine_feed(spark: SparkSession, path: str, feed: str) -> tuple[DataFrame, DataFrame]:
-    """Split a CSV feed into (good rows, quarantined raw lines + file)."""
+def quarantine_feed(
+    spark: SparkSession, path: str, feed: str, work_path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Split a CSV feed into (good rows, quarantined rows with the raw
+    line in ``_corrupt_record`` and the file in ``source_key``).
+
+    The parse is written once as Parquet under the shared folder and both
+    sides are read from it: Spark refuses queries on raw CSV that reference
+    only the corrupt-record column (e.g. a count of bad rows), and the
+    written parse is a cut point that survives executor loss.
+    """
+    from rxlake.session import scratch_path
+
     schema = StructType([*FEEDS[feed].schema.fields, StructField(CORRUPT_COL, StringType(), True)])
-    df = _csv(spark, schema, "PERMISSIVE", corrupt=True).csv(path).withColumn(
+    parsed = _csv(spark, schema, "PERMISSIVE", corrupt=True).csv(path).withColumn(
         "source_key", F.col("_metadata.file_path")
     )
+    work_path = work_path or scratch_path(spark, f"parsed-{feed}")
+    parsed.write.mode("overwrite").parquet(work_path)
+    df = spark.read.parquet(work_path)
     good = df.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL, "source_key")
-    bad = df.filter(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL, "source_key")
+    bad = df.filter(F.col(CORRUPT_COL).isNotNull())
     return good, bad
 
 
