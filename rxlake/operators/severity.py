@@ -15,6 +15,7 @@ holding each class's cut, and only rows of that one bucket are ranked.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -36,6 +37,7 @@ MAX_ITER = 1000
 TOL = 1e-4  # the reference solver's default tolerance
 MIN_DF = 2
 VOCAB_CAP = 1 << 20  # safety bound on driver-side coefficients; far above the observed vocabulary
+ROWS_PER_TRAIN_TASK = 20_000
 
 
 def sample_key(id_col: str, seed: int) -> Column:
@@ -134,8 +136,11 @@ def train_severity(
         idf = IDF(inputCol="tf", outputCol="_idf").fit(tf).idf.toArray()
         scale = ElementwiseProduct(scalingVec=Vectors.dense(idf + 1.0), inputCol="tf", outputCol="tfidf")
         norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
-        feats = norm.transform(scale.transform(tf))
         n = tf.count()
+        # every L-BFGS iteration ships one (classes x vocabulary) gradient per
+        # partition: size partitions by rows, not by the upstream layout
+        parts = max(1, min(tf.rdd.getNumPartitions(), math.ceil(n / ROWS_PER_TRAIN_TASK)))
+        feats = norm.transform(scale.transform(tf)).coalesce(parts)
         lr = LogisticRegression(
             family="multinomial", maxIter=max_iter, tol=TOL, regParam=1.0 / (reg_c * max(n, 1)),
             elasticNetParam=0.0, standardization=False, weightCol="weight",
