@@ -41,14 +41,23 @@ def curated_adverse_events(
     counts = active_trials_by_drug(trials, statuses)
     if broadcast_counts:
         counts = bounded_broadcast(counts)
-    return (
-        events.join(counts, on="drug_code", how="left")
-        .withColumn("active_trial_count", default_zero("active_trial_count").cast("bigint"))
-        .withColumn("is_pediatric", is_pediatric())
-        .withColumn("is_geriatric", is_geriatric())
+    return with_age_flags(
+        events.join(counts, on="drug_code", how="left").withColumn(
+            "active_trial_count", default_zero("active_trial_count").cast("bigint")
+        )
     )
 
 
+def with_age_flags(events: DataFrame) -> DataFrame:
+    """P9 flags alone: the part of J1 that does not need trial context.
+
+    J1's join is a LEFT join on a key that is unique on the right, so it
+    neither adds nor drops cases; consumers that never read
+    ``active_trial_count`` use this and skip the trial scan altogether.
+    """
+    return events.withColumn("is_pediatric", is_pediatric()).withColumn("is_geriatric", is_geriatric())
+
+
 def shipments_monthly(shipments: DataFrame) -> DataFrame:
     """A2: units shipped per drug x region x month (DATE month key)."""
     return shipments.groupBy(

@@ -23,6 +23,13 @@ def stg_adverse_events(curated: DataFrame) -> DataFrame:
     return curated.filter(F.col("case_id").isNotNull()).select(*STG_AE_COLUMNS)
 
 
+def stg_cases(cases: DataFrame) -> DataFrame:
+    """P3 + P4 without the trial-context column (see ``curate.with_age_flags``)."""
+    return cases.filter(F.col("case_id").isNotNull()).select(
+        *[c for c in STG_AE_COLUMNS if c != "active_trial_count"]
+    )
+
+
 def stg_supply_demand(curated: DataFrame) -> DataFrame:
     """P3 + P4 + P7: six columns, counts coalesced, variance passed through."""
     return curated.filter(F.col("drug_code").isNotNull()).select(

@@ -13,7 +13,7 @@ from rxlake.schemas import AGE_RANGE, SERIOUS_SEVERITIES, SEVERITY_ORDER
 
 @register("d1_kpi_cases", with_ctes("SELECT count(*) AS total_cases FROM stg_ae"))
 def d1_kpi_cases(spark, sf_dir):
-    return kpis.kpi_cases(Staged(spark, sf_dir).stg_events)
+    return kpis.kpi_cases(Staged(spark, sf_dir).stg_cases)
 
 
 @register(
@@ -22,7 +22,7 @@ def d1_kpi_cases(spark, sf_dir):
               "AS serious_rate_pct FROM stg_ae"),
 )
 def d2_kpi_serious_rate(spark, sf_dir):
-    return kpis.kpi_serious_rate(Staged(spark, sf_dir).stg_events)
+    return kpis.kpi_serious_rate(Staged(spark, sf_dir).stg_cases)
 
 
 @register(
@@ -31,7 +31,7 @@ def d2_kpi_serious_rate(spark, sf_dir):
               "AS life_threatening_cases FROM stg_ae"),
 )
 def d3_kpi_life_threatening(spark, sf_dir):
-    return kpis.kpi_life_threatening(Staged(spark, sf_dir).stg_events)
+    return kpis.kpi_life_threatening(Staged(spark, sf_dir).stg_cases)
 
 
 @register(
@@ -60,12 +60,12 @@ def d7_kpi_active_trials(spark, sf_dir):
 @register("d9_severity_distribution",
           with_ctes("SELECT severity_label, count(*) AS cases FROM stg_ae GROUP BY 1"))
 def d9_severity_distribution(spark, sf_dir):
-    return kpis.severity_distribution(Staged(spark, sf_dir).stg_events)
+    return kpis.severity_distribution(Staged(spark, sf_dir).stg_cases)
 
 
 @register("d10_cases_by_region", with_ctes("SELECT region, count(*) AS cases FROM stg_ae GROUP BY 1"))
 def d10_cases_by_region(spark, sf_dir):
-    return kpis.cases_by_region(Staged(spark, sf_dir).stg_events)
+    return kpis.cases_by_region(Staged(spark, sf_dir).stg_cases)
 
 
 @register(
@@ -74,7 +74,7 @@ def d10_cases_by_region(spark, sf_dir):
               "FROM stg_ae GROUP BY 1"),
 )
 def d11_monthly_case_volume(spark, sf_dir):
-    return kpis.monthly_case_volume(Staged(spark, sf_dir).stg_events)
+    return kpis.monthly_case_volume(Staged(spark, sf_dir).stg_cases)
 
 
 @register(
@@ -82,7 +82,7 @@ def d11_monthly_case_volume(spark, sf_dir):
     with_ctes("SELECT drug_code, count(*) AS cases FROM stg_ae GROUP BY 1 ORDER BY cases DESC, drug_code LIMIT 10"),
 )
 def d12_top_drugs_by_cases(spark, sf_dir):
-    return kpis.top_drugs_by_cases(Staged(spark, sf_dir).stg_events, k=10)
+    return kpis.top_drugs_by_cases(Staged(spark, sf_dir).stg_cases, k=10)
 
 
 @register(

@@ -69,7 +69,7 @@ A3_SQL = """SELECT drug_code, region, CAST(date_trunc('month', report_date) AS D
 
 @register("a3_fct_adverse_events_monthly", with_ctes(A3_SQL))
 def a3_fct_adverse_events_monthly(spark, sf_dir):
-    return marts.fct_adverse_events_monthly(Staged(spark, sf_dir).stg_events)
+    return marts.fct_adverse_events_monthly(Staged(spark, sf_dir).stg_cases)
 
 
 @register("a2_shipments_monthly", with_ctes("SELECT * FROM ship_monthly"))
@@ -106,7 +106,7 @@ def p18_fct_drug_demand(spark, sf_dir):
 
 @register("a4_distinct_drugs", with_ctes("SELECT DISTINCT drug_code, drug_name FROM stg_ae"))
 def a4_distinct_drugs(spark, sf_dir):
-    return marts.distinct_drugs(Staged(spark, sf_dir).stg_events)
+    return marts.distinct_drugs(Staged(spark, sf_dir).stg_cases)
 
 
 J3_SQL = """SELECT coalesce(ae.drug_code, sd.drug_code) AS drug_code, ae.drug_name
@@ -117,7 +117,7 @@ J3_SQL = """SELECT coalesce(ae.drug_code, sd.drug_code) AS drug_code, ae.drug_na
 @register("j3_dim_drugs", with_ctes(J3_SQL))
 def j3_dim_drugs(spark, sf_dir):
     s = Staged(spark, sf_dir)
-    return marts.dim_drugs(s.stg_events, s.stg_supply_demand)
+    return marts.dim_drugs(s.stg_cases, s.stg_supply_demand)
 
 
 @register(
@@ -137,7 +137,7 @@ def j4_orphan_drug_codes(spark, sf_dir):
 )
 def j4_drugs_without_trials(spark, sf_dir):
     s = Staged(spark, sf_dir)
-    return quality.orphan_codes(s.stg_events, s.trials, "drug_code")
+    return quality.orphan_codes(s.stg_cases, s.trials, "drug_code")
 
 
 P2_SQL = with_ctes("SELECT * FROM stg_trials WHERE status IN ('Active', 'Recruiting')")

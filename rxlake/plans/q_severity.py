@@ -223,5 +223,5 @@ TRIAGE_PAIRS = f"(SELECT severity_label, {triage_signal_sql()} AS severity_signa
 )
 def a10_report_triage_vs_label(spark, sf_dir):
     """A10 on the real-time rule vs the labelled severity of staged cases."""
-    stg = Staged(spark, sf_dir).stg_events
+    stg = Staged(spark, sf_dir).stg_cases
     return sev.classification_report(with_signal(stg), y_pred="severity_signal")

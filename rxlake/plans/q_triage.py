@@ -100,5 +100,5 @@ J5_SQL = with_ctes(f"""SELECT coalesce(a.case_id, c.case_id) AS case_id, a.sever
 
 @register("j5_reconcile_alerts", J5_SQL)
 def j5_reconcile_alerts(spark, sf_dir):
-    stg = Staged(spark, sf_dir).stg_events
+    stg = Staged(spark, sf_dir).stg_cases
     return ts.reconcile_alerts(ts.alerts(stg), stg)

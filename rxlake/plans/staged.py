@@ -83,6 +83,11 @@ class Staged:
     def stg_events(self) -> DataFrame:
         return marts.stg_adverse_events(self.curated_events)
 
+    @cached_property
+    def stg_cases(self) -> DataFrame:
+        """Staged cases for consumers that never read trial context (no J1 join)."""
+        return marts.stg_cases(curate.with_age_flags(self.events))
+
     @cached_property
     def stg_supply_demand(self) -> DataFrame:
         return marts.stg_supply_demand(self.curated_supply_demand)
