@@ -17,7 +17,8 @@ def spark():
     from rxlake.session import get_spark
 
     s = get_spark(app="rxlake-tests", master="local[*]", shuffle_partitions=8,
-                  extra={"spark.driver.memory": "8g"})
+                  extra={"spark.driver.memory": "8g",
+                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="rxlake-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
