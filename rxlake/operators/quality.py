@@ -15,7 +15,7 @@ ignore nulls (dbt reading); ``range``, ``non_negative``, ``positive`` and
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +29,6 @@ class Check:
     values: tuple = ()  # accepted values / (lo, hi) / implication antecedent values
     other: str = ""  # implies: consequent column; subset: (table) name of the superset
     other_column: str = ""
-    extra: dict = field(default_factory=dict)
 
     @property
     def name(self) -> str:
@@ -106,6 +105,23 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
     return out.withColumn("passed", F.col("failing_rows") == 0)
 
 
+def failures(report: DataFrame) -> DataFrame:
+    """Rows of a report whose check failed."""
+    return report.filter(~F.col("passed"))
+
+
+def assert_passed(report: DataFrame) -> None:
+    """Contract-test form: raise listing every failed check.
+
+    The report has one row per check, so collecting it is bounded by the
+    size of the suite, not the data.
+    """
+    bad = failures(report).collect()
+    if bad:
+        lines = [f"{r.check}({r.table_name}.{r.column_name}): {r.failing_rows} failing" for r in bad]
+        raise AssertionError("data-quality checks failed:\n" + "\n".join(lines))
+
+
 def _single(chk: Check, counted: DataFrame) -> DataFrame:
     return counted.select(
         F.lit(chk.name).alias("check"),

@@ -38,6 +38,9 @@ DEFAULT_CONF = {
 }
 
 
+CLUSTER_INITIAL_SHUFFLE_PARTITIONS = 16384
+
+
 def get_spark(
     app: str = "rxlake",
     master: str | None = None,
@@ -59,6 +62,11 @@ def get_spark(
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not given.contains("spark.sql.shuffle.partitions"):
+        # cluster run without an explicit count: start wide (the default 200
+        # would give multi-GB reducers at 100 TB); AQE coalesces small
+        # shuffles back to ~advisoryPartitionSizeInBytes each
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS)
     conf.update(extra or {})
     active = SparkSession.getActiveSession()
     for key, value in conf.items():

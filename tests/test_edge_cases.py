@@ -314,3 +314,10 @@ def test_table_view_zone_and_file_sinks(spark, tmp_dir):
     assert sorted((r.case_id, r.region) for r in back.collect()) == [("1", "EMEA"), ("2", None), ("3", "APAC")]
     out = writers.write_file(df.select("case_id", "report_date"), os.path.join(tmp_dir, "csv"))
     assert spark.read.option("header", True).csv(out).count() == 3
+
+
+def test_assert_passed_lists_failures(spark):
+    df = spark.createDataFrame([("A",), ("A",), (None,)], "id string")
+    with pytest.raises(AssertionError, match=r"unique\(t.id\): 1 failing"):
+        quality.assert_passed(quality.run_checks({"t": df}, [Check("unique", "t", "id"), Check("not_null", "t", "id")]))
+    quality.assert_passed(quality.run_checks({"t": df.dropna()}, [Check("not_null", "t", "id")]))
