@@ -202,9 +202,10 @@ def _summary_sql() -> str:
     per = "(SELECT drug_code, region, first(backtest_mape) AS backtest_mape, first(backtest_rmse) AS backtest_rmse " \
           "FROM forecast GROUP BY 1, 2)"
     stats = [
-        ("count", "CAST(count({c}) AS DOUBLE)"), ("mean", "avg({c})"), ("std", "stddev_samp({c})"),
-        ("min", "min({c})"), ("25%", "quantile_cont({c}, 0.25)"), ("50%", "quantile_cont({c}, 0.5)"),
-        ("75%", "quantile_cont({c}, 0.75)"), ("max", "max({c})"),
+        ("count", "CAST(count({c}) AS DOUBLE)"), ("mean", "round(avg({c}), 6)"),
+        ("std", "round(stddev_samp({c}), 6)"), ("min", "min({c})"),
+        ("25%", "round(quantile_cont({c}, 0.25), 6)"), ("50%", "round(quantile_cont({c}, 0.5), 6)"),
+        ("75%", "round(quantile_cont({c}, 0.75), 6)"), ("max", "max({c})"),
     ]
     parts = [
         f"SELECT '{s}' AS stat, {e.format(c='backtest_mape')} AS backtest_mape, "

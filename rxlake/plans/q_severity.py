@@ -63,7 +63,7 @@ def m2_vocabulary(spark, sf_dir):
 
 @register(
     "m3_smooth_idf",
-    f"SELECT term, doc_freq, ln((1 + (SELECT count(*) FROM {NARR} n)) / (1 + doc_freq)) + 1 AS idf "
+    f"SELECT term, doc_freq, round(ln((1 + (SELECT count(*) FROM {NARR} n)) / (1 + doc_freq)) + 1, 6) AS idf "
     f"FROM ({DF_SQL}) WHERE doc_freq >= {sev.MIN_DF}",
 )
 def m3_smooth_idf(spark, sf_dir):
@@ -71,8 +71,10 @@ def m3_smooth_idf(spark, sf_dir):
     (computed once, inlined as a value — no join)."""
     n_docs = _narratives(spark, sf_dir).select(F.count(F.lit(1))).scalar()
     vocab = _doc_freq(spark, sf_dir).filter(F.col("doc_freq") >= sev.MIN_DF)
+    # reported to 6 decimals: JVM and C ``ln`` may differ in the last bit
     return vocab.withColumn(
-        "idf", F.ln((F.lit(1) + n_docs).cast("double") / (F.lit(1) + F.col("doc_freq")).cast("double")) + 1
+        "idf",
+        F.round(F.ln((F.lit(1) + n_docs).cast("double") / (F.lit(1) + F.col("doc_freq")).cast("double")) + 1, 6),
     )
 
 
