@@ -96,7 +96,7 @@ def d14_monthly_revenue(spark, sf_dir):
 
 
 # ---- A7 load audit -----------------------------------------------------------
-def _audit_sql() -> str:
+def audit_sql() -> str:
     rows = []
     for feed, raw, req, out in (
         ("clinical_trials", "trials_feed", "trial_id IS NOT NULL AND drug_code IS NOT NULL", "stg_trials"),
@@ -114,7 +114,7 @@ def _audit_sql() -> str:
     return with_ctes("\nUNION ALL\n".join(rows))
 
 
-@register("a7_load_audit", _audit_sql())
+@register("a7_load_audit", audit_sql())
 def a7_load_audit(spark, sf_dir):
     return load_audit(Staged(spark, sf_dir).feeds())
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from rxlake import schemas
 from rxlake.plans.daily import run_daily
-from rxlake.plans.q_board import _audit_sql
+from rxlake.plans.q_board import audit_sql
 from rxlake.plans.registry import register
 from rxlake.plans.staged import Staged, with_ctes
 from rxlake.session import scratch_path
@@ -49,7 +49,7 @@ def s3_zone_round_trip(spark, sf_dir):
     return read_zone(spark, path, df.columns)
 
 
-@register("x1_daily_audit", _audit_sql())
+@register("x1_daily_audit", audit_sql())
 def x1_daily_audit(spark, sf_dir):
     """Run the whole daily job into a fresh shared folder; return its audit
     (rows in / out per feed, gathered by Observation during the writes)."""

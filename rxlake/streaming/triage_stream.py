@@ -64,9 +64,15 @@ def start_triage(
     available_now: bool = False,
     processing_time: str = "10 seconds",
     sink_format: str = "parquet",
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """ST1: start the triage stream (``availableNow`` drains and stops)."""
-    stream = alerts(read_alert_stream(spark, source_path, layout=layout), terms, outcome_terms)
+    """ST1: start the triage stream (``availableNow`` drains and stops).
+
+    ``max_files_per_trigger`` bounds each micro-batch when a large backlog
+    of report files lands at once (``availableNow`` still drains it all,
+    batch by batch)."""
+    source = read_alert_stream(spark, source_path, layout=layout, max_files_per_trigger=max_files_per_trigger)
+    stream = alerts(source, terms, outcome_terms)
     writer = (
         stream.writeStream.format(sink_format)
         .option("path", sink_path)

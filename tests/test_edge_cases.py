@@ -5,8 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import Row
-from pyspark.sql import functions as F
 
 from rxlake import schemas
 from rxlake.operators import clean, curate, kpis, marts, quality, series, severity
@@ -164,7 +162,8 @@ def test_stream_matches_batch(spark, tmp_dir):
     _drop(src, "one.json", REPORTS[0])
     _drop(src, "batch.json", REPORTS[1:])
     sink = os.path.join(tmp_dir, "out")
-    q = ts.start_triage(spark, src, sink, checkpoint=os.path.join(tmp_dir, "ck"), available_now=True)
+    q = ts.start_triage(spark, src, sink, checkpoint=os.path.join(tmp_dir, "ck"), available_now=True,
+                        max_files_per_trigger=1)
     q.awaitTermination()
     streamed = sorted(tuple(r) for r in spark.read.parquet(sink).select("case_id", "severity_signal", "message").collect())
     batch = sorted(tuple(r) for r in ts.alerts(alert_src.read_alert_batch(spark, src))
