@@ -4,7 +4,8 @@ One Spark application.  Each zone write is a cut point: the next stage
 reads the written zone back (S3), so lineage never spans the whole job and
 executor loss only recomputes the current stage.  Row audits (A7) come from
 ``Observation`` metrics gathered during the staging writes themselves — no
-extra scans of the raw feeds.
+extra scans of the raw feeds; curated row counts (A8) are observed the
+same way during the curated writes.
 """
 
 from __future__ import annotations
@@ -69,8 +70,13 @@ def run_daily(
     # 2. staging -> curated
     cae = curate.curated_adverse_events(staged("adverse_events"), staged("clinical_trials"))
     csd = curate.curated_supply_demand(staged("drug_shipments"), staged("drug_sales"))
-    run.paths["curated.adverse_events"] = write_zone(cae, f"{out_dir}/curated/adverse_events")
-    run.paths["curated.supply_demand"] = write_zone(csd, f"{out_dir}/curated/supply_demand")
+    curated_counts = {}
+    for name, df in (("adverse_events", cae), ("supply_demand", csd)):
+        obs = Observation(f"curated_{name}")
+        run.paths[f"curated.{name}"] = write_zone(
+            df.observe(obs, F.count(F.lit(1)).alias("n")), f"{out_dir}/curated/{name}"
+        )
+        curated_counts[f"curated.{name}"] = int(obs.get["n"])  # A8
 
     # 3. curated -> staging views -> marts (K3) + model tests (Q)
     stg_ae = marts.stg_adverse_events(read_zone(spark, run.paths["curated.adverse_events"]))
@@ -107,6 +113,6 @@ def run_daily(
 
     rows = [
         (feed, n_in, n_out, n_in - n_req, n_req - n_out, n_in - n_out) for feed, (n_in, n_req, n_out) in counts.items()
-    ]
+    ] + [(name, n, n, 0, 0, 0) for name, n in curated_counts.items()]
     run.audit = spark.createDataFrame(rows, AUDIT_SCHEMA)
     return run

@@ -49,10 +49,19 @@ def s3_zone_round_trip(spark, sf_dir):
     return read_zone(spark, path, df.columns)
 
 
-@register("x1_daily_audit", audit_sql())
+DAILY_AUDIT_SQL = audit_sql().replace(
+    "\nUNION ALL\nSELECT 'drug_sales'",
+    "\nUNION ALL\nSELECT 'curated.adverse_events', n, n, 0, 0, 0 FROM (SELECT count(*) AS n FROM curated_ae)"
+    "\nUNION ALL\nSELECT 'curated.supply_demand', n, n, 0, 0, 0 FROM (SELECT count(*) AS n FROM curated_sd)"
+    "\nUNION ALL\nSELECT 'drug_sales'",
+)
+
+
+@register("x1_daily_audit", DAILY_AUDIT_SQL)
 def x1_daily_audit(spark, sf_dir):
     """Run the whole daily job into a fresh shared folder; return its audit
-    (rows in / out per feed, gathered by Observation during the writes)."""
+    (rows in / out per feed and curated row counts, gathered by Observation
+    during the writes)."""
     s = Staged(spark, sf_dir)
     t = s.tables
     run = run_daily(
