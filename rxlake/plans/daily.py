@@ -53,6 +53,7 @@ def run_daily(
     narratives: DataFrame | None = None,
     series_rows: DataFrame | None = None,
     model_path: str | None = None,
+    complete_through: str | None = None,
 ) -> DailyRun:
     run = DailyRun()
     out_dir = out_dir.rstrip("/")
@@ -107,7 +108,8 @@ def run_daily(
 
     # 5. demand forecast (TS1-TS7, K5)
     if series_rows is not None:
-        filled = series.interpolate(series.regularize_months(series.monthly_units(series_rows)))
+        monthly = series.monthly_units(series_rows, complete_through=complete_through)
+        filled = series.interpolate(series.regularize_months(monthly))
         fc = series.demand_forecast(filled).withColumn("forecast_month", F.date_format("forecast_month", "yyyy-MM-dd"))
         run.paths["forecast"] = write_file(fc, f"{out_dir}/forecast/demand_forecast")
 

@@ -323,11 +323,11 @@ CASE_REPORT_OUTCOME_TERMS = ["error"]
 def shipment_units(t: Tables) -> DataFrame:
     """Shipped units as (series keys, month, units) rows before monthly sum.
 
-    Series = part type x supplier region; trimmed before the ragged tail.
+    Series = part type x supplier region.  The driver data has a ragged tail
+    (orders stop before shipments do); forecasts use
+    ``monthly_units(..., complete_through=SERIES_END_EXCLUSIVE)``.
     """
-    li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate").filter(
-        F.col("l_shipdate") < F.lit(SERIES_END_EXCLUSIVE).cast("timestamp")
-    )
+    li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
     part = t.part.select("p_partkey", "p_type")
     sup = t.supplier.select("s_suppkey", "s_nationkey")
     g = geo(t)

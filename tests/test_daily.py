@@ -18,7 +18,8 @@ def same_rows(a, b):
 
 def test_daily_zones_match_queries(spark, tmp_dir):
     s = Staged(spark, SMALL)
-    run = run_daily(spark, s.feeds(), tmp_dir, series_rows=adapters.shipment_units(s.tables))
+    run = run_daily(spark, s.feeds(), tmp_dir, series_rows=adapters.shipment_units(s.tables),
+                    complete_through=adapters.SERIES_END_EXCLUSIVE)
     q = E.queries()
     marts = {
         "marts.fct_adverse_events_monthly": "a3_fct_adverse_events_monthly",
