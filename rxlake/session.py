@@ -88,8 +88,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder; it is used as is.  Only when nothing is configured (local tests)
-    a fresh private folder under the system temp dir is created.
+    folder; it is used as is, and its absence is an error.  Only for a
+    ``local`` master with nothing configured (tests) is a fresh private
+    folder under the system temp dir created.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -105,6 +106,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        # a machine-local folder is invisible to other executors: refuse
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at a shared folder (HDFS / object store) "
+            "for checkpoints, materialised small sides and streaming state"
+        )
     local = tempfile.mkdtemp(prefix="rxlake-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
