@@ -13,14 +13,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rxlake.schemas import (
+    ALERT_FIELDS,
     ALERT_SUBJECT_MIDDLE,
     ALERT_SUBJECT_PREFIX,
     HIGH_RISK_TERMS,
     OUTCOME_RISK_TERMS,
 )
 
-ALERT_FIELDS = ["case_id", "drug_code", "drug_name", "severity_signal", "country", "narrative", "source_key"]
-
 
 def _any_contains(text: Column, terms: Sequence[str]) -> Column:
     if not terms:

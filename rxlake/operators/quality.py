@@ -7,7 +7,7 @@ distinct keys.  The report has one row per check:
 ``(check, table_name, column_name, failing_rows, passed)``.
 
 Null handling: ``not_null`` counts nulls; ``unique`` and ``accepted_values``
-ignore nulls (dbt reading); ``range``, ``non_negative``, ``positive`` and
+ignore nulls (SQL model-test reading); ``range``, ``non_negative``, ``positive`` and
 ``month_start`` count nulls as failures (a pandas comparison is False on NaN);
 ``implies`` fails only on an explicit false consequent (pandas ``all`` skips NaN).
 """

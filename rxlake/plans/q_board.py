@@ -141,7 +141,7 @@ FEED_CHECKS = [
     Check("month_start", "drug_sales", "sales_month"),
 ]
 
-# dbt model/source tests on the marts
+# model and source tests on the marts
 MART_CHECKS = [
     Check("unique", "dim_drugs", "drug_code"),
     Check("not_null", "dim_drugs", "drug_code"),

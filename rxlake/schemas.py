@@ -145,6 +145,8 @@ OUTCOME_RISK_TERMS = ["fatal"]
 ALERT_SIGNALS = ["severe", "life-threatening"]
 ALERT_SUBJECT_PREFIX = "[PV ALERT] "
 ALERT_SUBJECT_MIDDLE = " adverse event — "
+# alert message body fields, in order
+ALERT_FIELDS = ["case_id", "drug_code", "drug_name", "severity_signal", "country", "narrative", "source_key"]
 # forecasting
 SEASON_LENGTH = 12
 HOLDOUT_MONTHS = 3
