@@ -320,3 +320,29 @@ def test_assert_passed_lists_failures(spark):
     with pytest.raises(AssertionError, match=r"unique\(t.id\): 1 failing"):
         quality.assert_passed(quality.run_checks({"t": df}, [Check("unique", "t", "id"), Check("not_null", "t", "id")]))
     quality.assert_passed(quality.run_checks({"t": df.dropna()}, [Check("not_null", "t", "id")]))
+
+
+def test_bounded_broadcast_respects_row_and_byte_bounds(spark):
+    from rxlake.operators.joins import bounded_broadcast
+
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    fact = spark.range(100).withColumnRenamed("id", "k")
+
+    def plan(df):
+        import contextlib
+        import io
+
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fact.join(df, "k").explain()
+        return buf.getvalue()
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(bounded_broadcast(small))
+        assert "BroadcastHashJoin" not in plan(bounded_broadcast(big, max_rows=100))
+        assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, max_bytes=10))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
