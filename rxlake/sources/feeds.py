@@ -65,6 +65,12 @@ def quarantine_feed(
     return good, bad
 
 
+def read_raw_feeds(spark: SparkSession, raw_dir: str, mode: str = "FAILFAST") -> dict[str, DataFrame]:
+    """S1 for all four feeds: ``<raw_dir>/<feed>/*.csv`` under declared schemas."""
+    base = raw_dir.rstrip("/")
+    return {name: read_feed(spark, f"{base}/{name}", name, mode) for name in FEEDS}
+
+
 def read_zone(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """S3: partitioned Parquet zone (partition column rediscovered from the
     directory names); ``columns`` restores a by-name column order."""
