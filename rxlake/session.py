@@ -67,6 +67,8 @@ def get_spark(
         # would give multi-GB reducers at 100 TB); AQE coalesces small
         # shuffles back to ~advisoryPartitionSizeInBytes each
         conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS)
+        # coalesce towards the advisory byte size rather than maximising task count
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     conf.update(extra or {})
     active = SparkSession.getActiveSession()
     for key, value in conf.items():
