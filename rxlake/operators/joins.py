@@ -27,13 +27,15 @@ def bounded_broadcast(
     max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Broadcast-mark ``df`` only if it has at most ``max_rows`` rows and
-    about ``max_bytes`` of data (JSON text length as the size measure, taken
-    only once the row bound holds, so that pass is over bounded data)."""
+    about ``max_bytes`` of data (JSON text length as the size measure).
+
+    Rows and size come from one aggregate over the materialised side."""
     ensure_checkpoint_dir(df.sparkSession)
     snap = df.checkpoint(eager=True)
-    if snap.count() > max_rows:
-        return snap
-    size = snap.select(F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in snap.columns]))))).first()[0]
-    if (size or 0) > max_bytes:
+    row = snap.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in snap.columns])))).alias("size"),
+    ).first()
+    if row["n"] > max_rows or (row["size"] or 0) > max_bytes:
         return snap
     return F.broadcast(snap)
