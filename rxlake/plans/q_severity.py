@@ -227,3 +227,22 @@ def a10_report_triage_vs_label(spark, sf_dir):
     """A10 on the real-time rule vs the labelled severity of staged cases."""
     stg = Staged(spark, sf_dir).stg_cases
     return sev.classification_report(with_signal(stg), y_pred="severity_signal")
+
+
+@register("j5_reconcile_alerts_vs_model")
+def j5_reconcile_alerts_vs_model(spark, sf_dir):
+    """J5 against the nightly model: the real-time rule run over every
+    narrative (no outcome or serious flag on documents) reconciled with the
+    saved model's predicted severity of the same documents."""
+    from pyspark.sql import functions as F
+
+    from rxlake.streaming.triage_stream import alerts, reconcile_alerts
+
+    docs = adapters.narratives(Tables(spark, sf_dir))
+    reports = docs.select(
+        "case_id", F.lit(None).cast("string").alias("drug_code"), F.lit(None).cast("string").alias("drug_name"),
+        F.lit(None).cast("string").alias("country"), "narrative", F.lit(None).cast("string").alias("outcome"),
+        F.lit(None).cast("boolean").alias("serious_flag"),
+    )
+    scored = sev.score_severity(_model(spark, sf_dir), docs)
+    return reconcile_alerts(alerts(reports), scored, label_col="predicted_severity")
