@@ -44,12 +44,12 @@ def _series_ctes(units_sql: str) -> dict[str, str]:
     }
 
 
-def _grid_sql() -> str:
+def _grid_list_sql() -> str:
     items = ", ".join(
         f"{{'alpha': CAST({a} AS DOUBLE), 'beta': CAST({b} AS DOUBLE), 'gamma': CAST({g} AS DOUBLE)}}"
         for a, b, g in series.GRID
     )
-    return f"SELECT p.alpha, p.beta, p.gamma FROM (SELECT unnest([{items}]) AS p)"
+    return f"[{items}]"
 
 
 def _hw_ctes() -> dict[str, str]:
@@ -63,10 +63,11 @@ def _hw_ctes() -> dict[str, str]:
        l0, b0, list_transform(y[1:{M}], lambda v, i: v - (l0 + i * b0)) AS s0
   FROM (SELECT *, list_sum(y[1:{M}]) / {M} - b0 * CAST({(M + 1) / 2} AS DOUBLE) AS l0
           FROM (SELECT *, (list_sum(y[{M + 1}:{2 * M}]) - list_sum(y[1:{M}])) / {M * M} AS b0 FROM fits))""",
-        "grid": _grid_sql(),
-        "hw": f"""SELECT i.drug_code, i.region, i.fit, i.len, i.last_month, i.n, g.alpha, g.beta, g.gamma,
+        "seeds": f"""SELECT drug_code, region, fit, len, last_month, n, l0, b0, s0, p.alpha, p.beta, p.gamma
+  FROM (SELECT *, unnest({_grid_list_sql()}) AS p FROM init)""",
+        "hw": f"""SELECT i.drug_code, i.region, i.fit, i.len, i.last_month, i.n, i.alpha, i.beta, i.gamma,
        0 AS t, i.l0 AS l, i.b0 AS b, i.s0 AS s, CAST(0.0 AS DOUBLE) AS sse
-  FROM init i JOIN grid g ON TRUE
+  FROM seeds i
 UNION ALL
 SELECT h.drug_code, h.region, h.fit, h.len, h.last_month, h.n, h.alpha, h.beta, h.gamma, h.t + 1,
        h.alpha * (f.units - h.s[1]) + (1 - h.alpha) * (h.l + h.b),

@@ -204,7 +204,7 @@ SELECT CASE WHEN n_extra = 0 THEN 'accuracy' ELSE 'micro avg' END,
        round(CASE WHEN n_extra = 0 THEN (CASE WHEN n_all = 0 THEN 0.0 ELSE CAST(mic.tp AS DOUBLE) / n_all END)
              ELSE (CASE WHEN mic.p + mic.r = 0 THEN 0.0 ELSE 2 * mic.p * mic.r / (mic.p + mic.r) END) END, {digits}),
        CAST(CASE WHEN n_extra = 0 THEN n_all ELSE mic.tt END AS BIGINT)
-  FROM tot JOIN mic ON TRUE
+  FROM (SELECT *, (SELECT n_all FROM tot) AS n_all, (SELECT n_extra FROM tot) AS n_extra FROM mic) mic
 UNION ALL
 SELECT 'macro avg', round(sum(p) / {len(labels)}, {digits}), round(sum(r) / {len(labels)}, {digits}),
        round(sum(f1) / {len(labels)}, {digits}), CAST(sum(tt) AS BIGINT) FROM f
