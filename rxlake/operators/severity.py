@@ -90,13 +90,10 @@ def sample_cases(df: DataFrame, n: int = 10, id_col: str = "case_id", seed: int
 def balanced_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """n / (k * n_class) per class (k = classes present)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    everything = Window.partitionBy()  # over the k class rows only
-    return counts.select(
-        label,
-        "n_class",
-        (F.sum("n_class").over(everything).cast("double")
-         / (F.count(F.lit(1)).over(everything) * F.col("n_class"))).alias("weight"),
-    )
+    # total rows and class count as scalar subqueries (computed once, inlined)
+    total = counts.select(F.sum("n_class")).scalar()
+    k = counts.select(F.count(F.lit(1))).scalar()
+    return counts.select(label, "n_class", (total.cast("double") / (k * F.col("n_class"))).alias("weight"))
 
 
 def with_balanced_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
