@@ -31,3 +31,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["drug_code", "region", "report_month", "total_events", "serious_events",
                           "life_threatening_events", "pct_serious"]
+
+
+def test_registry_names():
+    import re
+
+    for name in E.queries():
+        assert re.fullmatch(r"[a-z][a-z0-9_]*", name), name
+        assert name != "pipeline" and not re.match(r"op\d+_", name), name
