@@ -163,14 +163,19 @@ def m7_score_severity(spark, sf_dir):
     return _scored_all(spark, sf_dir).select("case_id", "severity_label", "predicted_severity")
 
 
+def _scored_labelled(spark, sf_dir):
+    """Agreement only counts labelled rows, so only those are scored."""
+    return sev.score_severity(_model(spark, sf_dir), _narratives(spark, sf_dir))
+
+
 @register("a9_label_agreement")
 def a9_label_agreement(spark, sf_dir):
-    return sev.label_agreement(_scored_all(spark, sf_dir))
+    return sev.label_agreement(_scored_labelled(spark, sf_dir))
 
 
 @register("d4_kpi_classifier_accuracy")
 def d4_kpi_classifier_accuracy(spark, sf_dir):
-    return sev.label_agreement(_scored_all(spark, sf_dir)).select(
+    return sev.label_agreement(_scored_labelled(spark, sf_dir)).select(
         F.round(F.col("agreement") * 100, 1).alias("classifier_accuracy_pct")
     )
 
