@@ -123,16 +123,29 @@ def _split(spark, sf_dir):
     return sev.stratified_split(_narratives(spark, sf_dir), seed=SEED)
 
 
+# loaded pipelines per (Spark application, model path): the scoring queries
+# of one session share one load; retraining replaces the entry
+_LOADED: dict[tuple[str, str], object] = {}
+
+
+def _model_key(spark, sf_dir) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, model_path(spark, sf_dir)
+
+
 def _train_and_save(spark, sf_dir):
     """Train on the split's train rows and save (the reference's train mode)."""
     model = sev.train_severity(_split(spark, sf_dir).filter("split = 'train'"))
     model.write().overwrite().save(model_path(spark, sf_dir))
+    _LOADED[_model_key(spark, sf_dir)] = model
     return model
 
 
 def _model(spark, sf_dir):
     """Saved model, trained on the train split when missing (score mode)."""
-    return sev.load_or_train(model_path(spark, sf_dir), _split(spark, sf_dir).filter("split = 'train'"))
+    key = _model_key(spark, sf_dir)
+    if key not in _LOADED:
+        _LOADED[key] = sev.load_or_train(model_path(spark, sf_dir), _split(spark, sf_dir).filter("split = 'train'"))
+    return _LOADED[key]
 
 
 @register("m5_train_severity")
