@@ -346,3 +346,16 @@ def test_bounded_broadcast_respects_row_and_byte_bounds(spark):
         assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, max_bytes=10))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_alert_sink_json_format(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    _drop(src, "batch.json", REPORTS)
+    sink = os.path.join(tmp_dir, "out")
+    q = ts.start_triage(spark, src, sink, checkpoint=os.path.join(tmp_dir, "ck"), available_now=True,
+                        sink_format="json")
+    q.awaitTermination()
+    got = spark.read.json(sink)
+    assert got.count() == 4
+    assert {json.loads(r.message)["case_id"] for r in got.select("message").collect()} == {"J1", "J2", "J3", "J5"}
