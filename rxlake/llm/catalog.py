@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import exact, mixing, packing, quality, simhash
+from rxlake.llm import embeddings, exact, mixing, packing, quality, simhash
 from rxlake.llm.common import bucket_of, read
 
 
@@ -39,6 +39,10 @@ def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc(packing.pack(read(spark, sf_dir, "documents"), window=2048))
 
 
+def op9_epsilon_grid_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 OP10_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -59,6 +63,7 @@ QUERIES = {
     "op4_low_discrepancy_mix": op4_low_discrepancy_mix,
     "op5_simhash_neardup": op5_simhash_neardup,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
+    "op9_epsilon_grid_order": op9_epsilon_grid_order,
     "op10_exact_content_sort": op10_exact_content_sort,
 }
 ORACLES = {"op10_exact_content_sort": OP10_SQL}
