@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import embeddings, exact, mixing, packing, quality, simhash
+from rxlake.llm import chat, embeddings, exact, licences, mixing, packing, quality, simhash
 from rxlake.llm.common import bucket_of, read
 
 
@@ -15,6 +15,10 @@ def labelled_for_fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(known, "doc_id")
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit_rules(labelled_for_fit(docs, read(spark, sf_dir, "labels")))
@@ -35,6 +39,10 @@ def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(chat.link_quotes(read(spark, sf_dir, "conversations"))).drop("text")
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc(packing.pack(read(spark, sf_dir, "documents"), window=2048))
 
@@ -59,9 +67,11 @@ def op10_exact_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_licence_scan": op2_licence_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_low_discrepancy_mix": op4_low_discrepancy_mix,
     "op5_simhash_neardup": op5_simhash_neardup,
+    "op6_quotation_linking": op6_quotation_linking,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_epsilon_grid_order": op9_epsilon_grid_order,
     "op10_exact_content_sort": op10_exact_content_sort,

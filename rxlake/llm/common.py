@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rxlake.session import ensure_checkpoint_dir
@@ -28,6 +28,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def once(value: Column) -> Column:
+    """``value``, evaluated once per row: the non-deterministic guard (always
+    true) keeps the optimizer from copying a costly expression into filters
+    and lambdas that use it."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -61,5 +68,21 @@ def split_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(full)), counts[offsets - offsets[0]]
 
 
-def mapped(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def numbered(df: DataFrame, order: list[Column], out: str = "at") -> DataFrame:
+    """``df`` (written once) with a gapless 0-based number in ``order``.
+
+    Rows are range-partitioned on the order, numbered inside each partition and
+    shifted by the rows of the partitions before, so no task sees more than
+    its range however the rows are distributed.  Ties may fall in any order
+    but are numbered once: the numbers are part of the written table.
+    """
+    place = F.monotonically_increasing_id()  # partition in the high bits, place in it in the low 33
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = cut(ranged.withColumn("_place", place))
+    part = F.shiftright("_place", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = counts.select("_part", (F.sum("_rows").over(upto) - F.col("_rows")).alias("_before"))
+    joined = rows.join(before, part == F.col("_part"))
+    number = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return joined.withColumn(out, number).drop("_place", "_part", "_before")

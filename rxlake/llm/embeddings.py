@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlake.llm.common import cut
+from rxlake.llm.common import cut, numbered
 from rxlake.llm.components import connected_components
 from rxlake.llm.simhash import LINKS, _forest
 
@@ -118,16 +118,8 @@ def linked_vectors(vectors: DataFrame, *, cosine: float = 0.9, id_col: str = "ve
     id_type = grouped.schema["low"].dataType.simpleString()
     placed = grouped.mapInArrow(place, f"vec {vec_type}, low {id_type}, copies long, cells array<int>, lead double")
     keys = [F.col("cells")[k] for k in range(dims)]
-    order = [*keys, F.col("lead"), F.xxhash64("vec"), F.col("vec")]
-    ranged = placed.repartitionByRange(*order[:-1]).sortWithinPartitions(*order)
-    number = F.monotonically_increasing_id()  # partition in the high bits, place in it in the low 33
-    ordered = cut(ranged.select("vec", "low", "copies", number.alias("at")))
-    part, place_in = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
-    nodes = ordered.join(counts.select("_part", before.alias("_before")), part == F.col("_part")).select(
-        "vec", "low", "copies", (F.col("_before") + place_in).alias("node")
-    )
+    nodes = numbered(placed.withColumn("_h", F.xxhash64("vec")), [*keys, F.col("lead"), F.col("_h")], "node")
+    nodes = nodes.select("vec", "low", "copies", "node")
     nodes = nodes.withColumn("block", F.floor(F.col("node") / per_block))
 
     def gather(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

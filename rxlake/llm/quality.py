@@ -15,12 +15,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlake.llm.common import WORD_PATTERN, cut
+from rxlake.llm.common import WORD_PATTERN, cut, once
 
 #: Labelled rows that a fit uses at most (the smallest hashes of the ids), so
 #: that trees and weights fit in memory at any corpus size.
 FIT_ROWS = 50_000
-TREES = 24
+TREES = 16
 DEPTH = 3
 LASSO = 2e-3
 
@@ -58,7 +58,7 @@ def statistics(text: Column) -> dict[str, Column]:
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str]]:
     stats = statistics(F.col(f"`{text_col}`"))
-    return docs.withColumn("_stats", F.struct(*[c.alias(n) for n, c in stats.items()])), list(stats)
+    return docs.withColumn("_stats", once(F.struct(*[c.alias(n) for n, c in stats.items()]))), list(stats)
 
 
 @dataclass(frozen=True)
@@ -155,7 +155,7 @@ def fit_rules(
     marked = marked.select("label", *[r.column().alias(f"r{k}") for k, r in enumerate(rules)])
     vectors = VectorAssembler(inputCols=[f"r{k}" for k in range(len(rules))], outputCol="features").transform(marked)
     vectors = vectors.select("label", "features").persist()
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, standardization=False, maxIter=100, tol=1e-7)
+    lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, standardization=False, maxIter=60, tol=1e-6)
     fitted = lasso.fit(vectors)
     vectors.unpersist()
     weights = [(r, float(w)) for r, w in zip(rules, fitted.coefficients.toArray(), strict=True) if w]
@@ -168,6 +168,6 @@ def classify(docs: DataFrame, model: RuleModel, *, text_col: str = "text") -> Da
     all-zero statistics; repeated rows get equal scores."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("_text"))
     stats, _ = with_statistics(rows, "_text")
-    return stats.select("row", model.score().alias("score")).withColumn(
+    return stats.select("row", once(model.score()).alias("score")).withColumn(
         "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
     )
