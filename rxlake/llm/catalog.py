@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import chat, embeddings, exact, licences, mixing, packing, quality, simhash
+from rxlake.llm import chat, embeddings, exact, licences, mixing, ngrams, packing, quality, simhash
 from rxlake.llm.common import bucket_of, read
 
 
@@ -43,6 +43,10 @@ def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(chat.link_quotes(read(spark, sf_dir, "conversations"))).drop("text")
 
 
+def op7_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score(read(spark, sf_dir, "documents"), fold=10)
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc(packing.pack(read(spark, sf_dir, "documents"), window=2048))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op4_low_discrepancy_mix": op4_low_discrepancy_mix,
     "op5_simhash_neardup": op5_simhash_neardup,
     "op6_quotation_linking": op6_quotation_linking,
+    "op7_elias_fano_lm": op7_elias_fano_lm,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_epsilon_grid_order": op9_epsilon_grid_order,
     "op10_exact_content_sort": op10_exact_content_sort,
