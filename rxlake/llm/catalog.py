@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import chat, embeddings, exact, licences, mixing, ngrams, packing, quality, simhash
+from rxlake.llm import chat, embeddings, exact, licences, mixing, ngrams, packing, quality, simhash, substrings
 from rxlake.llm.common import bucket_of, read
 
 
@@ -15,6 +15,32 @@ def labelled_for_fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(known, "doc_id")
 
 
+OP1_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+  SELECT doc_id, unnest(generate_series(1, len(w) - 19)) AS s, w FROM words WHERE len(w) >= 20
+), windows AS (
+  SELECT doc_id, s, array_to_string(list_slice(w, s, s + 19), ' ') AS body FROM starts
+), late AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) AS k FROM windows) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS p FROM late
+), per_word AS (
+  SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM words
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n
+  FROM per_word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
+def op1_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(read(spark, sf_dir, "documents"), window=20).drop("kept_text")
+
+
 def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read(spark, sf_dir, "documents"))
 
@@ -71,6 +97,7 @@ def op10_exact_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fm_index_dedup": op1_fm_index_dedup,
     "op2_licence_scan": op2_licence_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_low_discrepancy_mix": op4_low_discrepancy_mix,
@@ -81,4 +108,4 @@ QUERIES = {
     "op9_epsilon_grid_order": op9_epsilon_grid_order,
     "op10_exact_content_sort": op10_exact_content_sort,
 }
-ORACLES = {"op10_exact_content_sort": OP10_SQL}
+ORACLES = {"op1_fm_index_dedup": OP1_SQL, "op10_exact_content_sort": OP10_SQL}
