@@ -14,25 +14,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxlake.llm.common import batches, cut, split_words
+from rxlake.llm.common import batches, shuffle_width, split_words
 
 #: Words of an anchor.
 ANCHOR = 10
 #: Bytes of a word's hash in a run's content.
 SYMBOL = 5
-#: Bits of the broadcast filter of repeated anchors (32 MB whatever the
+#: Bits of the broadcast filter of repeated anchors (16 MB whatever the
 #: corpus): a set bit may let a run through that does not repeat, never the
 #: other way round.
-FILTER_BITS = 28
-#: Distinct runs of one anchor from which its windows are dealt out singly.
+FILTER_BITS = 27
+#: Runs of one anchor from which its windows are dealt out singly.
 HOT_RUNS = 4096
 #: Symbols of one FM-index.
-INDEX_SYMBOLS = 1 << 21
+INDEX_SYMBOLS = 1 << 20
+#: Anchors counted in a task before they are handed on.
 KEYS = 1 << 22
+#: Bytes of text handled at a time.
+CHUNK_BYTES = 8 << 20
 LAST = (1 << 63) - 1
 
 
@@ -151,138 +155,157 @@ def window_runs(words: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.nd
     return gram[chosen[first]].view(np.int64), starts[first], count, row[starts[first]]
 
 
-def _anchor_counts(docs: DataFrame, window: int) -> DataFrame:
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _filters(docs: DataFrame, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps over the anchors' leading bits: anchors that occur more than
+    once, and anchors of more than HOT_RUNS runs.  Counted in tasks, packed by
+    range of the hash, summed per range; only the bitmaps reach the driver."""
+    width = shuffle_width(docs.sparkSession)
+
+    def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def counted() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["anchor", "n"])
+        def packed() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(held).view(np.uint64), return_counts=True)
+            part = (key >> np.uint64(44)).astype(np.int64) * width >> 20
+            cut_at = np.searchsorted(part, np.arange(width + 1))
+            ranges = [(k, key[lo:hi].tobytes(), n[lo:hi].astype(np.int32).tobytes()) for k, (lo, hi) in enumerate(zip(cut_at[:-1], cut_at[1:], strict=True)) if hi > lo]
+            shard, keys, counts = zip(*ranges, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(keys), pa.array(counts)], ["shard", "keys", "counts"])
 
-        for b in batches(it, "text", 16 << 20):
+        for b in batches(it, "text", CHUNK_BYTES):
             held.append(window_runs(*_hashes(b.column(0)), window)[0])
             size += len(held[-1])
             if size > KEYS:
-                yield counted()
+                yield packed()
                 held, size = [], 0
-        if held:
-            yield counted()
-
-    return docs.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+        if size:
+            yield packed()
 
-
-def _filter(counts: DataFrame) -> np.ndarray:
-    """Bitmap of the repeated anchors' leading bits."""
-    bit = F.shiftrightunsigned("anchor", 64 - FILTER_BITS)
-    words = counts.filter("n > 1").select(bit.alias("b")).selectExpr("shiftright(b, 6) AS word", "shiftleft(1L, cast(b & 63 AS int)) AS bit")
-    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[np.asarray(got["word"])] = np.asarray(got["bits"])
-    return out
+    def summed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
+        for b in it:
+            keys += [np.frombuffer(k, np.uint64) for k in b.column(1).to_pylist()]
+            counts += [np.frombuffer(n, np.int32) for n in b.column(2).to_pylist()]
+        key, place = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(place, np.concatenate(counts), len(key))
+        key, n = key[n > 1], n[n > 1]
+        bit = key >> np.uint64(64 - FILTER_BITS)
+        word, place = np.unique(bit >> np.uint64(6), return_inverse=True)
+        masks = np.zeros((2, len(word)), np.uint64)
+        flag = np.uint64(1) << (bit & np.uint64(63))
+        np.bitwise_or.at(masks[0], place, flag)
+        np.bitwise_or.at(masks[1], place[n > HOT_RUNS], flag[n > HOT_RUNS])
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (word, masks[0], masks[1])], ["word", "some", "busy"])
+
+    ranges = docs.select("text").mapInArrow(counted, "shard int, keys binary, counts binary").repartition(width, "shard")
+    got = ranges.mapInArrow(summed, "word long, some long, busy long").toArrow()
+    out = np.zeros((2, 1 << (FILTER_BITS - 6)), np.int64)
+    for k, name in enumerate(("some", "busy")):
+        np.bitwise_or.at(out[k], np.asarray(got["word"]), np.asarray(got[name]))
+    return out[0], out[1]
+
+
+ROUTED = "route long, content binary, doc long, th long, pos long, windows long"
 
 
 def _runs(docs: DataFrame, shared, window: int) -> DataFrame:
-    """``anchor, run, content, doc, th, pos, windows`` of every run whose
-    anchor passes the filter (``run``: hash of the content)."""
-    schema = "anchor long, run long, content binary, doc long, th long, pos long, windows long"
+    """Runs whose anchor may repeat, with their content; of equal runs in one
+    chunk only the first carries it, the others start later for certain and
+    go without.  Windows of a hot anchor go singly, routed by their words."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for b in batches(it, "text", 16 << 20):
+        some_bits, busy_bits = shared.value
+        for b in batches(it, "text", CHUNK_BYTES):
             words, ends = _hashes(b.column(0))
             anchor, first, count, row = window_runs(words, ends, window)
             place = (anchor.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            some = (bits[place >> 6] >> (place & 63)) & 1 == 1
+            some = (some_bits[place >> 6] >> (place & 63)) & 1 == 1
+            busy = ((busy_bits[place >> 6] >> (place & 63)) & 1 == 1)[some]
             anchor, first, count, row = anchor[some], first[some], count[some], row[some]
-            flat = words.view(np.uint8).reshape(-1, 8)[:, :SYMBOL].tobytes() if len(words) else b""
+            if not len(anchor):
+                continue
+            times = np.where(busy, count, 1)
+            step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            single = np.repeat(busy, times)
+            anchor, first, row = np.repeat(anchor, times), np.repeat(first, times) + step, np.repeat(row, times)
+            count = np.where(single, 1, np.repeat(count, times))
+            flat = words.view(np.uint8).reshape(-1, 8)[:, :SYMBOL].tobytes()
             content = [flat[SYMBOL * f : SYMBOL * (f + c + window - 1)] for f, c in zip(first.tolist(), count.tolist(), strict=True)]
             digest = xxhash.xxh64_intdigest
             ident = np.array([digest(c) for c in content], dtype=np.uint64).view(np.int64)
             doc, th = (np.asarray(b.column(c), dtype=np.int64)[row] for c in (1, 2))
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, (anchor, ident)), pa.array(content, pa.binary()), *map(pa.array, (doc, th, first - ends[row], count))],
-                [f.split()[0] for f in schema.split(", ")],
-            )
+            pos = first - ends[row]
+            order = np.lexsort((pos, th, doc, ident))
+            lead = np.concatenate([[True], np.diff(ident[order]) != 0])
+            kept = [content[k] if x else None for k, x in zip(order.tolist(), lead.tolist(), strict=True)]
+            route = np.where(lead, np.where(single, ident, anchor)[order], doc[order])
+            columns = [route, *(x[order] for x in (doc, th, pos, count))]
+            arrays = [pa.array(x) for x in columns]
+            yield pa.RecordBatch.from_arrays([arrays[0], pa.array(kept, pa.binary()), *arrays[1:]], [f.split()[0] for f in ROUTED.split(", ")])
+
+    return docs.select("text", "doc", "th").mapInArrow(run, ROUTED)
+
+
+def _late(rows: list[np.ndarray], content: list[bytes], window: int) -> pa.RecordBatch:
+    """One index over the runs of whole routes: the windows of ``rows`` (doc,
+    th, pos) that also start earlier, as runs."""
+    doc, th, pos = rows
+    digest = xxhash.xxh64_intdigest
+    ident = np.array([digest(c) for c in content], dtype=np.uint64)
+    order = np.lexsort((pos, th, doc, ident))
+    lead = np.concatenate([[True], np.diff(ident[order]) != 0])
+    again = order[~lead]  # equal runs behind the first: every window is late
+    order = order[lead]
+    order = order[np.lexsort((pos[order], th[order], doc[order]))]
+    sizes = np.array([len(c) for c in content]) // SYMBOL
+    raw = np.frombuffer(b"".join(content[k] for k in order.tolist()), np.uint8).reshape(-1, SYMBOL)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :SYMBOL] = raw
+    index = FMIndex(wide.view(np.int64).ravel(), sizes[order])
+    windows = sizes[order] - window + 1
+    owner = np.repeat(np.arange(len(order)), windows)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = index.begins[owner] + offset
+    late = index.first_starts(at, window) < at
+    owner, offset = owner[late], offset[late]
+    edge = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(offset) != 1)])[: len(owner)])
+    count = np.diff(np.append(edge, len(owner)))
+    who = order[owner[edge]]
+    columns = [np.concatenate([x[who], x[again]]) for x in (doc, th)]
+    columns += [np.concatenate([pos[who] + offset[edge], pos[again]]), np.concatenate([count, sizes[again] - window + 1])]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "th", "pos", "windows"])
+
 
-    return docs.select("text", "doc", "th").mapInArrow(run, schema)
-
-
-def _searched(runs: DataFrame, window: int) -> DataFrame:
-    """Per distinct run (``route, content`` and its first place ``doc, th,
-    pos``) the windows that start earlier elsewhere in the shard: ``doc, th,
-    pos, windows``."""
-
-    def found(rows: list[np.ndarray], content: list[bytes]) -> pa.RecordBatch:
-        _, doc, th, pos = rows
-        order = np.lexsort((pos, th, doc))
-        sizes = np.array([len(c) for c in content])[order] // SYMBOL
-        raw = np.frombuffer(b"".join(content[k] for k in order), np.uint8).reshape(-1, SYMBOL)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :SYMBOL] = raw
-        index = FMIndex(wide.view(np.int64).ravel(), sizes)
-        windows = sizes - window + 1
-        owner = np.repeat(np.arange(len(sizes)), windows)
-        offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-        at = index.begins[owner] + offset
-        late = index.first_starts(at, window) < at
-        owner, offset = owner[late], offset[late]
-        edge = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(offset) != 1)])) if len(owner) else np.empty(0, np.int64)
-        count = np.diff(np.append(edge, len(owner)))
-        who = order[owner[edge]]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[who], th[who], pos[who] + offset[edge], count)], ["doc", "th", "pos", "windows"])
+def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
+    """``doc, th, pos, windows``: runs of windows whose words also start
+    earlier.  ``docs``: ``doc`` (order of documents), ``th`` (text hash) and
+    ``text``."""
+    shared = docs.sparkSession.sparkContext.broadcast(_filters(docs, window))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, contents, symbols = [np.empty(0, np.int64)] * 4, [], 0
         for b in it:
+            known = b.filter(pc.is_null(b.column(1)))
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays(known.columns[2:], ["doc", "th", "pos", "windows"])
+            b = b.filter(pc.is_valid(b.column(1)))  # noqa: PLW2901
             numbers = [np.concatenate([r, np.asarray(b.column(c), dtype=np.int64)]) for r, c in zip(numbers, (0, 2, 3, 4), strict=True)]
             new = b.column(1).to_pylist()
             contents += new
             symbols += sum(map(len, new)) // SYMBOL
-            if symbols > INDEX_SYMBOLS:  # routes lie together; the last may go on in the next batch
+            if symbols > INDEX_SYMBOLS:  # equal routes lie together; the last may go on in the next batch
                 whole = int(np.searchsorted(numbers[0], numbers[0][-1]))
                 if whole:
-                    yield found([x[:whole] for x in numbers], contents[:whole])
+                    yield _late([x[:whole] for x in numbers[1:]], contents[:whole], window)
                     numbers, contents = [x[whole:] for x in numbers], contents[whole:]
                     symbols = sum(map(len, contents)) // SYMBOL
         if contents:
-            yield found(numbers, contents)
+            yield _late(numbers[1:], contents, window)
 
-    dealt = runs.select("route", "content", "doc", "th", "pos").repartition("route").sortWithinPartitions("route")
+    dealt = _runs(docs, shared, window).repartition("route").sortWithinPartitions("route")
     return dealt.mapInArrow(run, "doc long, th long, pos long, windows long")
 
 
-def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
-    """``doc, th, pos, windows``: runs of windows whose words also start
-    earlier.  ``docs``: ``doc`` (order of documents), ``th`` (text hash) and
-    ``text``."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(_filter(_anchor_counts(docs, window)))
-    runs = _runs(docs, shared, window)
-    place = F.struct("doc", "th", "pos")
-    # one row per distinct run: copies collapse in the tasks that read them
-    distinct = cut(
-        runs.groupBy("anchor", "run", "windows").agg(F.first("content").alias("content"), F.min(place).alias("own"), F.count("*").alias("n"))
-    )
-    busy = distinct.groupBy("anchor").agg(F.count("*").alias("runs"), F.sum("n").alias("all")).filter("all > 1")
-    routed = distinct.join(busy, "anchor")
-    calm = routed.filter(F.col("runs") <= HOT_RUNS).select(F.col("anchor").alias("route"), "content", "own.*")
-    # an anchor with many distinct surroundings: its windows go singly, by their own words
-    each = routed.filter(F.col("runs") > HOT_RUNS).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)))
-    single = each.select(
-        F.substring("content", (F.col("k") * SYMBOL + 1).cast("int"), F.lit(SYMBOL * window)).alias("content"),
-        F.struct(F.col("own.doc").alias("doc"), F.col("own.th").alias("th"), (F.col("own.pos") + F.col("k")).alias("pos")).alias("own"),
-    )
-    firsts = single.groupBy("content").agg(F.min("own").alias("first"))
-    dealt = calm.unionByName(firsts.select(F.xxhash64("content").alias("route"), "content", "first.*"))
-    later = single.join(firsts, "content").filter("own <> first").select("own.*", F.lit(1).cast("long").alias("windows"))
-    copies = runs.drop("content").join(
-        distinct.filter("n > 1").select(F.col("anchor").alias("_a"), F.col("run").alias("_r"), F.col("windows").alias("_w"), "own"),
-        (F.col("anchor") == F.col("_a")) & (F.col("run") == F.col("_r")) & (F.col("windows") == F.col("_w")),
-    )
-    copies = copies.filter(place != F.col("own")).select("doc", "th", "pos", "windows")
-    return _searched(dealt, window).unionByName(later).unionByName(copies)
-
-
 def substring_dedup(docs: DataFrame, *, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, kept_text`` per row.
 
@@ -306,7 +329,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 20, id_col: str = "doc_id"
     joined = keyed.join(spans, (F.col("doc") == F.col("_doc")) & (F.col("th") == F.col("_th")), "left")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it, "text", 16 << 20):
+        for b in batches(it, "text", CHUNK_BYTES):
             texts = b.column(1).cast(pa.binary()).to_pylist()
             out: list[tuple] = []
             for text, at, count in zip(texts, b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
