@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rxlake.llm.common import WORD_PATTERN, cut, once
 
-#: Labelled rows that a fit uses at most (the smallest hashes of the ids), so
+#: Labelled ids that a fit uses at most (those of the smallest hashes), so
 #: that trees and weights fit in memory at any corpus size.
 FIT_ROWS = 50_000
 TREES = 16
@@ -126,15 +126,16 @@ def fit_rules(
     seed: int = 7,
 ) -> RuleModel:
     """Fit on rows with a label 0 or 1 (others are ignored); only statistics of
-    the text are inputs.  At most ``fit_rows`` rows are used, those with the
-    smallest id hashes.  With no rows, or rows of one label only, the model is
+    the text are inputs.  The rows of at most ``fit_rows`` ids are used,
+    those with the smallest hashes.  With no rows, or rows of one label only, the model is
     that label's smoothed share and has no rules.
     """
     known = labelled.filter(F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"), F.col(f"`{text_col}`").alias("text")
     )
-    chosen = known.orderBy(F.xxhash64(F.lit(seed), "id"), "id", "label").limit(fit_rows)
-    stats, names = with_statistics(chosen)
+    # the sample is drawn on ids alone, so no text passes through the driver
+    ids = known.select(F.col("id").alias("_id")).distinct().orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(fit_rows)
+    stats, names = with_statistics(known.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi"))
     data = cut(stats.select("label", *[F.col(f"_stats.{n}").alias(n) for n in names]))
     share = data.agg(F.sum("label").alias("ones"), F.count("*").alias("rows")).first()
     ones, rows = share["ones"] or 0.0, share["rows"]
