@@ -34,7 +34,7 @@ ADD = 0.1
 #: Steps of the quantised log probabilities and backoff weights.
 STEPS = 1 << 12
 #: Keys counted in a task before they are handed on.
-KEYS = 1 << 23
+KEYS = 1 << 22
 
 
 class EliasFano:
@@ -244,7 +244,7 @@ def _arrays(hashes: np.ndarray, counts: np.ndarray, grams: list[tuple[np.ndarray
 def _chunks(it: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Batches with their words: hashes of the distinct words, word index per
     token, token ends per row."""
-    for b in batches(it, "text", 16 << 20):
+    for b in batches(it, "text", 8 << 20):
         flat, ends = split_words(pc.ascii_lower(b.column(text)))
         coded = flat.dictionary_encode()
         digest = xxhash.xxh64_intdigest
@@ -340,8 +340,8 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
 
     Tokens of kept words are scored where the document is read, against the
     broadcast trie.  Rare words travel to shards of the word counts (packed
-    by chunk and shard) and come back as one sum per document and shard; a
-    rare word holds less than 1 / LEVEL_SIZE of the tokens, so no shard is
+    by chunk and shard) and come back, packed the same way, as sums per
+    document, added up chunk by chunk; a rare word holds less than 1 / LEVEL_SIZE of the tokens, so no shard is
     hot.  Null text counts as empty (its one token is the end); a null id
     counts as the empty text in the fold rule; repeated rows are scored each;
     an empty table gives no rows.
@@ -353,7 +353,7 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
     shared = spark.sparkContext.broadcast(block)
     shards = max(1, shuffle_width(spark) // 4)
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, held_out boolean, row long, n_tokens long, known long, base double, lm double, n_uni long, shard int, hashes binary, runs binary, rows binary"
+    schema = f"doc_id {id_type}, held_out boolean, row long, n_tokens long, known long, base double, lm double, n_uni long, shard int, chunk long, hashes binary, runs binary, rows binary"
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(map_levels(shared.value))
@@ -368,7 +368,7 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
             total = lambda x: np.bincount(doc, x, len(row))  # noqa: E731,B023
             known = total(kept & (trie.counts[np.maximum(ids, 0)] > 0))
             cols = [row, total(real).astype(np.int64), known.astype(np.int64), total(term), total(weight + term * uni), total(uni).astype(np.int64)]
-            none = [pa.nulls(len(row), t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.binary())]
+            none = [pa.nulls(len(row), t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), *map(pa.array, cols), *none], names)
             yield from rare(trie.word_ids(hashes), hashes, index, np.repeat(row, np.diff(ends)))
 
@@ -387,17 +387,18 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
         out = []
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
             word, n = np.unique(index[lo:hi], return_counts=True)
-            out.append((int(shard[lo]), hashes[word].tobytes(), n.astype(np.int32).tobytes(), row[lo:hi].tobytes()))
+            out.append((int(shard[lo]), int(row.min()), hashes[word].tobytes(), n.astype(np.int32).tobytes(), row[lo:hi].tobytes()))
         nulls = [pa.nulls(len(out), t) for t in (id_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())]
-        packed = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)]
+        packed = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 3), strict=True)]
         yield pa.RecordBatch.from_arrays([*nulls, *packed], names)
 
     scanned = cut(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "text", "doc_id", "held_out").mapInArrow(run, schema))
     least = max(MIN_COUNT, math.ceil(tokens / LEVEL_SIZE))
     known = words.filter(F.col("n") < least).select(
-        F.pmod(F.col("key"), F.lit(shards)).cast("int").alias("shard"), "key", "n", *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "runs", "rows")]
+        F.pmod(F.col("key"), F.lit(shards)).cast("int").alias("shard"), "key", "n", F.lit(None).cast("long").alias("chunk"),
+        *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "runs", "rows")],
     )
-    asked = scanned.filter("shard is not null").select("shard", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("n"), "hashes", "runs", "rows")
+    asked = scanned.filter("shard is not null").select("shard", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("n"), "chunk", "hashes", "runs", "rows")
 
     def lookup(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, packs = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
@@ -406,21 +407,39 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
             keys.append(np.asarray(have.column(1), dtype=np.int64))
             counts.append(np.asarray(have.column(2), dtype=np.int64))
             rest = b.filter(pc.is_null(b.column(1)))
-            packs += list(zip(*[rest.column(c).to_pylist() for c in (3, 4, 5)], strict=True))
+            packs += list(zip(*[rest.column(c).to_pylist() for c in (3, 4, 5, 6)], strict=True))
         key, count = np.concatenate(keys), np.concatenate(counts)
         order = np.argsort(key)
         key, count = key[order], np.append(count[order], 0)
-        for h, n, r in packs:
+        for chunk, h, n, r in packs:
             h, n, r = np.frombuffer(h, np.int64), np.frombuffer(n, np.int32), np.frombuffer(r, np.int64)
             at = np.searchsorted(key, h)
             c = np.where((at < len(key)) & (key[np.minimum(at, max(0, len(key) - 1))] == h) if len(key) else np.zeros(len(h), bool), count[at], 0)
             per = np.repeat(c, n)
             row, place = np.unique(r, return_inverse=True)
             sums, known = np.bincount(place, np.log10(per + ADD)), np.bincount(place, per > 0)
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(sums), pa.array(known.astype(np.int64))], ["r", "rare", "rare_known"])
+            packed = [[chunk], [row.tobytes()], [sums.tobytes()], [known.astype(np.int64).tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in packed], ["chunk", "rows", "sums", "known"])
 
-    answers = known.unionByName(asked).repartition(shards, "shard").mapInArrow(lookup, "r long, rare double, rare_known long")
-    sums = answers.groupBy("r").agg(F.sum("rare").alias("rare"), F.sum("rare_known").alias("rare_known"))
+    def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def merged() -> pa.RecordBatch:
+            r, s, k = (np.concatenate([np.frombuffer(h[c], t) for h in held]) for c, t in ((1, np.int64), (2, np.float64), (3, np.int64)))
+            row, place = np.unique(r, return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.bincount(place, s)), pa.array(np.bincount(place, k).astype(np.int64))], ["r", "rare", "rare_known"])
+
+        for b in it:
+            for pack in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if held and held[-1][0] != pack[0]:
+                    yield merged()
+                    held = []
+                held.append(pack)
+        if held:
+            yield merged()
+
+    answers = known.unionByName(asked).repartition(shards, "shard").mapInArrow(lookup, "chunk long, rows binary, sums binary, known binary")
+    sums = answers.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "r long, rare double, rare_known long")
     z = math.log10(tokens + ADD * (types + 1))
     result = scanned.filter("shard is null").join(sums, F.col("row") == F.col("r"), "left")
     rare_sum = F.coalesce("rare", F.lit(0.0))
