@@ -15,7 +15,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlake.llm.common import WORD_PATTERN, cut, once
+from rxlake.llm.common import cut, once
 
 #: Labelled ids that a fit uses at most (those of the smallest hashes), so
 #: that trees and weights fit in memory at any corpus size.
@@ -25,40 +25,56 @@ DEPTH = 3
 LASSO = 2e-3
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of one whole text; of an empty one all are zero."""
-    t = F.coalesce(text, F.lit(""))
-
-    def count(pattern: str) -> Column:
-        return F.regexp_count(t, F.lit(pattern)).cast("double")
-
-    chars = F.length(t).cast("double")
-    words = count(WORD_PATTERN)
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(x) > 0)
-    tokens = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda x: x != "")
-
-    def per(a: Column, b: Column) -> Column:
-        return F.coalesce(a / F.when(b > 0, b), F.lit(0.0))
-
-    return {
-        "words": words,
-        "word_length": per(chars, words),
-        "upper": per(count(r"\p{Lu}"), chars),
-        "shouted": per(count(r"\p{Lu}{2,}"), words),
-        "digits": per(count("[0-9]"), chars),
-        "symbols": per(count(r"[^\p{L}\p{N}\s.,;:'\"-]"), chars),
-        "lone_symbols": per(count(r"(?:^|(?<=\s))[^\p{L}\p{N}\s]+(?:$|(?=\s))"), words),
-        "stops": per(count(r"[.!?]"), words),
-        "line_length": per(words, count("\n") + 1.0),
-        "same_lines": per(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines).cast("double")),
-        "distinct_words": per(F.size(F.array_distinct(tokens)).cast("double"), words),
-        "markup": per(count(r"[<>{}\[\]@/\\_=]"), chars),
-    }
+#: Counted in every text: matches of a pattern.
+PATTERNS = {
+    "upper": r"\p{Lu}",
+    "shouts": r"\p{Lu}{2,}",
+    "digits": "[0-9]",
+    "symbols": r"[^\p{L}\p{N}\s.,;:'\"-]",
+    "lone": r"(?:^|(?<=\s))[^\p{L}\p{N}\s]+(?:$|(?=\s))",
+    "stops": "[.!?]",
+    "markup": r"[<>{}\[\]@/\\_=]",
+}
+NAMES = [
+    "words", "word_length", "upper", "shouted", "digits", "symbols", "lone_symbols", "stops", "line_length", "same_lines", "distinct_words", "markup",
+]
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str]]:
-    stats = statistics(F.col(f"`{text_col}`"))
-    return docs.withColumn("_stats", once(F.struct(*[c.alias(n) for n, c in stats.items()]))), list(stats)
+    """``docs`` with the struct ``_stats`` of NAMES: statistics of the whole
+    text, all zero for an empty one.  Every count is taken once per text; the
+    ratios are built on the counts."""
+    t = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    filled = docs.withColumn("_tokens", once(F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda x: x != "")))
+    filled = filled.withColumn("_lines", once(F.split(t, "\n")))
+    counts = {
+        "chars": F.length(t),
+        "words": F.size("_tokens"),
+        "kinds": F.size(F.array_distinct("_tokens")),
+        "lines": F.size("_lines"),
+        "filled": F.size(F.filter("_lines", lambda x: x != "")),
+        "distinct": F.size(F.array_distinct(F.filter("_lines", lambda x: x != ""))),
+    } | {n: F.regexp_count(t, F.lit(p)) for n, p in PATTERNS.items()}
+    counted = filled.withColumn("_n", once(F.struct(*[c.cast("double").alias(n) for n, c in counts.items()]))).drop("_tokens", "_lines")
+
+    def per(a: str, b: str) -> Column:
+        return F.when(F.col(f"_n.{b}") > 0, F.col(f"_n.{a}") / F.col(f"_n.{b}")).otherwise(0.0)
+
+    stats = {
+        "words": F.col("_n.words"),
+        "word_length": per("chars", "words"),
+        "upper": per("upper", "chars"),
+        "shouted": per("shouts", "words"),
+        "digits": per("digits", "chars"),
+        "symbols": per("symbols", "chars"),
+        "lone_symbols": per("lone", "words"),
+        "stops": per("stops", "words"),
+        "line_length": per("words", "lines"),
+        "same_lines": F.when(F.col("_n.filled") > 0, 1.0 - F.col("_n.distinct") / F.col("_n.filled")).otherwise(0.0),
+        "distinct_words": per("kinds", "words"),
+        "markup": per("markup", "chars"),
+    }
+    return counted.withColumn("_stats", once(F.struct(*[stats[n].alias(n) for n in NAMES]))).drop("_n"), NAMES
 
 
 @dataclass(frozen=True)
