@@ -15,7 +15,6 @@ holding each class's cut, and only rows of that one bucket are ranked.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -36,8 +35,9 @@ TEST_FRACTION = 0.2
 MAX_ITER = 1000
 TOL = 1e-4  # the reference solver's default tolerance
 MIN_DF = 2
-VOCAB_CAP = 1 << 20  # safety bound on driver-side coefficients; far above the observed vocabulary
-ROWS_PER_TRAIN_TASK = 20_000
+# labelled rows a fit uses, about and at most (a share of the text hashes beyond it):
+# this alone bounds the vocabulary and the coefficients on the driver
+FIT_ROWS = 200_000
 
 
 def sample_key(id_col: str, seed: int) -> Column:
@@ -115,7 +115,7 @@ def train_severity(
     order: Sequence[str] = SEVERITY_ORDER,
     max_iter: int = MAX_ITER,
     min_df: int = MIN_DF,
-    vocab_cap: int = VOCAB_CAP,
+    fit_rows: int = FIT_ROWS,
     reg_c: float = 1.0,
 ) -> PipelineModel:
     """M5: fit the full pipeline; rows with null text or label are dropped
@@ -124,10 +124,12 @@ def train_severity(
     data = train.dropna(subset=[text_col, label]).withColumn("label", label_index(label, order)).filter(
         F.col("label").isNotNull()
     )
+    share = min(1.0, fit_rows / max(1, data.count()))
+    data = data.filter(F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
     data = with_balanced_weight(data, label)
     terms = SQLTransformer(statement=terms_statement(text_col))
     prefix = Pipeline(stages=[terms, CountVectorizer(inputCol="terms", outputCol="tf", minDF=float(min_df),
-                                                     vocabSize=vocab_cap)]).fit(data)
+                                                     vocabSize=(1 << 31) - 1)]).fit(data)
     tf = prefix.transform(data).cache()
     try:
         idf = IDF(inputCol="tf", outputCol="_idf").fit(tf).idf.toArray()
@@ -135,9 +137,9 @@ def train_severity(
         norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
         n = tf.count()
         # every L-BFGS iteration ships one (classes x vocabulary) gradient per
-        # partition: size partitions by rows, not by the upstream layout
-        parts = max(1, min(tf.rdd.getNumPartitions(), math.ceil(n / ROWS_PER_TRAIN_TASK)))
-        feats = norm.transform(scale.transform(tf)).coalesce(parts)
+        # partition: one partition per core, whatever the upstream layout
+        parts = data.sparkSession.sparkContext.defaultParallelism
+        feats = norm.transform(scale.transform(tf)).repartition(parts)
         lr = LogisticRegression(
             family="multinomial", maxIter=max_iter, tol=TOL, regParam=1.0 / (reg_c * max(n, 1)),
             elasticNetParam=0.0, standardization=False, weightCol="weight",

@@ -71,6 +71,5 @@ def x1_daily_audit(spark, sf_dir):
         labelled=adapters.labelled_narratives(t),
         narratives=adapters.narratives(t),
         series_rows=adapters.shipment_units(t),
-        complete_through=adapters.SERIES_END_EXCLUSIVE,
     )
     return run.audit

@@ -107,7 +107,7 @@ SPARSE_CTES = _series_ctes(adapters.SPARSE_UNITS_SQL)
 
 def _forecast_filled(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    monthly = series.monthly_units(adapters.shipment_units(t), complete_through=adapters.SERIES_END_EXCLUSIVE)
+    monthly = series.monthly_units(adapters.shipment_units(t))
     return series.interpolate(series.regularize_months(monthly))
 
 
@@ -118,9 +118,7 @@ def _sparse_regular(spark, sf_dir):
 
 @register("a5_monthly_units", _with(FORECAST_CTES, "SELECT * FROM monthly", recursive=True))
 def a5_monthly_units(spark, sf_dir):
-    return series.monthly_units(
-        adapters.shipment_units(Tables(spark, sf_dir)), complete_through=adapters.SERIES_END_EXCLUSIVE
-    )
+    return series.monthly_units(adapters.shipment_units(Tables(spark, sf_dir)))
 
 
 @register("ts1_regularize_months", _with(SPARSE_CTES, "SELECT * FROM regular"))

@@ -45,8 +45,6 @@ LINESTATUS_TO_DELIVERY = {"F": "Delivered"}  # else In Transit
 TRIAL_DRUG_MODULUS = 20  # Brand#1..Brand#20 get trials, Brand#21+ none
 PATIENT_AGE_MODULUS = 90
 PATIENT_AGE_OFFSET = 2
-# forecast input is trimmed before the ragged tail of the driver data
-SERIES_END_EXCLUSIVE = "2001-08-01"
 # ---------------------------------------------------------------------------
 
 
@@ -323,9 +321,9 @@ CASE_REPORT_OUTCOME_TERMS = ["error"]
 def shipment_units(t: Tables) -> DataFrame:
     """Shipped units as (series keys, month, units) rows before monthly sum.
 
-    Series = part type x supplier region.  The driver data has a ragged tail
-    (orders stop before shipments do); forecasts use
-    ``monthly_units(..., complete_through=SERIES_END_EXCLUSIVE)``.
+    Series = part type x supplier region, all months.  A caller that knows
+    of an incomplete last month passes ``complete_through`` to
+    ``monthly_units``.
     """
     li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
     part = t.part.select("p_partkey", "p_type")
@@ -344,8 +342,7 @@ def shipment_units(t: Tables) -> DataFrame:
 SHIPMENT_UNITS_SQL = f"""SELECT p_type AS drug_code, geo_region AS region, l_shipdate AS month, l_quantity AS units
   FROM lineitem JOIN part ON l_partkey = p_partkey
   JOIN (SELECT s_suppkey, geo_region FROM supplier JOIN ({GEO_SQL}) g ON s_nationkey = g.geo_nationkey) sg
-    ON l_suppkey = sg.s_suppkey
- WHERE l_shipdate < TIMESTAMP '{SERIES_END_EXCLUSIVE}'"""
+    ON l_suppkey = sg.s_suppkey"""
 
 
 def sparse_units(t: Tables) -> DataFrame:

@@ -15,10 +15,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rxlake.schemas import ALERT_REPORT
 
+#: Holds the text of a report that is not valid JSON; null for all others.
+CORRUPT = "_corrupt_record"
+
+
+def _reported(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(CORRUPT, StringType())])
+
 
 def _options(layout: str) -> dict:
     if layout not in ("document", "lines"):
@@ -27,6 +34,7 @@ def _options(layout: str) -> dict:
         "multiLine": "true" if layout == "document" else "false",
         "pathGlobFilter": "*.json",
         "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
     }
 
 
@@ -38,7 +46,7 @@ def read_alert_batch(
     spark: SparkSession, path: str, layout: str = "document", schema: StructType = ALERT_REPORT
 ) -> DataFrame:
     """Batch read of report files (same schema and options as the stream)."""
-    return _with_source(spark.read.schema(schema).options(**_options(layout)).json(path))
+    return _with_source(spark.read.schema(_reported(schema)).options(**_options(layout)).json(path))
 
 
 def read_alert_stream(
@@ -49,7 +57,7 @@ def read_alert_stream(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """New report files as a stream (file source, once-only per file)."""
-    reader = spark.readStream.schema(schema).options(**_options(layout))
+    reader = spark.readStream.schema(_reported(schema)).options(**_options(layout))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return _with_source(reader.json(path))

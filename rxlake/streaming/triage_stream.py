@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rxlake.functions.triage import alert_message, alert_subject, triage_signal
-from rxlake.schemas import ALERT_SIGNALS, HIGH_RISK_TERMS, OUTCOME_RISK_TERMS
+from rxlake.schemas import ALERT_REPORT, ALERT_SIGNALS, HIGH_RISK_TERMS, OUTCOME_RISK_TERMS
 from rxlake.session import scratch_path
-from rxlake.sources.alerts import read_alert_stream
+from rxlake.sources.alerts import CORRUPT, read_alert_stream
+
+#: Signal of a report that is not valid JSON; it is alerted with its text.
+UNREADABLE = "unreadable"
 
 ALERT_COLUMNS = [
     "case_id", "drug_code", "drug_name", "severity_signal", "country", "narrative", "source_key", "subject", "message",
@@ -42,10 +45,17 @@ def alerts(
     outcome_terms: Sequence[str] = OUTCOME_RISK_TERMS,
     signals: Sequence[str] = ALERT_SIGNALS,
 ) -> DataFrame:
-    """Reports -> one alert row per severe / life-threatening report (P14+P15)."""
+    """Reports -> one alert row per severe / life-threatening report (P14+P15),
+    and one per report that could not be read."""
     if "source_key" not in reports.columns:
         reports = reports.withColumn("source_key", F.lit(None).cast("string"))
-    flagged = with_signal(reports, terms, outcome_terms).filter(F.col("severity_signal").isin(*signals))
+    flagged = with_signal(reports, terms, outcome_terms)
+    if CORRUPT in reports.columns:  # a report that cannot be read may be a severe one: never drop it
+        # (one with a field of another type still has its other fields and is triaged by them)
+        unread = F.col(CORRUPT).isNotNull() & F.coalesce(*[F.col(c).cast("string") for c in ALERT_REPORT.names]).isNull()
+        flagged = flagged.withColumn("severity_signal", F.when(unread, UNREADABLE).otherwise(F.col("severity_signal")))
+        flagged = flagged.withColumn("narrative", F.when(unread, F.col(CORRUPT)).otherwise(F.col("narrative")))
+    flagged = flagged.filter(F.col("severity_signal").isin(*signals, UNREADABLE))
     return flagged.select(
         "case_id", "drug_code", "drug_name", "severity_signal", "country", "narrative", "source_key",
         alert_subject().alias("subject"),

@@ -359,3 +359,13 @@ def test_alert_sink_json_format(spark, tmp_dir):
     got = spark.read.json(sink)
     assert got.count() == 4
     assert {json.loads(r.message)["case_id"] for r in got.select("message").collect()} == {"J1", "J2", "J3", "J5"}
+
+
+def test_truncated_report_is_alerted_not_lost(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "cut.json"), "w") as f:
+        f.write('{"case_id": "AE1", "serious_flag": true, "outcome": "fatal ev')
+    with open(os.path.join(tmp_dir, "fine.json"), "w") as f:
+        f.write('{"case_id": "AE2", "serious_flag": true}')
+    got = {r["source_key"].rsplit("/", 1)[1]: r for r in ts.alerts(alert_src.read_alert_batch(spark, tmp_dir)).collect()}
+    assert got["cut.json"]["severity_signal"] == ts.UNREADABLE and "fatal ev" in got["cut.json"]["narrative"]
+    assert got["fine.json"]["severity_signal"] != ts.UNREADABLE
