@@ -169,6 +169,18 @@ def load_or_train(path: str, train: DataFrame, **kw) -> PipelineModel:
     return model
 
 
+def train_with_report(
+    labelled: DataFrame, label: str = LABEL, id_col: str = "case_id", text_col: str = "narrative", **kw
+) -> tuple[PipelineModel, DataFrame]:
+    """M6 + M5 + A10: fit on the stratified 80 % of the labelled narratives;
+    returns the model and its report on the held-out 20 %."""
+    known = labelled.dropna(subset=[text_col, label])
+    split = stratified_split(known, label, id_col)
+    model = train_severity(split.filter("split = 'train'").drop("split"), text_col, label, **kw)
+    scored = score_severity(model, split.filter("split = 'test'").drop("split"), text_col)
+    return model, classification_report(scored, label)
+
+
 # ---------------------------------------------------------------- A9, A10
 def label_agreement(scored: DataFrame, label: str = LABEL, pred: str = "predicted_severity") -> DataFrame:
     """Share of scored, labelled rows whose prediction equals the label."""

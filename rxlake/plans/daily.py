@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from rxlake.operators import curate, marts, quality, series, severity
 from rxlake.operators.clean import _dedup_plan, dedup, drop_lineage, require
 from rxlake.plans.q_board import MART_CHECKS
-from rxlake.schemas import FEEDS
-from rxlake.sinks.writers import write_file, write_zone
+from rxlake.schemas import FEEDS, FORECAST_HORIZON
+from rxlake.session import path_exists
+from rxlake.sinks.writers import materialize, replace_table, write_file, write_zone
 from rxlake.sources.feeds import read_zone
 
 AUDIT_SCHEMA = (
@@ -54,7 +55,18 @@ def run_daily(
     series_rows: DataFrame | None = None,
     model_path: str | None = None,
     complete_through: str | None = None,
+    score_cases: bool = False,
+    horizon: int = FORECAST_HORIZON,
+    min_months: int | None = None,
+    database: str | None = None,
 ) -> DailyRun:
+    """Run all stages into ``out_dir``.
+
+    A failing mart check stops the run before the scoring stages (the report
+    is written first).  ``score_cases`` trains on and scores the curated cases
+    themselves where no ``labelled`` / ``narratives`` are given.  With
+    ``database`` the curated zones and the marts also become its tables.
+    """
     run = DailyRun()
     out_dir = out_dir.rstrip("/")
     counts = {}
@@ -79,11 +91,15 @@ def run_daily(
         )
         curated_counts[f"curated.{name}"] = int(obs.get["n"])  # A8
 
+    if database:  # warehouse load (K2)
+        for name in ("adverse_events", "supply_demand"):
+            replace_table(read_zone(spark, run.paths[f"curated.{name}"]), f"{database}.curated_{name}", partition_by="region")
+
     # 3. curated -> staging views -> marts (K3) + model tests (Q)
     stg_ae = marts.stg_adverse_events(read_zone(spark, run.paths["curated.adverse_events"]))
     stg_sd = marts.stg_supply_demand(read_zone(spark, run.paths["curated.supply_demand"]))
-    stg_ae.createOrReplaceTempView("stg_adverse_events")
-    stg_sd.createOrReplaceTempView("stg_supply_demand")
+    materialize(stg_ae, "stg_adverse_events")
+    materialize(stg_sd, "stg_supply_demand")
     mart_frames = {
         "dim_drugs": marts.dim_drugs(stg_ae, stg_sd),
         "fct_adverse_events": marts.fct_adverse_events(stg_ae),
@@ -91,7 +107,11 @@ def run_daily(
         "fct_drug_demand": marts.fct_drug_demand(stg_sd),
     }
     for name, df in mart_frames.items():
-        run.paths[f"marts.{name}"] = write_zone(df, f"{out_dir}/marts/{name}", partition_by=None)
+        run.paths[f"marts.{name}"] = path = f"{out_dir}/marts/{name}"
+        if database:
+            materialize(df, f"{database}.{name}", "table", path)
+        else:
+            write_zone(df, path, partition_by=None)
     written = {n: read_zone(spark, run.paths[f"marts.{n}"]) for n in mart_frames}
     checks = quality.run_checks(
         {"dim_drugs": written["dim_drugs"], "fct_adverse_events": written["fct_adverse_events"],
@@ -100,18 +120,36 @@ def run_daily(
     )
     run.paths["marts.quality_report"] = write_zone(checks, f"{out_dir}/marts/quality_report", partition_by=None)
 
-    # 4. severity scoring (M7, K5, K6)
+    quality.assert_passed(read_zone(spark, run.paths["marts.quality_report"]))  # the gate: no scoring on bad marts
+
+    # 4. severity: train with a held-out report (M5, M6, A10) unless saved, score all (M7, K5, K6), agreement
+    if score_cases:
+        cases = read_zone(spark, run.paths["curated.adverse_events"])
+        labelled = cases if labelled is None else labelled
+        narratives = cases if narratives is None else narratives
     if narratives is not None and labelled is not None:
-        model = severity.load_or_train(model_path or f"{out_dir}/models/severity", labelled)
-        scored = severity.score_severity(model, narratives)
-        run.paths["scored.narratives"] = write_file(scored.drop("narrative"), f"{out_dir}/scored/narratives")
+        path = (model_path or f"{out_dir}/models/severity").rstrip("/")
+        if not path_exists(spark, f"{path}/metadata"):
+            model, report = severity.train_with_report(labelled)
+            model.write().overwrite().save(path)
+            run.paths["scored.report"] = write_zone(report, f"{out_dir}/scored/report", partition_by=None)
+        scored = severity.score_severity(severity.load_or_train(path, labelled), narratives)
+        run.paths["scored.narratives"] = write_file(scored, f"{out_dir}/scored/narratives")
+        if severity.LABEL in scored.columns:
+            agreement = severity.label_agreement(scored)
+            run.paths["scored.agreement"] = write_zone(agreement, f"{out_dir}/scored/agreement", partition_by=None)
 
     # 5. demand forecast (TS1-TS7, K5)
     if series_rows is not None:
         monthly = series.monthly_units(series_rows, complete_through=complete_through)
         filled = series.interpolate(series.regularize_months(monthly))
-        fc = series.demand_forecast(filled).withColumn("forecast_month", F.date_format("forecast_month", "yyyy-MM-dd"))
+        fc = series.demand_forecast(filled, horizon=horizon, min_months=min_months)
+        fc = fc.withColumn("forecast_month", F.date_format("forecast_month", "yyyy-MM-dd"))
         run.paths["forecast"] = write_file(fc, f"{out_dir}/forecast/demand_forecast")
+        skipped = series.history_gate(series.series_arrays(filled), min_months).filter("not eligible")
+        run.paths["forecast.skipped"] = write_file(
+            skipped.select(*series.KEYS, "n_months", "reason"), f"{out_dir}/forecast/skipped_series"
+        )
 
     rows = [
         (feed, n_in, n_out, n_in - n_req, n_req - n_out, n_in - n_out) for feed, (n_in, n_req, n_out) in counts.items()

@@ -6,6 +6,7 @@ from __future__ import annotations
 from rxlake.operators import kpis, quality
 from rxlake.operators.clean import load_audit
 from rxlake.operators.quality import Check
+from rxlake.plans.q_core import J3_SQL
 from rxlake.plans.registry import register
 from rxlake.plans.staged import Staged, with_ctes
 from rxlake.schemas import AGE_RANGE, SERIOUS_SEVERITIES, SEVERITY_ORDER
@@ -167,9 +168,7 @@ def q_feed_quality_report(spark, sf_dir):
     return quality.run_checks(tables, FEED_CHECKS)
 
 
-DIM_SQL = """(SELECT coalesce(ae.drug_code, sd.drug_code) AS drug_code, ae.drug_name
-  FROM (SELECT DISTINCT drug_code, drug_name FROM stg_ae) ae
-  FULL OUTER JOIN (SELECT DISTINCT drug_code FROM stg_sd) sd ON ae.drug_code = sd.drug_code)"""
+DIM_SQL = f"({J3_SQL})"
 
 
 @register(

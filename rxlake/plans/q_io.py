@@ -3,15 +3,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from rxlake import schemas
+from rxlake.operators import marts
 from rxlake.plans.daily import run_daily
 from rxlake.plans.q_board import audit_sql
+from rxlake.plans.q_core import J3_SQL
 from rxlake.plans.registry import register
 from rxlake.plans.staged import Staged, with_ctes
 from rxlake.session import scratch_path
-from rxlake.sinks.writers import write_file, write_zone
+from rxlake.sinks.writers import materialize, write_file, write_zone
 from rxlake.sources import adapters
-from rxlake.sources.feeds import quarantine_feed, read_feed, read_zone
+from rxlake.sources.feeds import CORRUPT_COL, quarantine_feed, read_feed, read_table, read_zone
 from rxlake.sources.tables import Tables
 
 TRIAL_COLS = schemas.CLINICAL_TRIALS.fieldNames()
@@ -40,6 +44,58 @@ def s2_quarantine_feed(spark, sf_dir):
     return good
 
 
+BAD_PHASE = "Phase I"
+
+
+@register(
+    "s2_quarantine_bad_rows",
+    f"SELECT trial_id, drug_code, TRUE AS has_line, TRUE AS has_file FROM ({TRIALS_SQL}) f WHERE phase = '{BAD_PHASE}'",
+)
+def s2_quarantine_bad_rows(spark, sf_dir):
+    """The trials drop with unreadable dates in one phase: the rows set aside,
+    with their raw line and file."""
+    path = scratch_path(spark, "raw-bad-trials")
+    feed = adapters.clinical_trials(Tables(spark, sf_dir)).select(*TRIAL_COLS)
+    spoilt = F.when(F.col("phase") == BAD_PHASE, F.lit("unknown")).otherwise(F.col("start_date").cast("string"))
+    write_file(feed.withColumn("start_date", spoilt), path, "csv")
+    _good, bad = quarantine_feed(spark, path, "clinical_trials")
+    has_line = F.col(CORRUPT_COL).contains(",unknown,") & F.startswith(F.col(CORRUPT_COL), F.col("trial_id"))
+    return bad.select("trial_id", "drug_code", has_line.alias("has_line"), F.endswith("source_key", F.lit(".csv")).alias("has_file"))
+
+
+TEXT_COLS = ["case_id", "drug_code", "report_date", "narrative"]
+
+
+@register(
+    "s1_read_feed_text",
+    """SELECT 'D' || doc_id AS case_id, source AS drug_code, DATE '2001-01-01' + CAST(doc_id % 365 AS INTEGER) AS report_date,
+              'said "ok", then: ' || text || chr(10) || ' "end" ' AS narrative FROM documents""",
+)
+def s1_read_feed_text(spark, sf_dir):
+    """An adverse-event drop whose narratives hold quotes, commas and line
+    breaks, written as CSV (K5) and read back (S1)."""
+    path = scratch_path(spark, "raw-adverse-events")
+    day = F.date_add(F.lit("2001-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    told = F.concat(F.lit('said "ok", then: '), F.col("text"), F.lit('\n "end" '))
+    docs = Tables(spark, sf_dir).documents.select(
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("case_id"), F.col("source").alias("drug_code"),
+        day.alias("report_date"), told.alias("narrative"),
+    )
+    feed = docs.select(*[
+        F.col(f.name) if f.name in TEXT_COLS else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.ADVERSE_EVENTS
+    ])
+    write_file(feed, path, "csv")
+    return read_feed(spark, path, "adverse_events").select(*TEXT_COLS)
+
+
+@register("k3_mart_table", with_ctes(J3_SQL))
+def k3_mart_table(spark, sf_dir):
+    """The drug dimension replaced as a catalog table (K2, K3), read by name."""
+    s = Staged(spark, sf_dir)
+    mart = marts.dim_drugs(s.stg_events, s.stg_supply_demand)
+    return read_table(spark, materialize(mart, "rxlake_dim_drugs", "table", scratch_path(spark, "dim-drugs")))
+
+
 @register("s3_zone_round_trip", with_ctes("SELECT * FROM curated_ae"))
 def s3_zone_round_trip(spark, sf_dir):
     """Curated cases written as a region-partitioned zone (K1) and read back

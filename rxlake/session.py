@@ -8,7 +8,6 @@ overridden. ``spark.checkpoint.dir`` is read from the session; a private
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -76,7 +75,8 @@ def get_spark(
             continue
         if active is not None:
             try:
-                active.conf.set(key, value)
+                if key in (extra or {}) or active.conf.get(key, None) is None:
+                    active.conf.set(key, value)
             except Exception:  # noqa: BLE001 - static conf of a running session
                 pass
         else:
@@ -126,10 +126,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_sf_dir() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem that owns ``path``
     (works for local, HDFS and object-store URIs alike)."""

@@ -23,28 +23,38 @@ def write_zone(df: DataFrame, path: str, partition_by: str | None = "region", mo
     return path
 
 
-def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> str:
-    """K2: replace a catalog table with the DataFrame (partition column kept)."""
-    df.write.mode("overwrite").format(fmt).saveAsTable(name)
+def replace_table(
+    df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None, partition_by: str | None = None
+) -> str:
+    """K2: replace a catalog table with the DataFrame; ``path`` says where its
+    files lie (unset: the warehouse folder)."""
+    w = df.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if path:
+        w = w.option("path", path)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.saveAsTable(name)
     return name
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view") -> str:
+def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> str:
     """K3: staging models as views, marts as tables."""
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        replace_table(df, name)
+        replace_table(df, name, path=path)
     else:
         raise ValueError(kind)
     return name
 
 
 def write_file(df: DataFrame, path: str, fmt: str = "csv") -> str:
-    """K5: scored rows / forecast as headered CSV (or Parquet)."""
+    """K5: scored rows / forecast as headered CSV (or Parquet).  Quotes in CSV
+    text are doubled and white space is kept, as ``read_feed`` expects."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        w = w.option("header", "true").option("escape", '"')
+        w.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     else:
         w.format(fmt).save(path)
     return path

@@ -5,6 +5,8 @@ so a reordered or renamed header is checked against the schema instead of
 silently shifting columns, and only ``*.csv`` files are read (alert JSON
 dropped under the same prefix is ignored).  Malformed rows either fail the
 read (``FAILFAST``) or are quarantined through ``columnNameOfCorruptRecord``.
+A quote inside quoted text is written twice, and feeds with free text may hold
+line breaks inside quotes (a file of such a feed is read by one task).
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from rxlake.schemas import FEEDS
 
 CORRUPT_COL = "_corrupt_record"
+#: Columns whose text may hold line breaks.
+FREE_TEXT = ("narrative",)
 
 
 def _csv(spark: SparkSession, schema: StructType, mode: str, corrupt: bool = False):
@@ -25,6 +29,8 @@ def _csv(spark: SparkSession, schema: StructType, mode: str, corrupt: bool = Fal
         .option("pathGlobFilter", "*.csv")
         .option("mode", mode)
         .option("dateFormat", "yyyy-MM-dd")
+        .option("escape", '"')
+        .option("multiLine", str(any(c in schema.fieldNames() for c in FREE_TEXT)).lower())
     )
     if corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
@@ -36,6 +42,7 @@ def read_feed(spark: SparkSession, path: str, feed: str, mode: str = "FAILFAST")
 
     ``FAILFAST`` raises on the first malformed row (the claimed strictness);
     ``PERMISSIVE`` nulls bad cells; use :func:`quarantine_feed` to keep them.
+    An empty cell is null, quoted or not.
     """
     return _csv(spark, FEEDS[feed].schema, mode).csv(path)
 

@@ -105,10 +105,14 @@ def reconcile_alerts(alert_rows: DataFrame, classified: DataFrame, label_col: st
 
     FULL OUTER join of alerted cases with cases the batch class calls
     serious; ``agreement`` is ``both`` / ``alert_only`` / ``class_only``.
+    The class is judged behind the join: a filter on a predicted class would
+    be pushed down and run the model's stages a second time.
     """
     a = alert_rows.select("case_id", "severity_signal")
-    c = classified.filter(F.col(label_col).isin(*serious)).select("case_id", F.col(label_col).alias("batch_class"))
-    j = a.join(c, "case_id", "full")
+    c = classified.select("case_id", F.col(label_col).alias("_class"))
+    called = F.when(F.col("_class").isin(*serious), F.col("_class"))
+    j = a.join(c, "case_id", "full").select("case_id", "severity_signal", called.alias("batch_class"))
+    j = j.filter(F.col("severity_signal").isNotNull() | F.col("batch_class").isNotNull())
     return j.withColumn(
         "agreement",
         F.when(F.col("severity_signal").isNotNull() & F.col("batch_class").isNotNull(), F.lit("both"))

@@ -2,12 +2,18 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 from conftest import SMALL
 from rxlake.plans.daily import run_daily
 from rxlake.plans.staged import Staged
+from rxlake.schemas import ADVERSE_EVENTS
+from rxlake.session import get_spark
+from rxlake.sinks.writers import write_file
 from rxlake.sources import adapters
-from rxlake.sources.feeds import read_zone
+from rxlake.sources.feeds import read_feed, read_zone
 
 
 def same_rows(a, b):
@@ -60,3 +66,60 @@ def test_daily_from_csv_drops(spark, tmp_dir):
     got = {r.feed: (r.rows_in, r.rows_out) for r in run.audit.collect() if not r.feed.startswith("curated.")}
     want = {r.feed: (r.rows_in, r.rows_out) for r in E.queries()["a7_load_audit"](spark, SMALL).collect()}
     assert got == want
+
+
+def test_failing_mart_check_stops_scoring(spark, tmp_dir):
+    s = Staged(spark, SMALL)
+    feeds = s.feeds()
+    label = F.when(F.col("severity_label") == "mild", "terrible").otherwise(F.col("severity_label"))
+    feeds["adverse_events"] = feeds["adverse_events"].withColumn("severity_label", label)
+    with pytest.raises(AssertionError, match="severity_label"):
+        run_daily(spark, feeds, tmp_dir, series_rows=adapters.shipment_units(s.tables))
+    assert os.path.isdir(os.path.join(tmp_dir, "marts", "quality_report"))
+    assert not os.path.isdir(os.path.join(tmp_dir, "forecast"))
+
+
+def test_daily_scores_cases_and_reports(spark, tmp_dir):
+    """Cases with narratives: report on the held-out fifth, every case scored
+    with all its columns, agreement, skipped series listed."""
+    s = Staged(spark, SMALL)
+    feeds = s.feeds()
+    told = F.concat(F.lit('patient said "'), F.col("severity_label"), F.lit('",\nthen rested'))
+    feeds["adverse_events"] = feeds["adverse_events"].withColumn("narrative", F.when(F.col("patient_age") > 2, told))
+    rows = adapters.shipment_units(s.tables)
+    run = run_daily(spark, feeds, tmp_dir, series_rows=rows, score_cases=True, horizon=2, min_months=10_000)
+    report = {r["label"]: r for r in spark.read.parquet(run.paths["scored.report"]).collect()}
+    assert report["accuracy"]["f1_score"] == 1.0
+    cases = read_zone(spark, run.paths["curated.adverse_events"])
+    assert report["accuracy"]["support"] < cases.count() / 4
+    scored = (
+        spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(run.paths["scored.narratives"])
+    )
+    assert set(scored.columns) == {*cases.columns, "predicted_severity"}
+    assert scored.count() == cases.count()
+    assert scored.filter("narrative is null and predicted_severity is not null").count() == 0
+    assert spark.read.parquet(run.paths["scored.agreement"]).first()["agreement"] == 1.0
+    skipped = spark.read.option("header", True).csv(run.paths["forecast.skipped"])
+    assert skipped.count() == rows.select("drug_code", "region").distinct().count()
+    assert spark.read.option("header", True).csv(run.paths["forecast"]).count() == 0
+
+
+def test_csv_keeps_quotes_line_breaks_and_blanks(spark, tmp_dir):
+    told = ['said "ok", then fell', "two\nlines", "two\r\nlines", "", " padded ", 'back\\slash "', '"', None]
+    rows = [(f"c{k}", t) for k, t in enumerate(told)]
+    df = spark.createDataFrame(rows, "case_id string, narrative string")
+    feed = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in ADVERSE_EVENTS])
+    path = write_file(feed, os.path.join(tmp_dir, "ae"))
+    back = read_feed(spark, path, "adverse_events").select("case_id", "narrative").collect()
+    assert sorted(map(tuple, back)) == [(k, t or None) for k, t in rows]  # an empty cell is null
+
+
+def test_get_spark_keeps_a_live_sessions_settings(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "12345")
+    try:
+        assert get_spark().conf.get(key) == "12345"
+        assert get_spark(extra={key: "54321"}).conf.get(key) == "54321"
+    finally:
+        spark.conf.set(key, before)
