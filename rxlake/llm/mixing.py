@@ -161,5 +161,6 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", **options) -> Da
     sizes = mixed_sizes(docs, id_col=id_col, **options).groupBy("doc_id").agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
     copies = F.when(F.col("s") == 0, 1).otherwise(F.floor(F.col("t") / F.col("s") + 0.5)).cast("int")
     uses = sizes.select(F.col("doc_id").alias("_id"), copies.alias("_copies")).filter("_copies > 0")
-    repeated = docs.join(uses, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")))
-    return repeated.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(F.sequence(F.lit(1), "_copies")).alias("_use")).drop("_use")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    repeated = rows.join(uses, F.col(f"row.`{id_col}`").eqNullSafe(F.col("_id")))
+    return repeated.select("row", F.explode(F.sequence(F.lit(1), "_copies"))).select("row.*")

@@ -191,5 +191,6 @@ def simhash_dedup(docs: DataFrame, **options) -> DataFrame:
     id_col = options.get("id_col", "doc_id")
     ident = F.col(f"`{id_col}`").cast("long")
     kept = simhash_components(docs, **options).filter("id = component_id").select(F.col("id").alias("_kept")).distinct()
-    named = docs.join(kept, ident == F.col("_kept"), "left_semi")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    named = rows.join(kept, F.col(f"row.`{id_col}`").cast("long") == F.col("_kept"), "left_semi").select("row.*")
     return named.unionByName(docs.filter(ident.isNull()))

@@ -61,6 +61,32 @@ def test_empty_tables(make_docs):
 
 
 # ---- components
+CLASHES = [
+    "_id", "_kept", "_copies", "_use", "_text", "_h", "_hot", "_salt", "_lead", "_top", "_rank", "_run", "_stats", "_tokens", "_lines", "_n", "_s",
+    "row", "id", "fp", "low", "component_id", "size", "target", "taken", "sid", "slot", "order", "chunk", "block", "rid", "doc", "word", "words",
+    "n_words", "score", "predicted", "held_out", "start", "length", "ids", "label", "keep_id", "group_size", "kept", "count", "key", "pos",
+]
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda d: exact.exact_groups(d), lambda d: exact.exact_dedup(d).select("doc_id", "text"),
+        lambda d: simhash.simhash_components(d), lambda d: simhash.simhash_dedup(d).select("doc_id", "text"),
+        lambda d: mixing.mixed_sizes(d).drop("rid"), lambda d: mixing.mixed_documents(d).select("doc_id", "text"),
+        lambda d: quality.classify(d, quality.RuleModel(0.5, ())).select("row.doc_id", "score", "predicted"),
+        lambda d: packing.with_crc(packing.pack(d.coalesce(1))), lambda d: substrings.substring_dedup(d, window=20),
+        lambda d: licences.scan(d),
+    ],
+)
+def test_clashing_columns_change_nothing(make_docs, operator):
+    rows = [(1, LONG, "s"), (2, LONG, "t"), (3, "a b c", "s"), (None, None, None), (4, "", "t")]
+    plain = make_docs(rows, extra=False).coalesce(1)
+    crowded = plain.withColumns({c: F.lit("x") for c in CLASHES})
+    values = [sorted(map(repr, operator(d).collect())) for d in (plain, crowded)]
+    assert values[0] == values[1]
+
+
 def test_components_match_union_find(spark):
     rng = np.random.default_rng(5)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(500 + i, 501 + i) for i in range(40)] + [(900, 901 + i) for i in range(50)]
