@@ -1,9 +1,10 @@
 """Declarative data-quality checks (Q1-Q8) and the orphan-code anti join.
 
-A suite is a list of :class:`Check`.  Row-level checks on the same table are
-evaluated together in **one** aggregate pass (one ``count_if`` per check);
-uniqueness is one grouped count per key; subset checks are anti joins on
-distinct keys.  The report has one row per check:
+A suite is a list of :class:`Check`.  Every table is read **once**: a row
+emits a mark for each row-level check it fails and the value of each column
+under a uniqueness or subset check.  The marks of all tables are counted per
+(check, value) in one grouped aggregate, whose partial counts collapse codes
+and failures before the shuffle.  The report has one row per check:
 ``(check, table_name, column_name, failing_rows, passed)``.
 
 Null handling: ``not_null`` counts nulls; ``unique`` and ``accepted_values``
@@ -65,44 +66,59 @@ def _row_fail(check: Check) -> Column:
 ROW_KINDS = {"not_null", "accepted_values", "range", "non_negative", "positive", "implies", "month_start"}
 
 
-def _report_rows(rows: list[tuple[Check, Column]], source: DataFrame) -> DataFrame:
-    agg = source.agg(*[F.count_if(cond).alias(f"_c{i}") for i, (_, cond) in enumerate(rows)])
-    structs = [
-        F.struct(
-            F.lit(chk.name).alias("check"),
-            F.lit(chk.table).alias("table_name"),
-            F.lit(chk.column).alias("column_name"),
-            F.col(f"_c{i}").cast("bigint").alias("failing_rows"),
-        )
-        for i, (chk, _) in enumerate(rows)
-    ]
-    return agg.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+def _marks(name: str, table: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
+    """``no, side, value`` of one table: row check ``no`` emits a null value per
+    failing row, a uniqueness or subset check every non-null value (side 1:
+    the superset of a subset check)."""
+    marks: list[Column] = []
 
+    def mark(no: int, side: int, value: Column, hit: Column) -> None:
+        marks.append(F.struct(
+            F.lit(no).alias("no"), F.lit(side).alias("side"), value.cast("string").alias("value"),
+            F.coalesce(hit, F.lit(False)).alias("hit"),
+        ))
 
-def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Evaluate a suite; returns the union of per-check report rows."""
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for chk in checks:
+    for no, chk in enumerate(checks):
         if chk.kind in ROW_KINDS:
-            by_table.setdefault(chk.table, []).append(chk)
-    for tname, chks in by_table.items():
-        parts.append(_report_rows([(c, _row_fail(c)) for c in chks], tables[tname]))
+            if chk.table == name:
+                mark(no, 0, F.lit(None), _row_fail(chk))
+            continue
+        if chk.table == name:
+            mark(no, 0, F.col(chk.column), F.col(chk.column).isNotNull())
+        if chk.kind == "subset" and chk.other == name:
+            other = F.col(chk.other_column or chk.column)
+            mark(no, 1, other, other.isNotNull())
+    if not marks:
+        return None
+    return table.select(F.explode(F.array(*marks)).alias("m")).filter("m.hit").select("m.no", "m.side", "m.value")
+
+
+def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Evaluate a suite; one report row per check, each table read once."""
     for chk in checks:
-        if chk.kind == "unique":
-            dup = (
-                tables[chk.table].filter(F.col(chk.column).isNotNull())
-                .groupBy(chk.column).count().filter(F.col("count") > 1)
-            )
-            parts.append(_single(chk, dup.agg(F.count(F.lit(1)).alias("n"))))
-        elif chk.kind == "subset":
-            right = tables[chk.other].select(F.col(chk.other_column or chk.column).alias(chk.column))
-            orphans = orphan_codes(tables[chk.table].filter(F.col(chk.column).isNotNull()), right, chk.column)
-            parts.append(_single(chk, orphans.agg(F.count(F.lit(1)).alias("n"))))
-    out = parts[0]
+        if chk.kind not in ROW_KINDS | {"unique", "subset"}:
+            raise ValueError(chk.kind)
+    parts = [p for name, table in tables.items() if (p := _marks(name, table, checks)) is not None]
+    marks = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("passed", F.col("failing_rows") == 0)
+        marks = marks.unionAll(p)
+    values = marks.groupBy("no", "value").agg(F.count("*").alias("rows"), F.max("side").alias("side"))
+    numbers = {kind: [n for n, c in enumerate(checks) if c.kind == kind] for kind in ("unique", "subset")}
+    failing = (
+        F.when(F.col("no").isin(numbers["unique"]), (F.col("rows") > 1).cast("bigint"))  # values held twice
+        .when(F.col("no").isin(numbers["subset"]), (F.col("side") == 0).cast("bigint"))  # values on the left only
+        .otherwise(F.col("rows"))
+    )
+    counts = values.groupBy("no").agg(F.sum(failing).alias("failing"))
+    suite = F.array(*[
+        F.struct(F.lit(n).alias("n"), F.lit(c.name).alias("check"), F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"))
+        for n, c in enumerate(checks)
+    ])
+    listed = marks.sparkSession.range(1).select(F.inline(suite))
+    report = listed.join(counts, F.col("n") == F.col("no"), "left")
+    return report.select(
+        "check", "table_name", "column_name", F.coalesce("failing", F.lit(0)).cast("bigint").alias("failing_rows")
+    ).withColumn("passed", F.col("failing_rows") == 0)
 
 
 def failures(report: DataFrame) -> DataFrame:
@@ -122,15 +138,6 @@ def assert_passed(report: DataFrame) -> None:
         raise AssertionError("data-quality checks failed:\n" + "\n".join(lines))
 
 
-def _single(chk: Check, counted: DataFrame) -> DataFrame:
-    return counted.select(
-        F.lit(chk.name).alias("check"),
-        F.lit(chk.table).alias("table_name"),
-        F.lit(chk.column).alias("column_name"),
-        F.col("n").cast("bigint").alias("failing_rows"),
-    )
-
-
 # ---- SQL twin for oracle checks ---------------------------------------------
 def _sql_lit(v) -> str:
     if isinstance(v, str):
