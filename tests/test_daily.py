@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SMALL
+from oracle import SMALL
 from rxlake.plans.daily import run_daily
 from rxlake.plans.staged import Staged
 from rxlake.schemas import ADVERSE_EVENTS

@@ -2,10 +2,9 @@
 queries without an oracle run and return rows."""
 
 import pytest
-from oracle import compare
+from oracle import SMALL, compare
 
 import __spark_entry__ as E
-from conftest import SMALL
 
 ORACLES = E.oracle_sql()
 ALL = sorted(E.queries())

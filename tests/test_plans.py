@@ -6,7 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
-from conftest import SMALL
+from oracle import SMALL
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1",
                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
