@@ -208,6 +208,18 @@ def _filters(docs: DataFrame, window: int) -> tuple[np.ndarray, np.ndarray]:
 ROUTED = "route long, content binary, doc long, th long, pos long, windows long"
 
 
+def _ordered(ident: np.ndarray, doc: np.ndarray, th: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the runs by content and start, and which of them are the first
+    of their content.  A run that a repeated row (equal doc and th) gives again
+    is the same run: it is left out, not late behind itself."""
+    order = np.lexsort((pos, th, doc, ident))
+    other = np.zeros(max(0, len(order) - 1), bool)
+    for x in (ident, doc, th, pos):
+        other |= np.diff(x[order]) != 0
+    order = order[np.concatenate([[True], other])]
+    return order, np.concatenate([[True], np.diff(ident[order]) != 0])
+
+
 def _runs(docs: DataFrame, shared, window: int) -> DataFrame:
     """Runs whose anchor may repeat, with their content; of equal runs in one
     chunk only the first carries it, the others start later for certain and
@@ -235,8 +247,7 @@ def _runs(docs: DataFrame, shared, window: int) -> DataFrame:
             ident = np.array([digest(c) for c in content], dtype=np.uint64).view(np.int64)
             doc, th = (np.asarray(b.column(c), dtype=np.int64)[row] for c in (1, 2))
             pos = first - ends[row]
-            order = np.lexsort((pos, th, doc, ident))
-            lead = np.concatenate([[True], np.diff(ident[order]) != 0])
+            order, lead = _ordered(ident, doc, th, pos)
             kept = [content[k] if x else None for k, x in zip(order.tolist(), lead.tolist(), strict=True)]
             route = np.where(lead, np.where(single, ident, anchor)[order], doc[order])
             columns = [route, *(x[order] for x in (doc, th, pos, count))]
@@ -252,8 +263,7 @@ def _late(rows: list[np.ndarray], content: list[bytes], window: int) -> pa.Recor
     doc, th, pos = rows
     digest = xxhash.xxh64_intdigest
     ident = np.array([digest(c) for c in content], dtype=np.uint64)
-    order = np.lexsort((pos, th, doc, ident))
-    lead = np.concatenate([[True], np.diff(ident[order]) != 0])
+    order, lead = _ordered(ident, doc, th, pos)
     again = order[~lead]  # equal runs behind the first: every window is late
     order = order[lead]
     order = order[np.lexsort((pos[order], th[order], doc[order]))]
@@ -315,7 +325,8 @@ def substring_dedup(docs: DataFrame, *, window: int = 20, id_col: str = "doc_id"
     hashes of their words, all of a window's at once.
 
     Null text has no words; rows without id come last in the order; rows that
-    repeat both id and text are one document and get the same result; rows
+    repeat both id and text (or the text, without id) are one document: they
+    get the same result and are no repeats of each other; rows
     that repeat an id with other texts are ordered by their text's hash; texts
     under ``window`` words keep all; an empty table gives no rows.
     """

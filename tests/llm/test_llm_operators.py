@@ -405,6 +405,17 @@ def test_substrings_match_brute_force(make_docs, monkeypatch, hot):
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got), key=str) == brute_substrings(rows, 20)
 
 
+@pytest.mark.parametrize("parts", [1, 8])
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_repeated_rows_keep_what_they_own(make_docs, monkeypatch, hot, parts):
+    monkeypatch.setattr(substrings, "HOT_RUNS", hot)
+    own, tail, lost = (" ".join(f"{c}{i}" for i in range(60)) for c in "otn")
+    rows = [(1, own), (1, own), (2, f"{tail} {own}"), (2, f"{tail} {own}"), (3, "z " * 30), (3, "z " * 30), (None, lost), (None, lost), (4, "few words")]
+    got = rows_of(substrings.substring_dedup(make_docs(rows).repartition(parts), window=20))
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got), key=str) == brute_substrings(rows, 20)
+    assert sorted((r["doc_id"] or 9, r["n_removed"]) for r in got) == [(1, 0), (1, 0), (2, 60), (2, 60), (3, 29), (3, 29), (4, 0), (9, 0), (9, 0)]
+
+
 # ---- registered queries against SQL
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_sql_oracles(spark, duck_small, name):
