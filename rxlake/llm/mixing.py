@@ -11,7 +11,8 @@ from rxlake.llm.common import WORD_PATTERN, cut
 WEIGHTS = (5, 2, 1)
 #: Times a source (and so each of its documents) may be used.
 MOST_USES = 3
-#: About so many slots of equal token blocks make the mix (log2).
+#: About so many slots of equal token blocks make the mix (log2), and one more
+#: at most for each use of a source smaller than a block.
 SLOT_BITS = 18
 #: Hash ranges by which a source's running sums are split over tasks.
 RANGES = 1024
@@ -63,41 +64,66 @@ def _running(rows: DataFrame, value: str, parts: list[str], order: list[str], ch
 
 
 def schedule(sources: DataFrame) -> DataFrame:
-    """``slot, sid, block, use``: the mix in order.
+    """``slot, sid, block, use, limit``: the mix in order.
 
     ``sources``: ``sid, source_size, target, blocks``.  Slot k draws the
     van der Corput point of k (its bits reversed) through the cumulative
     slots wanted per source; the r-th slot of a source takes its block
-    r mod blocks, and a slot whose source has used every block MOST_USES times
-    stays empty.
+    r mod blocks.  The points of one period are at least as many as all slots
+    wanted, so every slot has a point of its own.  A source takes its target
+    to the word: slots drawn beyond it stay empty, slots it was not drawn for
+    follow the others (in turn over the sources), and of the last block only
+    the first ``limit`` words are taken (null: all).
     """
-    want = sources.filter("blocks > 0").withColumn("want", F.col("target") / F.col("source_size") * F.col("blocks"))
+    due = F.round("target").cast("long")
+    want = (
+        sources.filter("blocks > 0")
+        .withColumn("want", F.col("target") / F.col("source_size") * F.col("blocks"))
+        .withColumn("_rest", due % F.col("source_size"))  # words of the use that is cut
+        .withColumn("_last", F.expr("(_rest * blocks + source_size - 1) div source_size"))  # blocks they reach into
+        .withColumn("quota", F.expr("cast(round(target) as bigint) div source_size * blocks + _last"))
+        .withColumn("limit", F.expr("case when _rest > 0 then _rest - ((_last - 1) * source_size div blocks) end"))
+    )
     edge = F.sum("want").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cells = F.lit(1 << SLOT_BITS)
-    ranges = want.withColumn("high", edge).withColumn("all", F.sum("want").over(every)).select(
-        "sid", "blocks", F.round("all").cast("long").alias("slots"),
-        F.ceil((F.col("high") - F.col("want")) / F.col("all") * cells).alias("from"),
-        F.least(F.ceil(F.col("high") / F.col("all") * cells), cells).alias("to"),
+    cells = F.expr("shiftleft(1L, bits)")
+    ranges = (
+        want.withColumn("high", edge)
+        .withColumn("all", F.sum("want").over(every))
+        .withColumn("turn", F.max("sid").over(every) + F.lit(1).cast("long"))
+        .withColumn("bits", F.greatest(F.lit(SLOT_BITS), F.ceil(F.log2("all")).cast("int")))
+        .select(
+            "sid", "blocks", "quota", "limit", "turn", "bits", F.round("all").cast("long").alias("slots"),
+            F.ceil((F.col("high") - F.col("want")) / F.col("all") * cells).alias("from"),
+            F.least(F.ceil(F.col("high") / F.col("all") * cells), cells).alias("to"),
+        )
     )
-    # one period of the points: point p / cells is drawn at slot reverse(p), and so on every `cells` slots
+    # point p / cells is drawn at slot reverse(p)
     drawn = ranges.filter("`to` > `from`").select(
-        "sid", "blocks", "slots", F.explode(F.sequence(F.col("from"), F.col("to") - 1)).alias("point")
+        "sid", "slots", "bits", F.explode(F.sequence(F.col("from"), F.col("to") - 1)).alias("point")
     )
-    bits = F.lpad(F.bin("point"), SLOT_BITS, "0")
-    first = F.conv(F.reverse(bits), 2, 10).cast("long")
-    periods = F.floor((F.col("slots") - 1 - F.col("first")) / cells)
+    slot = F.conv(F.reverse(F.lpad(F.bin("point"), F.col("bits"), F.lit("0"))), 2, 10).cast("long")
     slots = (
-        drawn.withColumn("first", first)
-        .filter("first < slots")
-        .withColumn("period", F.explode(F.sequence(F.lit(0).cast("long"), periods)))
-        .select("sid", "blocks", (F.col("first") + F.col("period") * cells).alias("slot"))
-        .withColumn("one", F.lit(1).cast("long"))
-        .withColumn("chunk", F.floor(F.col("slot") / F.lit(1 << (SLOT_BITS - 8))))
+        drawn.withColumn("slot", slot)
+        .filter("slot < slots")
+        .select("sid", "slot", F.lit(1).cast("long").alias("one"))
+        .withColumn("chunk", F.floor(F.col("slot") / F.lit(1 << max(0, SLOT_BITS - 8))))
+    )
+    ranked = _running(slots, "one", ["sid"], ["slot"], "chunk", "rank").select("sid", "slot", "rank")
+    count = slots.groupBy(F.col("sid").alias("_sid")).agg(F.count("*").alias("_n"))
+    first = F.coalesce("_n", F.lit(0).cast("long"))
+    missing = (
+        ranges.join(count, F.col("sid") == F.col("_sid"), "left")
+        .filter(F.col("quota") > first)
+        .select("sid", "slots", "turn", first.alias("first"), F.explode(F.sequence(first, F.col("quota") - 1)).alias("rank"))
+        .select("sid", (F.col("slots") + (F.col("rank") - F.col("first")) * F.col("turn") + F.col("sid")).alias("slot"), "rank")
+    )
+    of = ranges.select(F.col("sid").alias("_sid"), "blocks", "quota", "limit")
+    used = ranked.unionByName(missing).join(of, F.col("sid") == F.col("_sid")).filter("rank < quota")
+    return used.select(
+        "slot", "sid", (F.col("rank") % F.col("blocks")).alias("block"), F.floor(F.col("rank") / F.col("blocks")).alias("use"),
+        F.when(F.col("rank") == F.col("quota") - 1, F.col("limit")).alias("limit"),
     )
-    ranked = _running(slots, "one", ["sid"], ["slot"], "chunk", "rank")
-    used = ranked.filter(F.col("rank") < MOST_USES * F.col("blocks"))
-    return used.select("slot", "sid", (F.col("rank") % F.col("blocks")).alias("block"), F.floor(F.col("rank") / F.col("blocks")).alias("use"))
 
 
 def mix(docs: DataFrame, *, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -109,7 +135,8 @@ def mix(docs: DataFrame, *, seed: int = 17, id_col: str = "doc_id", text_col: st
 
     A source's documents, in hash order, form one stream that is cut into
     blocks of equal tokens; ``schedule`` decides which block fills which slot,
-    and a block's documents are joined to it.  Running sums over a hot source
+    and a block's documents are joined to it.  Every source, however small, is
+    taken to its target, rounded to whole words.  Running sums over a hot source
     are split by hash range.  Null text has size 0; empty documents and
     sources are never taken; the null source is a source of its own (last);
     repeated rows are documents of their own.
@@ -138,9 +165,14 @@ def mix(docs: DataFrame, *, seed: int = 17, id_col: str = "doc_id", text_col: st
         parts.withColumn("lo", F.greatest(F.col("at"), edge(F.col("b"))))
         .withColumn("hi", F.least(F.col("at") + F.col("size"), edge(F.col("b") + 1)))
         .filter((F.col("b") >= 0) & (F.col("b") < F.col("blocks")) & (F.col("lo") < F.col("hi")))
-        .select("sid", F.col("b").alias("block"), "rid", (F.col("lo") - F.col("at")).alias("first_word"), (F.col("hi") - F.col("lo")).alias("words"))
+        .select(
+            "sid", F.col("b").alias("block"), "rid", (F.col("lo") - F.col("at")).alias("first_word"), (F.col("hi") - F.col("lo")).alias("words"),
+            (F.col("lo") - edge(F.col("b"))).alias("offset"),
+        )
     )
-    pieces = schedule(sources).join(parts, ["sid", "block"]).select("slot", "rid", "first_word", "words", "use")
+    words = F.when(F.col("limit").isNull(), F.col("words")).otherwise(F.least(F.col("words"), F.col("limit") - F.col("offset")))
+    pieces = schedule(sources).join(parts, ["sid", "block"]).withColumn("words", words).filter("words > 0")
+    pieces = pieces.select("slot", "rid", "first_word", "words", "use")
     return documents, pieces
 
 

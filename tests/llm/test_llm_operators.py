@@ -225,6 +225,26 @@ def test_schedule_is_low_discrepancy(spark):
         assert abs(len(mine) - want) <= 4 and max(r["use"] for r in mine) < mixing.MOST_USES
 
 
+def test_every_small_source_reaches_its_target(make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOT_BITS", 8)
+    rows = [(k, "w " * 500, f"big{k % 4}") for k in range(120)]
+    rows += [(1000 + k, "w " * (1 + k % 5), f"small{k:03d}") for k in range(600)]
+    got = rows_of(mixing.mixed_sizes(make_docs(rows)))
+    source, of = {}, {i: s for i, _, s in rows}
+    for i, t, s in rows:
+        source[s] = source.get(s, 0) + len(words(t))
+    want, taken = brute_targets(source), dict.fromkeys(source, 0)
+    for r in got:
+        taken[of[r["doc_id"]]] += r["taken"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    assert all(abs(taken[s] - want[s]) < 0.501 for s in source)
+    uses = {r["doc_id"]: r["n"] for r in rows_of(mixing.mixed_documents(make_docs(rows)).groupBy("doc_id").agg(F.count("*").alias("n")))}
+    assert all(uses.get(1000 + k) == 3 for k in range(600))
+    src = make_docs(rows).sparkSession.createDataFrame([(k, 10, 30.0 if k % 2 else 0.2, 1) for k in range(1, 2001)], "sid int, source_size long, target double, blocks long")
+    slots = mixing.schedule(src).collect()
+    assert len({r["slot"] for r in slots}) == len(slots) == 3000
+
+
 # ---- quality
 def test_quality_on_held_out_rows(spark):
     got = catalog.op3_quality_rules(spark, MEDIUM).join(spark.read.parquet(f"{MEDIUM}/labels.parquet"), "doc_id").filter("held_out").collect()
