@@ -1,13 +1,14 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-The model is a backoff n-gram model over words.  It keeps the n-grams that
-hold at least 1 / LEVEL_SIZE of the training tokens, so each level has at most
-LEVEL_SIZE entries and the trie may be broadcast; every other n-gram backs
-off, down to exact unigram counts that stay distributed.
+The model is a backoff n-gram model over words.  It keeps every n-gram of
+MIN_COUNT training occurrences, in shards by context; a shard's trie is built
+and asked in one task.  Every other n-gram backs off, down to exact unigram
+counts that stay distributed.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 import tempfile
@@ -23,9 +24,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from rxlake.llm.common import batches, bucket_of, cut, shuffle_width, split_words
 
-#: Entries of a trie level at most: an n-gram is kept from a count of
-#: training tokens / LEVEL_SIZE (and MIN_COUNT).
+#: Words whose counts are broadcast hold 1 / LEVEL_SIZE of the training tokens
+#: (and the n-grams of a model in one block, see ``train``).
 LEVEL_SIZE = 1 << 18
+#: Training occurrences from which an n-gram is kept.
 MIN_COUNT = 3
 ORDER = 3
 DISCOUNT = 0.75
@@ -35,6 +37,11 @@ ADD = 0.1
 STEPS = 1 << 12
 #: Keys counted in a task before they are handed on.
 KEYS = 1 << 22
+#: Tokens of a shard of the model, about.
+SHARD_TOKENS = 1 << 20
+#: Stand for the hashes of a document's start, its end, and what is before the start.
+START, END, NONE = 1, 2, 3
+TYPES = ("|u1", "<u2", "<u4", "<i8", "<f8")
 
 
 class EliasFano:
@@ -105,14 +112,13 @@ class Level:
             return np.full(len(node), -1)
         before = np.where(lo > 0, self.ids.get(np.maximum(lo - 1, 0)) + 1, 0)
         want, hi = ident + before, end.copy()
-        while True:
-            open_ = lo < hi
-            if not open_.any():
-                break
-            mid = (lo + hi) >> 1
-            less = open_ & (self.ids.get(np.minimum(mid, self.ids.size - 1)) < want)
-            lo = np.where(less, mid + 1, lo)
-            hi = np.where(open_ & ~less, mid, hi)
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            mid = (lo[open_] + hi[open_]) >> 1
+            less = self.ids.get(mid) < want[open_]
+            lo[open_[less]] = mid[less] + 1
+            hi[open_[~less]] = mid[~less]
+            open_ = open_[lo[open_] < hi[open_]]
         hit = lo < end
         hit &= self.ids.get(np.minimum(lo, self.ids.size - 1)) == want
         return np.where(hit, lo, -1)
@@ -208,6 +214,33 @@ class Trie:
             total[off] += self.back[k][context[off]]
         return total, open_
 
+    def follow(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``score`` of the token ``c`` after ``a, b``, for distinct triples
+        sorted by ``a, b`` (before the start, ``a`` is -1)."""
+        wide, (pairs, *deeper) = self.end + 2, self.levels
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(a) != 0) | (np.diff(b) != 0)]))
+        ok = (a[first] >= 0) & (b[first] != self.start)
+        context = np.full(len(first), -1)
+        context[ok] = pairs.find(a[first[ok]], b[first[ok]])
+        context = np.repeat(context, np.diff(np.append(first, len(a))))
+        key, place = np.unique(b * wide + c, return_inverse=True)
+        suffix = pairs.find(key // wide, key % wide)[place]
+        weight, open_ = np.zeros(len(a)), np.ones(len(a), bool)
+        if deeper:
+            ok = np.flatnonzero((context >= 0) & (suffix >= 0))
+            node = deeper[0].find(context[ok], suffix[ok] - pairs.pointers.get(b[ok]))
+            codes, centres = self.logp[1]
+            weight[ok[node >= 0]] = centres[codes[node[node >= 0]]]
+            open_[ok[node >= 0]] = False
+            off = open_ & (context >= 0)
+            weight[off] += self.back[1][context[off]]
+        here = open_ & (suffix >= 0)
+        codes, centres = self.logp[0]
+        weight[here] += centres[codes[suffix[here]]]
+        open_ &= ~here
+        weight[open_] += self.back[0][b[open_]]
+        return weight, open_
+
 
 def _ef(name: str, e: EliasFano) -> dict[str, np.ndarray]:
     return {f"{name}l": e.low, f"{name}h": e.high, f"{name}o": e.ones, f"{name}n": np.array([e.width, e.size])}
@@ -296,8 +329,17 @@ def _kept(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     return key[order], n[order]
 
 
+def _words(train_docs: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """(word counts, documents, tokens, distinct tokens)."""
+    words = cut(_count(train_docs, lambda hashes, index, ends: hashes[index]))
+    about = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    opened = train_docs.count()
+    return words, opened, about["n"] + opened, about["v"] + (opened > 0)
+
+
 def train(train_docs: DataFrame, order: int = ORDER) -> tuple[bytes, DataFrame, int, int]:
-    """(trie block, word counts, training tokens, distinct training tokens).
+    """(trie block, word counts, training tokens, distinct training tokens) of
+    a model in one block; ``score`` builds the whole model in shards instead.
 
     Words are counted over all training documents, and the n-grams of the next
     order whose prefix and suffix were both kept (no other can reach the
@@ -305,10 +347,7 @@ def train(train_docs: DataFrame, order: int = ORDER) -> tuple[bytes, DataFrame,
     kept entries, at most LEVEL_SIZE a level, reach the driver.
     """
     spark: SparkSession = train_docs.sparkSession
-    words = cut(_count(train_docs, lambda hashes, index, ends: hashes[index]))
-    about = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    opened = train_docs.count()
-    tokens, types = about["n"] + opened, about["v"] + (opened > 0)
+    words, opened, tokens, types = _words(train_docs)
     least = max(MIN_COUNT, math.ceil(tokens / LEVEL_SIZE))
     hashes, counts = _kept(words, least)
     counts = np.concatenate([counts, [0, opened]])
@@ -333,49 +372,248 @@ def train(train_docs: DataFrame, order: int = ORDER) -> tuple[bytes, DataFrame,
     return write_levels(_arrays(hashes, counts, grams, opened, tokens, types)), words, tokens, types
 
 
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers in one compressed block, whole numbers as narrow as
+    they fit."""
+    head, parts = [], []
+    for x in arrays:
+        if x.dtype.kind != "f":
+            small = len(x) and x.min() >= 0 and x.max() < 1 << 32
+            x = x.astype(np.min_scalar_type(int(x.max())) if small else np.int64)  # noqa: PLW2901
+        head += [TYPES.index(x.dtype.str), len(x)]
+        parts.append(x.tobytes())
+    block = np.array(head, np.int64).tobytes() + b"".join(parts)
+    return len(block).to_bytes(8, "little") + pa.compress(block, "zstd", asbytes=True)
+
+
+def _unpack(block: bytes, arrays: int) -> list[np.ndarray]:
+    block = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), "zstd", asbytes=True)
+    head, at, out = np.frombuffer(block, np.int64, 2 * arrays).tolist(), 16 * arrays, []
+    for kind, n in zip(head[::2], head[1::2], strict=True):
+        x = np.frombuffer(block, TYPES[kind], n, at)
+        at += x.nbytes
+        out.append(x if x.dtype.kind == "f" else x.astype(np.int64))
+    return out
+
+
+def _mixed(hashes: np.ndarray, other: np.ndarray | int = 0) -> np.ndarray:
+    x = hashes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    x += np.asarray(other, np.int64).view(np.uint64)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _triples(a: np.ndarray, b: np.ndarray, c: np.ndarray, wide: int) -> np.ndarray:
+    """One key per triple of numbers below ``wide``, in order of a, b, c."""
+    pair = a * wide + b
+    if wide >= 1 << 21:
+        pair = np.unique(pair, return_inverse=True)[1]
+    return pair * wide + c
+
+
+def _pieces(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int | None, bytes]]:
+    for b in it:
+        yield from zip(*[c.to_pylist() for c in b.columns], strict=True)
+
+
+class Routes:
+    """Shard of a token by the word before it; words that hold more than a
+    shard's share are split by the word before that (the start: by the token)."""
+
+    def __init__(self, shards: int, hot: np.ndarray, splits: np.ndarray) -> None:
+        self.shards, self.hot, self.splits = shards, hot, splits  # hot: sorted
+
+    def split(self, words: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
+        return np.where(self.hot[at] == words, self.splits[at], 1)
+
+    def shard(self, words: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return ((_mixed(words) % np.uint64(self.shards)).astype(np.int64) + part) % self.shards
+
+    def of(self, a: np.ndarray, b: np.ndarray, c: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        by = _mixed(hashes, 1)[np.where(hashes[b] == START, c, a)]
+        return self.shard(hashes, np.zeros(1, np.int64))[b] + (by % self.split(hashes)[b].astype(np.uint64)).astype(np.int64)
+
+
+def _gram_packs(routes: Routes, hashes: np.ndarray, index: np.ndarray, ends: np.ndarray, row: np.ndarray, train: np.ndarray) -> list[tuple[int, bytes]]:
+    """Per shard the chunk's distinct triples (word hashes; places of a, b, c
+    in them; training count; tokens) and the row of every token."""
+    v = len(hashes)
+    code = np.concatenate([hashes, np.array([START, END, NONE])])
+    seq, doc = _sequence(index, ends, v, v + 1)
+    b = np.concatenate([[v + 2], seq[:-1]])
+    a = np.where(b == v, v + 2, np.concatenate([[v + 2, v + 2], seq])[: len(seq)])
+    real = seq != v
+    a, b, c, doc = a[real], b[real], seq[real], doc[real]
+    shard = routes.of(a, b, c, code) % routes.shards
+    key = _triples(b, a, c, v + 3)
+    order = np.lexsort((key, shard))
+    a, b, c, doc, shard, key = (x[order] for x in (a, b, c, doc, shard, key))
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(shard) != 0)]))
+    n = np.diff(np.append(first, len(key)))
+    t = np.add.reduceat(train[doc].astype(np.int64), first)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(shard[first])) + 1, [len(first)]])
+    out = []
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        f = first[lo:hi]
+        words, place = np.unique(np.concatenate([a[f], b[f], c[f]]), return_inverse=True)
+        tokens = doc[f[0] : f[-1] + n[hi - 1]]
+        out.append((int(shard[f[0]]), _pack(code[words], *np.split(place, 3), t[lo:hi], n[lo:hi], row[tokens] - row[0])))
+    return out
+
+
+def _pairs(scanned: DataFrame, shards: int) -> DataFrame:
+    """``b, c, n``: bigrams of MIN_COUNT training occurrences, counted in
+    tasks, packed by range of their hash and summed per range."""
+
+    def summed(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+        b, c, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        key, first, place = np.unique(_mixed(b, c), return_index=True, return_inverse=True)
+        return [key, b[first], c[first], np.bincount(place, n, len(key)).astype(np.int64)]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def packed() -> pa.RecordBatch:
+            key, *columns = summed(held)
+            at = np.searchsorted((key >> np.uint64(44)).astype(np.int64) * shards >> 20, np.arange(shards + 1))
+            packs = [_pack(*[x[lo:hi] for x in columns]) for lo, hi in zip(at[:-1], at[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(range(shards), pa.int32()), pa.array(packs)], ["shard", "pairs"])
+
+        for (block,) in _pieces(it):
+            words, _, b, c, t, _, _ = _unpack(block, 7)
+            held.append([words[b[t > 0]], words[c[t > 0]], t[t > 0]])
+            size += len(held[-1][0])
+            if size > KEYS // 4:
+                yield packed()
+                held, size = [], 0
+        if size:
+            yield packed()
+
+    def total(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [_unpack(block, 3) for _, block in _pieces(it)]
+        if held:
+            _, b, c, n = summed(held)
+            yield pa.RecordBatch.from_arrays([pa.array(x[n >= MIN_COUNT]) for x in (b, c, n)], ["b", "c", "n"])
+
+    packs = scanned.filter("grams is not null").select("grams").mapInArrow(run, "shard int, pairs binary")
+    return packs.repartition(shards, "shard").mapInArrow(total, "b long, c long, n long")
+
+
+def _solve(model: list[list[np.ndarray]], asks: list[list[np.ndarray]], about: tuple[int, int, int], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The shard's trie, and per pack of ``asks`` what each triple adds to the
+    unigram term of its token, and whether it backed off to that term.
+
+    A shard sees every occurrence of the contexts (a, b) it owns, so it counts
+    them and their trigrams itself; the bigrams (b, c) come counted."""
+    opened, tokens, types = about
+    b, c, n, nc, nb = (np.concatenate(x) for x in zip(*model, strict=True)) if model else [np.empty(0, np.int64)] * 5
+    words = np.unique(np.concatenate([b, c, *[q[0] for q in asks]]))
+    words = words[~np.isin(words, [START, END, NONE])]
+    s = len(words)
+    wide = s + 3
+
+    def ids(h: np.ndarray) -> np.ndarray:
+        return np.select([h == START, h == END, h == NONE], [s, s + 1, s + 2], np.searchsorted(words, h))
+
+    b, c = ids(b), ids(c)
+    places = [ids(q[0]) for q in asks]
+    ta, tb, tc = (np.concatenate([w[q[k]] for w, q in zip(places, asks, strict=True)]) for k in (1, 2, 3))
+    _, at, place = np.unique(_triples(ta, tb, tc, wide), return_index=True, return_inverse=True)
+    t = np.bincount(place, np.concatenate([q[4] for q in asks]), len(at)).astype(np.int64)
+    ta, tb, tc = ta[at], tb[at], tc[at]
+    inner = tb != s
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(ta) != 0) | (np.diff(tb) != 0)]))
+    seen = np.add.reduceat(t, first)
+    own = first[(seen >= MIN_COUNT) & inner[first]]
+    key, at = np.unique(np.concatenate([b * wide + c, ta[own] * wide + tb[own]]), return_index=True)
+    count = np.concatenate([n, seen[(seen >= MIN_COUNT) & inner[first]]])[at]
+    counts = np.zeros(wide, np.int64)
+    counts[b], counts[c] = nb, nc
+    counts = np.where(counts > 0, counts, np.bincount(key // wide, count, wide).astype(np.int64))  # contexts of other shards: never asked
+    grams = [(key // wide, key % wide, count)]
+    kept = np.flatnonzero((t >= MIN_COUNT) & inner)
+    node = np.searchsorted(key, ta[kept] * wide + tb[kept])
+    ident = np.searchsorted(key, tb[kept] * wide + tc[kept]) - np.searchsorted(key, tb[kept] * wide)
+    by = np.lexsort((ident, node))
+    grams.append((node[by], ident[by], t[kept][by]))
+    total = np.concatenate([counts[:s], [0, opened]])
+    trie = Trie(map_levels(write_levels(_arrays(words, total, grams[: order - 1], opened, tokens, types))))
+    weight, open_ = trie.follow(np.where(ta == s + 2, -1, ta), tb, tc)
+    known = np.where(open_, 1.0, total[np.minimum(tc, s + 1)] + ADD)
+    adds = np.where(open_, weight, weight - np.log10(known))
+    edges = np.cumsum([0, *[len(q[1]) for q in asks]])
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        yield adds[place[lo:hi]], open_[place[lo:hi]]
+
+
 def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document scored by a model of those outside the held-out fold
     (crc32 of the id as text, modulo ``fold``, is 0): ``doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score, score``.
 
-    Tokens of kept words are scored where the document is read, against the
-    broadcast trie.  Rare words travel to shards of the word counts (packed
-    by chunk and shard) and come back, packed the same way, as sums per
-    document, added up chunk by chunk; a rare word holds less than 1 / LEVEL_SIZE of the tokens, so no shard is
-    hot.  Null text counts as empty (its one token is the end); a null id
+    Every n-gram of MIN_COUNT training occurrences is kept.  Tokens travel
+    with the two words before them, packed by chunk, to shards of the model;
+    a shard builds the trie of its contexts and answers its tokens.  Counts of
+    frequent words are broadcast; rare words travel to shards of the word
+    counts (packed by chunk and shard).  Answers come back, packed the same
+    way, as sums per document, added up chunk by chunk; a rare word holds less
+    than 1 / LEVEL_SIZE of the tokens, so no shard of word counts is hot.  Null text counts as empty (its one token is the end); a null id
     counts as the empty text in the fold rule; repeated rows are scored each;
     an empty table gives no rows.
     """
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("held_out", bucket_of("doc_id", fold) == 0)
-    block, words, tokens, types = train(rows.filter("not held_out"), order)
-    shared = spark.sparkContext.broadcast(block)
+    if order not in (2, 3):
+        raise ValueError("the model is of order 2 or 3")
+    train_docs = rows.filter("not held_out")
+    words, opened, tokens, types = _words(train_docs)
+    least = max(MIN_COUNT, math.ceil(tokens / LEVEL_SIZE))
+    frequent, counts = _kept(words, least)
+    shared = spark.sparkContext.broadcast(write_levels({"hashes": frequent, "counts": np.concatenate([counts, [0, opened]])}))
     shards = max(1, shuffle_width(spark) // 4)
+    parts = max(shards, tokens // SHARD_TOKENS)
+    share = max(1, tokens // parts)
+    top = words.filter(F.col("n") > share).toArrow()
+    hot, much = (np.asarray(top[x], dtype=np.int64) for x in ("key", "n"))
+    hot, much = np.append(hot, START), np.append(much, max(1, opened))
+    routes = Routes(parts, np.sort(hot), np.minimum(parts, -(-much[np.argsort(hot)] // share)))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, held_out boolean, row long, n_tokens long, known long, base double, lm double, n_uni long, shard int, chunk long, hashes binary, runs binary, rows binary"
+    schema = f"doc_id {id_type}, held_out boolean, row long, n_tokens long, known long, base double, shard int, chunk long, hashes binary, runs binary, rows binary, grams binary"
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(map_levels(shared.value))
-        logc = np.log10(trie.counts + ADD)
+        model = map_levels(shared.value)
+        most, counts = model["hashes"], model["counts"]
+        logc = np.log10(counts + ADD)
         for b, hashes, index, ends in _chunks(it, 1):
             row = np.asarray(b.column(0), dtype=np.int64)
-            ids, doc = _sequence(trie.word_ids(hashes)[index], ends, trie.start, trie.end)
-            weight, uni = trie.score(ids)
-            real = ids != trie.start
+            at = np.minimum(np.searchsorted(most, hashes), max(0, len(most) - 1))
+            found = np.where(most[at] == hashes, at, -1) if len(most) else np.full(len(hashes), -1)
+            ids, doc = _sequence(found[index], ends, len(most), len(most) + 1)
+            real = ids != len(most)
             kept = real & (ids >= 0)
             term = np.where(kept, logc[np.maximum(ids, 0)], 0.0)
             total = lambda x: np.bincount(doc, x, len(row))  # noqa: E731,B023
-            known = total(kept & (trie.counts[np.maximum(ids, 0)] > 0))
-            cols = [row, total(real).astype(np.int64), known.astype(np.int64), total(term), total(weight + term * uni), total(uni).astype(np.int64)]
-            none = [pa.nulls(len(row), t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())]
+            known = total(kept & (counts[np.maximum(ids, 0)] > 0))
+            cols = [row, total(real).astype(np.int64), known.astype(np.int64), total(term)]
+            none = [pa.nulls(len(row), t) for t in (pa.int32(), pa.int64(), *[pa.binary()] * 4)]
             yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), *map(pa.array, cols), *none], names)
-            yield from rare(trie.word_ids(hashes), hashes, index, np.repeat(row, np.diff(ends)))
+            yield from rare(found, hashes, index, np.repeat(row, np.diff(ends)), int(row[0]))
+            train = ~np.asarray(b.column(3).to_numpy(zero_copy_only=False), dtype=bool)
+            packs = _gram_packs(routes, hashes, index, ends, row, train)
+            shard, grams = zip(*packs, strict=True)
+            empty = [pa.nulls(len(packs), t) for t in unused]
+            columns = [pa.array(shard, pa.int32()), pa.array([int(row[0])] * len(packs)), *[pa.nulls(len(packs), pa.binary())] * 3, pa.array(grams, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*empty, *columns], names)
 
     id_arrow = to_arrow_type(rows.schema["doc_id"].dataType)
     names = [f.split()[0] for f in schema.split(", ")]
 
-    def rare(known: np.ndarray, hashes: np.ndarray, index: np.ndarray, row: np.ndarray) -> Iterator[pa.RecordBatch]:
+    unused = (id_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+
+    def rare(known: np.ndarray, hashes: np.ndarray, index: np.ndarray, row: np.ndarray, chunk: int) -> Iterator[pa.RecordBatch]:
         some = known[index] < 0
         index, row = index[some], row[some]
         if not len(index):
@@ -387,18 +625,17 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
         out = []
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
             word, n = np.unique(index[lo:hi], return_counts=True)
-            out.append((int(shard[lo]), int(row.min()), hashes[word].tobytes(), n.astype(np.int32).tobytes(), row[lo:hi].tobytes()))
-        nulls = [pa.nulls(len(out), t) for t in (id_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())]
+            out.append((int(shard[lo]), chunk, hashes[word].tobytes(), n.astype(np.int32).tobytes(), row[lo:hi].tobytes()))
+        nulls = [pa.nulls(len(out), t) for t in unused]
         packed = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 3), strict=True)]
-        yield pa.RecordBatch.from_arrays([*nulls, *packed], names)
+        yield pa.RecordBatch.from_arrays([*nulls, *packed, pa.nulls(len(out), pa.binary())], names)
 
     scanned = cut(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "text", "doc_id", "held_out").mapInArrow(run, schema))
-    least = max(MIN_COUNT, math.ceil(tokens / LEVEL_SIZE))
     known = words.filter(F.col("n") < least).select(
         F.pmod(F.col("key"), F.lit(shards)).cast("int").alias("shard"), "key", "n", F.lit(None).cast("long").alias("chunk"),
         *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "runs", "rows")],
     )
-    asked = scanned.filter("shard is not null").select("shard", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("n"), "chunk", "hashes", "runs", "rows")
+    asked = scanned.filter("hashes is not null").select("shard", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("n"), "chunk", "hashes", "runs", "rows")
 
     def lookup(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, packs = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
@@ -418,28 +655,61 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
             per = np.repeat(c, n)
             row, place = np.unique(r, return_inverse=True)
             sums, known = np.bincount(place, np.log10(per + ADD)), np.bincount(place, per > 0)
-            packed = [[chunk], [row.tobytes()], [sums.tobytes()], [known.astype(np.int64).tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in packed], ["chunk", "rows", "sums", "known"])
+            packed = [[chunk], [0], [_pack(row - chunk, sums, known.astype(np.int64))]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in packed], ["chunk", "kind", "sums"])
+
+    def dealt(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bigrams to all shards of their first word."""
+        for batch in it:
+            columns = [np.asarray(c, dtype=np.int64) for c in batch.columns]
+            times = routes.split(columns[0])
+            part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            columns = [np.repeat(c, times) for c in columns]
+            shard = routes.shard(columns[0], part)
+            by = np.argsort(shard, kind="stable")
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(shard[by])) + 1, [len(by)]])
+            out = [(int(shard[by[lo]]), None, _pack(*[c[by[lo:hi]] for c in columns])) for lo, hi in zip(edges[:-1], edges[1:], strict=True) if hi > lo]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)], ["shard", "chunk", "grams"])
+
+    def answer(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in itertools.groupby(_pieces(it), key=lambda p: p[0]):
+            model, asks, chunks = [], [], []
+            for _, chunk, block in group:
+                if chunk is None:
+                    model.append(_unpack(block, 5))
+                else:
+                    asks.append(_unpack(block, 7))
+                    chunks.append(chunk)
+            if not asks:
+                continue
+            for chunk, ask, (adds, uni) in zip(chunks, asks, _solve(model, asks, (opened, tokens, types), order), strict=True):
+                row, place = np.unique(ask[6], return_inverse=True)
+                sums, unigrams = (np.bincount(place, np.repeat(x, ask[5]), len(row)) for x in (adds, uni))
+                packed = [[chunk], [1], [_pack(row, sums, unigrams.astype(np.int64))]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in packed], ["chunk", "kind", "sums"])
 
     def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def merged() -> pa.RecordBatch:
-            r, s, k = (np.concatenate([np.frombuffer(h[c], t) for h in held]) for c, t in ((1, np.int64), (2, np.float64), (3, np.int64)))
-            row, place = np.unique(r, return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.bincount(place, s)), pa.array(np.bincount(place, k).astype(np.int64))], ["r", "rare", "rare_known"])
-
-        for b in it:
-            for pack in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if held and held[-1][0] != pack[0]:
-                    yield merged()
-                    held = []
-                held.append(pack)
-        if held:
-            yield merged()
-
-    answers = known.unionByName(asked).repartition(shards, "shard").mapInArrow(lookup, "chunk long, rows binary, sums binary, known binary")
-    sums = answers.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "r long, rare double, rare_known long")
+        for chunk, group in itertools.groupby(_pieces(it), key=lambda p: p[0]):
+            held = [(kind, *_unpack(block, 3)) for _, kind, block in group]
+            row, place = np.unique(np.concatenate([h[1] for h in held]), return_inverse=True)
+            kind = np.repeat([h[0] for h in held], [len(h[1]) for h in held])
+            value, count = (np.concatenate([h[k] for h in held]) for k in (2, 3))
+            sums = [np.bincount(place, np.where(kind == k, x, 0), len(row)) for k in (0, 1) for x in (value, count)]
+            columns = [row + chunk, sums[0], sums[1].astype(np.int64), sums[2], sums[3].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["r", "rare", "rare_known", "adds", "n_uni"])
+
+    answered = "chunk long, kind long, sums binary"
+    answers = known.unionByName(asked).repartition(shards, "shard").mapInArrow(lookup, answered)
+    ends_ = F.lit(opened).cast("long")  # of the end, and of the start as a context
+    pairs = _pairs(scanned, shards)
+    for c in ("c", "b"):
+        pairs = pairs.join(words.select(F.col("key").alias(f"_{c}"), F.col("n").alias(f"n{c}")), F.col(c) == F.col(f"_{c}"), "left")
+    pairs = pairs.select("b", "c", "n", F.coalesce("nc", ends_).alias("nc"), F.coalesce("nb", ends_).alias("nb"))
+    model = pairs.mapInArrow(dealt, "shard int, chunk long, grams binary")
+    tokens_ = scanned.filter("grams is not null").select("shard", "chunk", "grams")
+    judged = model.unionByName(tokens_).repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(answer, answered)
+    sums = answers.unionByName(judged).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "r long, rare double, rare_known long, adds double, n_uni long")
     z = math.log10(tokens + ADD * (types + 1))
     result = scanned.filter("shard is null").join(sums, F.col("row") == F.col("r"), "left")
     rare_sum = F.coalesce("rare", F.lit(0.0))
@@ -450,5 +720,5 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + rare_sum - F.col("n_tokens") * z).alias("base_score"),
-        (F.col("lm") + rare_sum - F.col("n_uni") * z).alias("score"),
+        (F.col("base") + rare_sum + F.coalesce("adds", F.lit(0.0)) - F.coalesce("n_uni", F.lit(0)) * z).alias("score"),
     )

@@ -357,6 +357,31 @@ def test_lm_counts_and_normalisation(spark, make_docs):
         assert abs(p - 1) < 1e-2
 
 
+@pytest.mark.parametrize("level", [1 << 18, 16])
+def test_lm_keeps_every_ngram_from_a_fixed_count(make_docs, monkeypatch, level):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in np.minimum(rng.geometric(0.08, rng.integers(0, 40)), 60))) for i in range(400)]
+    rows += [(k + 1000, "very rare words here") for k in range(6)] + [(2000, None), (2001, "unseen")]
+    train_docs = make_docs([r for r in rows if zlib.crc32(str(r[0]).encode()) % 10]).fillna("", ["text"]).select("text")
+    block, _, n, v = ngrams.train(train_docs)  # few tokens: from MIN_COUNT, in one block
+    trie = ngrams.Trie(ngrams.map_levels(block))
+    monkeypatch.setattr(ngrams, "LEVEL_SIZE", level)  # 16: most words are rare
+    monkeypatch.setattr(ngrams, "SHARD_TOKENS", 300)  # words are split over shards
+    got = {r["doc_id"]: r["score"] for r in rows_of(ngrams.score(make_docs(rows)))}
+    z = math.log10(n + ngrams.ADD * (v + 1))
+    count = {}
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 10:
+            for w in words(t):
+                count[w] = count.get(w, 0) + 1
+    for i, t in rows:
+        hashes = np.array([ngrams.xxhash.xxh64_intdigest(w) for w in words(t)], np.uint64).view(np.int64)
+        weight, uni = trie.score(np.concatenate([[trie.start], trie.word_ids(hashes), [trie.end]]).astype(np.int64))
+        c = np.array([*[count.get(w, 0) for w in words(t)], trie.counts[-1]])
+        want = weight[1:].sum() + (uni[1:] * (np.log10(c + ngrams.ADD) - z)).sum()
+        assert abs(got[i] - want) < 0.01
+
+
 def test_lm_beats_the_base_on_held_out_rows(spark):
     got = catalog.op7_elias_fano_lm(spark, MEDIUM).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
