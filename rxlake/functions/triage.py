@@ -37,12 +37,13 @@ def triage_signal(
     """P14: 'life-threatening' if a risk stem is in the lower-cased narrative or
     an outcome term in the outcome; else 'severe' if serious_flag is exactly
     true; else 'routine'.  Plain substring match (``non-fatal`` hits ``fatal``)."""
-    narr = F.lower(F.coalesce(F.col(narrative), F.lit("")))
-    out = F.lower(F.coalesce(F.col(outcome), F.lit("")))
+    narrative, outcome, serious_flag = (F.col(c) if isinstance(c, str) else c for c in (narrative, outcome, serious_flag))
+    narr = F.lower(F.coalesce(narrative, F.lit("")))
+    out = F.lower(F.coalesce(outcome, F.lit("")))
     risky = _any_contains(out, outcome_terms) | _any_contains(narr, terms)
     return (
         F.when(risky, F.lit("life-threatening"))
-        .when(F.coalesce(F.col(serious_flag), F.lit(False)), F.lit("severe"))
+        .when(F.coalesce(serious_flag, F.lit(False)), F.lit("severe"))
         .otherwise(F.lit("routine"))
     )
 

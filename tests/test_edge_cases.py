@@ -165,16 +165,16 @@ def test_stream_matches_batch(spark, tmp_dir):
     q = ts.start_triage(spark, src, sink, checkpoint=os.path.join(tmp_dir, "ck"), available_now=True,
                         max_files_per_trigger=1)
     q.awaitTermination()
-    streamed = sorted(tuple(r) for r in spark.read.parquet(sink).select("case_id", "severity_signal", "message").collect())
+    streamed = sorted(tuple(r) for r in ts.read_sink(spark, sink).select("case_id", "severity_signal", "message").collect())
     batch = sorted(tuple(r) for r in ts.alerts(alert_src.read_alert_batch(spark, src))
                    .select("case_id", "severity_signal", "message").collect())
     assert streamed == batch and len(batch) == 4
-    per_file = {os.path.basename(r.source_key): r.alerts_sent for r in ts.alerts_sent(spark.read.parquet(sink)).collect()}
+    per_file = {os.path.basename(r.source_key): r.alerts_sent for r in ts.alerts_sent(ts.read_sink(spark, sink, "ledger")).collect()}
     assert per_file == {"one.json": 1, "batch.json": 3}
     # a restart with the same checkpoint emits nothing new (once-only per file)
     q2 = ts.start_triage(spark, src, sink, checkpoint=os.path.join(tmp_dir, "ck"), available_now=True)
     q2.awaitTermination()
-    assert spark.read.parquet(sink).count() == 4
+    assert ts.read_sink(spark, sink).count() == 4
 
 
 def test_reconcile_buckets(spark):
@@ -356,7 +356,7 @@ def test_alert_sink_json_format(spark, tmp_dir):
     q = ts.start_triage(spark, src, sink, checkpoint=os.path.join(tmp_dir, "ck"), available_now=True,
                         sink_format="json")
     q.awaitTermination()
-    got = spark.read.json(sink)
+    got = ts.read_sink(spark, sink, sink_format="json")
     assert got.count() == 4
     assert {json.loads(r.message)["case_id"] for r in got.select("message").collect()} == {"J1", "J2", "J3", "J5"}
 
@@ -369,3 +369,96 @@ def test_truncated_report_is_alerted_not_lost(spark, tmp_dir):
     got = {r["source_key"].rsplit("/", 1)[1]: r for r in ts.alerts(alert_src.read_alert_batch(spark, tmp_dir)).collect()}
     assert got["cut.json"]["severity_signal"] == ts.UNREADABLE and "fatal ev" in got["cut.json"]["narrative"]
     assert got["fine.json"]["severity_signal"] != ts.UNREADABLE
+
+
+BODIES = {
+    "object.json": '{"case_id": "A", "serious_flag": true}',
+    "list.json": '[{"case_id": "B", "narrative": "a fatal fall"}, {"case_id": "C"}]',
+    "routine.json": '{"case_id": "D"}',
+    "none.json": "[]",
+    "typed.json": '{"case_id": 5, "patient_age": "old", "serious_flag": "true", "narrative": {"fatal": 1}}',
+    "marked.json": '\ufeff{"case_id": "E", "serious_flag": true}\n',
+    # not one whole document
+    "cut.json": '[{"case_id": "F", "serious_flag": true}, {"case_id": "G"',
+    "two.json": '{"case_id": "H"}\n{"case_id": "I", "serious_flag": true}',
+    "comma.json": '{"case_id": "J"}, {"case_id": "K"}',
+    "closed.json": '{"case_id": "L"}], [{"case_id": "M"}',
+    "brace.json": '{"case_id": "N"}}',
+    "blank.json": " \n",
+    "scalar.json": '"fatal"',
+    "null.json": "null",
+    "repeated.json": '{"case_id": "O", "case_id": "P"}',
+    # one whole document whose elements are no reports
+    "mixed.json": '[{"case_id": "Q", "serious_flag": true}, "text", 7, null, ["{"]]',
+}
+UNREAD = {"cut.json": 1, "two.json": 1, "comma.json": 1, "closed.json": 1, "brace.json": 1, "blank.json": 1, "scalar.json": 1, "null.json": 1,
+          "repeated.json": 1, "mixed.json": 4}
+SENT = {"object.json": 1, "list.json": 1, "typed.json": 1, "marked.json": 1, "mixed.json": 1}
+ROUTINE = {"list.json": 1, "routine.json": 1}
+
+
+def _deliver(path, names):
+    os.makedirs(path, exist_ok=True)
+    for n in names:
+        with open(os.path.join(path, n), "w") as f:
+            f.write(BODIES[n])
+
+
+def _ledger(df):
+    return {r.source_key.rsplit("/", 1)[1]: (r.reports, r.alerts_sent, r.routine, r.unreadable) for r in df.collect()}
+
+
+def _expected(names):
+    return {n: (SENT.get(n, 0) + ROUTINE.get(n, 0) + UNREAD.get(n, 0), SENT.get(n, 0) + UNREAD.get(n, 0), ROUTINE.get(n, 0), UNREAD.get(n, 0)) for n in names}
+
+
+def test_every_report_is_alerted_marked_or_a_dead_letter(spark, tmp_dir):
+    src, sink, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
+    _deliver(src, BODIES)
+    docs = alert_src.with_reports(alert_src.read_alert_documents(spark, src))
+    assert _ledger(ts.delivery_ledger(docs)) == _expected(BODIES)
+    dead = ts.dead_letters(alert_src.exploded(docs)).collect()
+    assert {r.document for r in dead if "mixed" not in r.source_key} == {BODIES[n] for n in UNREAD if n != "mixed.json"}
+    assert sorted(r.document for r in dead if "mixed" in r.source_key) == ['"text"', "7", '["{"]', "null"]
+    typed = alert_src.exploded(docs).filter("source_key like '%typed%'").first()
+    assert (typed.case_id, typed.patient_age, typed.serious_flag) == ("5", None, None)
+    # streamed in several batches, restarted, and with a file that arrives later
+    early = [n for n in BODIES if n > "m"]
+    late = os.path.join(tmp_dir, "later")
+    _deliver(late, early)
+    ts.start_triage(spark, late, sink, checkpoint=ck, available_now=True, max_files_per_trigger=3).awaitTermination()
+    _deliver(late, BODIES.keys() - set(early))
+    ts.start_triage(spark, late, sink, checkpoint=ck, available_now=True, max_files_per_trigger=4).awaitTermination()
+    assert _ledger(ts.read_sink(spark, sink, "ledger")) == _expected(BODIES)
+    sent = {r.source_key.rsplit("/", 1)[1]: r.alerts_sent for r in ts.alerts_sent(ts.read_sink(spark, sink, "ledger")).collect()}
+    per_file = {}
+    for r in ts.read_sink(spark, sink).collect():
+        n = r.source_key.rsplit("/", 1)[1]
+        per_file[n] = per_file.get(n, 0) + 1
+    assert sent == {n: per_file.get(n, 0) for n in BODIES} and sent["none.json"] == sent["routine.json"] == 0
+    assert ts.read_sink(spark, sink, "dead_letters").count() == sum(UNREAD.values())
+
+
+def test_a_batch_run_again_counts_once(spark, tmp_dir):
+    """A batch that fails behind its alerts leaves them unseen; its rerun
+    overwrites them."""
+    src, sink, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
+    _deliver(src, ["object.json", "list.json"])
+    assert ts.read_sink(spark, sink).count() == 0
+    os.makedirs(sink)
+    with open(os.path.join(sink, "ledger"), "w") as f:
+        f.write("in the way")  # the ledger, written last, fails
+    with pytest.raises(Exception):
+        ts.start_triage(spark, src, sink, checkpoint=ck, available_now=True).awaitTermination()
+    os.remove(os.path.join(sink, "ledger"))
+    assert os.path.exists(os.path.join(sink, "alerts")) and ts.read_sink(spark, sink).count() == 0
+    ts.start_triage(spark, src, sink, checkpoint=ck, available_now=True).awaitTermination()
+    assert {r.case_id for r in ts.read_sink(spark, sink).collect()} == {"A", "B"} and ts.read_sink(spark, sink).count() == 2
+    assert _ledger(ts.read_sink(spark, sink, "ledger")) == _expected(["object.json", "list.json"])
+
+
+def test_lines_are_documents(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "bulk.json"), "w") as f:
+        f.write('{"case_id": "A", "serious_flag": true}\n\n[{"case_id": "B"}, {"case_id": "C"}]\n{"case_id": "D"} {"case_id": "E"}\n')
+    docs = alert_src.with_reports(alert_src.read_alert_documents(spark, tmp_dir, layout="lines"))
+    assert _ledger(ts.delivery_ledger(docs)) == {"bulk.json": (4, 2, 2, 1)}
