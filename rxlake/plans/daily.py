@@ -59,6 +59,7 @@ def run_daily(
     horizon: int = FORECAST_HORIZON,
     min_months: int | None = None,
     database: str | None = None,
+    continuous: bool = True,
 ) -> DailyRun:
     """Run all stages into ``out_dir``.
 
@@ -66,6 +67,8 @@ def run_daily(
     is written first).  ``score_cases`` trains on and scores the curated cases
     themselves where no ``labelled`` / ``narratives`` are given.  With
     ``database`` the curated zones and the marts also become its tables.
+    The forecast estimates weights and initial states (``continuous``) from the
+    parameter grid's winner on.
     """
     run = DailyRun()
     out_dir = out_dir.rstrip("/")
@@ -143,7 +146,7 @@ def run_daily(
     if series_rows is not None:
         monthly = series.monthly_units(series_rows, complete_through=complete_through)
         filled = series.interpolate(series.regularize_months(monthly))
-        fc = series.demand_forecast(filled, horizon=horizon, min_months=min_months)
+        fc = series.demand_forecast(filled, horizon=horizon, min_months=min_months, continuous=continuous)
         fc = fc.withColumn("forecast_month", F.date_format("forecast_month", "yyyy-MM-dd"))
         run.paths["forecast"] = write_file(fc, f"{out_dir}/forecast/demand_forecast")
         skipped = series.history_gate(series.series_arrays(filled), min_months).filter("not eligible")

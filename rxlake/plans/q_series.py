@@ -191,6 +191,36 @@ def ts6_backtest(spark, sf_dir):
                     F.round("rmse", 2).alias("backtest_rmse"))
 
 
+CONTINUOUS_SQL = """SELECT b.drug_code, b.region, CAST(b.n AS INTEGER) AS n_months, round(b.sse, 4) AS grid_sse,
+       TRUE AS never_above, round(m.mape, 2) AS grid_mape
+  FROM best b JOIN metrics m ON m.drug_code = b.drug_code AND m.region = b.region WHERE b.fit = 'fin'"""
+
+
+def _estimates(spark, sf_dir):
+    return series.estimate_holt_winters(_fits(spark, sf_dir))
+
+
+@register("ts5_continuous_never_above_grid", _with(FORECAST_CTES, CONTINUOUS_SQL, recursive=True))
+def ts5_continuous_never_above_grid(spark, sf_dir):
+    """TS5 with estimated weights and initial states: per series the grid's
+    error and backtest (as SQL finds them), and that neither fit is worse."""
+    from pyspark.sql import functions as F
+
+    mape, _ = series.backtest_metrics(fit="bt_grid")
+    return _estimates(spark, sf_dir).select(
+        "drug_code", "region", "n_months", F.round("fin_grid.sse", 4).alias("grid_sse"),
+        ((F.col("fin.sse") <= F.col("fin_grid.sse")) & (F.col("bt.sse") <= F.col("bt_grid.sse"))).alias("never_above"),
+        F.round(mape, 2).alias("grid_mape"),
+    )
+
+
+@register("ts5_continuous_fit")
+def ts5_continuous_fit(spark, sf_dir):
+    """Estimated weights, errors and backtests per series beside the grid's
+    (no SQL: the estimate iterates; tested against plain Python)."""
+    return series.continuous_report(_estimates(spark, sf_dir))
+
+
 def _forecast(spark, sf_dir):
     return series.demand_forecast(_forecast_filled(spark, sf_dir))
 

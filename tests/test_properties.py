@@ -1,5 +1,6 @@
 """Randomised checks against brute-force Python on small fixtures."""
 
+import numpy as np
 import datetime as dt
 import math
 import random
@@ -98,3 +99,79 @@ def test_stratified_split_exact_for_random_mixes(spark):
         ids.sort(key=lambda c: (hashlib.md5(f"9|{c}".encode()).hexdigest(), c))
         k = math.ceil(len(ids) * 0.2)
         assert all(got[c] == "test" for c in ids[:k]) and all(got[c] == "train" for c in ids[k:])
+
+
+def _plain_fold(y, theta, m=12):
+    a, b, c = theta[:3]
+    level, trend, season, sse = theta[3], theta[4], list(theta[5:]), 0.0
+    for v in y:
+        e = v - (level + trend + season[0])
+        sse += e * e
+        level, trend, season = level + trend + a * e, trend + a * b * e, season[1:] + [season[0] + c * e]
+    return level, trend, season, sse
+
+
+def _series(rng, n):
+    t = np.arange(n)
+    return 100 + rng.normal(0, 2) * t + 20 * np.sin(t * np.pi / 6) + rng.normal(0, 8, n).cumsum() * 0.3 + rng.normal(0, 5, n)
+
+
+def test_sensitivities_match_plain_python():
+    rng = np.random.default_rng(2)
+    lengths = np.array([40, 55, 31])
+    y = np.zeros((3, 55))
+    for k, n in enumerate(lengths):
+        y[k, :n] = _series(rng, n)
+    theta = np.column_stack([rng.uniform(0.1, 0.9, (3, 3)), np.full(3, 100.0), rng.normal(0, 1, 3), rng.normal(0, 10, (3, 12))])
+    level, trend, season, sse, g, h = series.hw_sensitivities(theta, y, lengths, 12)
+    for k, n in enumerate(lengths):
+        want = _plain_fold(y[k, :n], theta[k])
+        assert np.allclose([level[k], trend[k], sse[k]], [want[0], want[1], want[3]]) and np.allclose(season[k], want[2])
+        for i in range(17):  # the squared error's gradient is 2 J'e
+            up, down = theta[k].copy(), theta[k].copy()
+            up[i], down[i] = up[i] + 1e-5, down[i] - 1e-5
+            slope = (_plain_fold(y[k, :n], up)[3] - _plain_fold(y[k, :n], down)[3]) / 2e-5
+            assert abs(slope - 2 * g[k, i]) < 1e-3 * max(1.0, abs(slope))
+        assert np.allclose(h[k], h[k].T) and (np.linalg.eigvalsh(h[k]) > -1e-6).all()
+
+
+def test_estimate_is_never_worse_and_is_stationary():
+    """Against a plain coordinate search from the estimate: nothing near it is
+    clearly better, and the weights stay in their range."""
+    rng = np.random.default_rng(3)
+    lengths = np.array([36, 48, 60, 75, 29])
+    y = np.zeros((5, 75))
+    for k, n in enumerate(lengths):
+        y[k, :n] = _series(rng, n)
+    start = np.array([[0.3, 0.05, 0.1]] * 5)
+    found = series.hw_estimate(y, lengths, start, steps=60)
+    for k, n in enumerate(lengths):
+        first = series.hw_estimate(y[k : k + 1], lengths[k : k + 1], start[:1], steps=0)[0]
+        assert found[k, 0] <= first[0] and ((found[k, 1:4] >= 0) & (found[k, 1:4] <= 1)).all()
+        # one series alone gives what it gives among others
+        assert np.allclose(series.hw_estimate(y[k : k + 1, :n], lengths[k : k + 1], start[:1], steps=60)[0], found[k], rtol=1e-6)
+        for i in range(3):
+            for step in (-0.02, 0.02):
+                w = found[k, 1:4].copy()
+                w[i] = min(1.0, max(0.0, w[i] + step))
+                near = series.hw_estimate(y[k : k + 1], lengths[k : k + 1], w[None, :], steps=60)[0]
+                assert near[0] >= 0.9 * found[k, 0]
+
+
+def test_continuous_fit_on_rows(spark):
+    rng = np.random.default_rng(4)
+    months = [f"{2018 + k // 12}-{k % 12 + 1:02d}-01" for k in range(60)]
+    rows = [(f"D{d}", "R", months[k], float(v)) for d, n in enumerate((60, 45, 30, 27)) for k, v in enumerate(_series(rng, n))]
+    rows += [("flat", "R", m, 5.0) for m in months] + [("zero", "R", m, 0.0) for m in months]
+    filled = spark.createDataFrame(rows, "drug_code string, region string, month string, units double").withColumn("month", F.col("month").cast("date"))
+    arrays = series.series_arrays(filled)
+    out = {r.drug_code: r for r in series.estimate_holt_winters(series.fit_holt_winters(arrays)).collect()}
+    assert len(out) == 6
+    for r in out.values():
+        assert r.fin.sse <= r.fin_grid.sse and r.bt.sse <= r.bt_grid.sse
+    assert out["flat"].fin.sse < 1e-12 and out["zero"].fin.sse == 0.0 and out["D0"].fin.sse < out["D0"].fin_grid.sse
+    assert len(out["D1"].fin.s) == 12
+    fc = series.demand_forecast(filled.withColumn("t", F.lit(1)), continuous=True).collect()
+    assert len(fc) == 18 and {r.forecast_units for r in fc if r.drug_code == "flat"} == {5}
+    report = series.continuous_report(series.estimate_holt_winters(series.fit_holt_winters(arrays))).collect()
+    assert all(r.estimate_sse <= r.grid_sse for r in report) and len(report) == 6
