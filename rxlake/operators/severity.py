@@ -15,24 +15,31 @@ holding each class's cut, and only rows of that one bucket are ranked.
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, IndexToString, Normalizer, SQLTransformer
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import DenseMatrix, Vectors
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.functions.text import terms_statement
 from rxlake.operators.joins import bounded_broadcast
+from rxlake.operators.newton import Fit, fit_multinomial
 from rxlake.schemas import SEVERITY_ORDER
 from rxlake.session import path_exists
 
+LOG = logging.getLogger(__name__)
+
 LABEL = "severity_label"
 DEFAULT_SEED = 42
 TEST_FRACTION = 0.2
-MAX_ITER = 1000
 TOL = 1e-4  # the reference solver's default tolerance
 MIN_DF = 2
 # labelled rows a fit uses, about and at most (a share of the text hashes beyond it):
@@ -108,12 +115,24 @@ def label_index(label: str = LABEL, order: Sequence[str] = SEVERITY_ORDER) -> Co
     return F.when(pos > 0, (pos - 1).cast("double"))
 
 
+def linear_model(fit: Fit) -> LogisticRegressionModel:
+    """The fitted weights as Spark ML's model, so that it is saved, loaded and
+    applied with the rest of the pipeline."""
+    classes, features = fit.coefficients.shape
+    sc = SparkContext._active_spark_context  # noqa: SLF001
+    java = JavaWrapper._new_java_obj(  # noqa: SLF001 - a model of given weights has no Python constructor
+        "org.apache.spark.ml.classification.LogisticRegressionModel", f"severity_{uuid.uuid4().hex[:12]}",
+        _py2java(sc, DenseMatrix(classes, features, fit.coefficients.ravel(order="F").tolist())),
+        _py2java(sc, Vectors.dense(fit.intercepts)), classes, True,
+    )
+    return LogisticRegressionModel(java).setFeaturesCol("features").setPredictionCol("prediction")
+
+
 def train_severity(
     train: DataFrame,
     text_col: str = "narrative",
     label: str = LABEL,
     order: Sequence[str] = SEVERITY_ORDER,
-    max_iter: int = MAX_ITER,
     min_df: int = MIN_DF,
     fit_rows: int = FIT_ROWS,
     reg_c: float = 1.0,
@@ -136,17 +155,13 @@ def train_severity(
         scale = ElementwiseProduct(scalingVec=Vectors.dense(idf + 1.0), inputCol="tf", outputCol="tfidf")
         norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
         n = tf.count()
-        # every L-BFGS iteration ships one (classes x vocabulary) gradient per
-        # partition: one partition per core, whatever the upstream layout
-        parts = data.sparkSession.sparkContext.defaultParallelism
-        feats = norm.transform(scale.transform(tf)).repartition(parts)
-        lr = LogisticRegression(
-            family="multinomial", maxIter=max_iter, tol=TOL, regParam=1.0 / (reg_c * max(n, 1)),
-            elasticNetParam=0.0, standardization=False, weightCol="weight",
-            featuresCol="features", labelCol="label", predictionCol="prediction",
-        ).fit(feats)
+        feats = norm.transform(scale.transform(tf)).select("features", "label", "weight")
+        fit = fit_multinomial(feats, len(order), len(idf), 1.0 / reg_c, tolerance=TOL / 10)
+        lr = linear_model(fit)
     finally:
         tf.unpersist()
+    LOG.info("severity fit: %d rows, %d terms, objective %.6f, gradient norm %.3g, %d Newton steps, %d Hessian products",
+             n, len(idf), fit.objective, fit.gradient_norm, fit.newton_steps, fit.products)
     to_label = IndexToString(inputCol="prediction", outputCol="predicted_severity", labels=list(order))
     return PipelineModel(stages=[*prefix.stages, scale, norm, lr, to_label])
 

@@ -281,7 +281,7 @@ def test_classifier_learns_templates_and_nulls_stay_null(spark):
     }
     rows = [(i, texts[s] + f" note{i % 3}", s) for i, s in enumerate(list(texts) * 10)]
     df = spark.createDataFrame(rows, "case_id long, narrative string, severity_label string")
-    model = severity.train_severity(df, max_iter=200)
+    model = severity.train_severity(df)
     scored = severity.score_severity(model, df.unionByName(
         spark.createDataFrame([(999, None, None)], "case_id long, narrative string, severity_label string")))
     got = {r.case_id: r.predicted_severity for r in scored.collect()}
