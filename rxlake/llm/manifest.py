@@ -14,6 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxlake.llm.common import cut, numbered
+from rxlake.session import scratch_path
+
+
+NO_PATH = "cast(array() as array<struct<sibling: binary, left: boolean>>)"
+#: Levels from one written level to the next.
+STRIDE = 2
 
 
 def digest(*parts: Column) -> Column:
@@ -31,61 +37,68 @@ def field_hash(*fields: Column) -> Column:
 
 @dataclass(frozen=True)
 class Tree:
-    """``levels[k]``: ``tree, at, hash, sibling, n`` of the nodes of level k in
-    trees that have more than one there; ``roots``: ``tree, root``."""
+    """``levels[k]``: ``tree, at, hash, sibling, n`` of the nodes of level k (n:
+    nodes of the tree there; a finished tree's root goes on alone);
+    ``roots``: ``tree, root``."""
 
     levels: list[DataFrame]
     roots: DataFrame
 
 
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "merkle")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _with_siblings(nodes: DataFrame) -> DataFrame:
+    siblings = nodes.select("tree", F.col("at").bitwiseXOR(F.lit(1).cast("long")).alias("at"), F.col("hash").alias("sibling"))
+    return nodes.hint("merge").join(siblings, ["tree", "at"], "left").select("tree", "at", "hash", "sibling", "n")
+
+
+def _parents(level: DataFrame) -> DataFrame:
+    first = level.filter(F.col("at").bitwiseAND(F.lit(1).cast("long")) == 0)  # slot zero of its run
+    up = F.when(F.col("n") > 1, digest(F.col("hash"), F.col("sibling"))).otherwise(F.col("hash"))
+    return first.select("tree", F.shiftright("at", 1).alias("at"), up.alias("hash"), F.shiftright(F.col("n") + 1, 1).alias("n"))
+
+
 def grow(leaves: DataFrame) -> Tree:
     """The trees over ``tree, at, hash, n`` (index from 0; n: leaves of the
     tree), level by level.  A lone last node is hashed alone; a tree of one
-    leaf is that leaf.  Every level is written before the next reads it."""
-    levels, lone = [], []
-    nodes = cut(leaves)
-    most = nodes.agg(F.max("n")).first()[0] or 0
+    leaf is that leaf.  Every STRIDE-th level is written, the ones between are
+    derived again from it, so lineage stays short with few jobs."""
+    levels: list[DataFrame] = []
+    nodes = leaves
+    most = leaves.agg(F.max("n")).first()[0] or 0
     while most > 1:
-        lone.append(nodes.filter("n = 1").select("tree", F.col("hash").alias("root")))
-        some = nodes.filter("n > 1")
-        siblings = some.select("tree", F.col("at").bitwiseXOR(F.lit(1).cast("long")).alias("at"), F.col("hash").alias("sibling"))
-        level = cut(some.join(siblings, ["tree", "at"], "left").select("tree", "at", "hash", "sibling", "n"))
-        levels.append(level)
-        first = level.filter(F.col("at").bitwiseAND(F.lit(1).cast("long")) == 0)  # slot zero of its run
-        nodes = first.select(
-            "tree", F.shiftright("at", 1).alias("at"), digest(F.col("hash"), F.col("sibling")).alias("hash"), F.shiftright(F.col("n") + 1, 1).alias("n")
-        )
+        level = _with_siblings(nodes)
+        levels.append(level if len(levels) % STRIDE else _written(level))
+        nodes = _parents(levels[-1])
         most = (most + 1) // 2
-    roots = nodes.filter("n = 1").select("tree", F.col("hash").alias("root"))
-    for more in lone:
-        roots = roots.unionAll(more)
-    return Tree(levels, cut(roots))
+    return Tree(levels, _written(nodes.select("tree", F.col("hash").alias("root"))))
 
 
 def paths(tree: Tree) -> DataFrame | None:
-    """``tree, at, path`` of every leaf in a tree of more than one: the
+    """``tree, at, path`` of every leaf, unless all trees are single leaves: the
     siblings from its own level to the top (``sibling``, null where the run
     has no other, and ``left``: it stands before the node).  A level's paths
     are its parents' paths with its own sibling in front."""
     found = None
-    for level in reversed(tree.levels):
-        own = F.struct(F.col("sibling"), (F.col("at").bitwiseAND(F.lit(1).cast("long")) == 1).alias("left"))
-        nodes = level.select("tree", "at", "n", F.array(own).alias("path"))
+    for k in range(len(tree.levels) - 1, -1, -1):
+        step = F.struct(F.col("sibling"), (F.col("at").bitwiseAND(F.lit(1).cast("long")) == 1).alias("left"))
+        own = F.when(F.col("n") > 1, F.array(step)).otherwise(F.expr(NO_PATH))
+        nodes = tree.levels[k].select("tree", "at", own.alias("path"))
         if found is None:
-            found = cut(nodes)
-            continue
-        above = found.select("tree", F.col("at").alias("_up"), F.col("path").alias("_path"))
-        joined = nodes.withColumn("_up", F.shiftright("at", 1)).join(above, ["tree", "_up"], "left")
-        whole = F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat("path", "_path"))
-        found = joined.select("tree", "at", "n", whole.alias("path"))
-        if level is not tree.levels[0]:
-            found = cut(found)
+            found = nodes
+        else:
+            above = found.select("tree", F.col("at").alias("_up"), F.col("path").alias("_path"))
+            joined = nodes.withColumn("_up", F.shiftright("at", 1)).hint("merge").join(above, ["tree", "_up"])
+            found = joined.select("tree", "at", F.concat("path", "_path").alias("path"))
+        if k and k % STRIDE == 0:
+            found = _written(found)
     return found
 
 
-NO_PATH = "cast(array() as array<struct<sibling: binary, left: boolean>>)"
-
-
 def folded(leaf: Column, path: Column) -> Column:
     """The root that a leaf and the siblings of its path give."""
     none = F.lit(None).cast("binary")
@@ -123,7 +136,7 @@ def manifest(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{group_col}`").alias("group"),
         field_hash(*kept.values()).alias("leaf"), field_hash(*changed.values()).alias("shown"),
     )
-    placed = cut(numbered(rows, [F.col("group").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("leaf").asc()]))
+    placed = numbered(rows, [F.col("group").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("leaf").asc()])
     groups = placed.groupBy("group").agg(F.min("at").alias("_from"), F.count("*").alias("n"))
     groups = numbered(groups, [F.col("group").asc_nulls_first()], "tree").select(F.col("group").alias("_group"), "tree", "_from", "n")
     leaves = cut(
@@ -145,7 +158,7 @@ def manifest(
     if below is None:
         whole = leaves.withColumn("path", none)
     else:
-        whole = leaves.join(below.select("tree", "at", "path"), ["tree", "at"], "left")
+        whole = leaves.hint("merge").join(below, ["tree", "at"], "left")
     joined = whole.join(subroots, F.col("tree") == F.col("_tree"))
     full = F.concat(F.coalesce(F.col("path"), none), F.col("_above"))
     text = lambda c: F.lower(F.hex(c))
