@@ -201,7 +201,7 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_marginalised_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = languages.train(docs.filter(bucket_of("doc_id", 4) != 2))
-    return languages.identify(docs.select("doc_id", "text"), model).select(
+    return languages.identify(docs, model, carry=["doc_id"]).select(
         "row.doc_id", (bucket_of("row.doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
     )
 

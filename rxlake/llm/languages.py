@@ -32,13 +32,13 @@ ROUNDS = 1
 #: A byte's usual probability is about 1 / BYTE: keeps products near one.
 BYTE = 8.0
 #: Bytes of text handled at a time, and units segmented at a time.
-CHUNK_BYTES = 16 << 20
-UNITS = 1 << 15
+CHUNK_BYTES = 8 << 20
+UNITS = 1 << 14
 #: Languages scored together, so that memory does not grow with their number.
 GROUP = 16
 UNKNOWN = "und"
 MULT = np.uint64(0x9E3779B97F4A7C15)
-FILTER = 22
+FILTER = 17
 
 
 class Pieces:
@@ -251,8 +251,8 @@ def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
     return LanguageModel(names, np.log([share[n] / total for n in names]) if names else np.zeros(0), probability, vocabulary)
 
 
-def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
-    """The input's columns as a struct ``row``, with ``lang_pred`` and ``score``:
+def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """The input's columns (or those of ``carry``) as a struct ``row``, with ``lang_pred`` and ``score``:
     the language of the highest probability (share of training rows x all
     words; ties to the first name) and its posterior among the learned ones.
 
@@ -261,7 +261,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -
     results; extra columns ride along in ``row``; no rows give none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
