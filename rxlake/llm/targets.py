@@ -30,7 +30,7 @@ LEAST_WORDS = 20
 PERCENT = 5
 SEED = 42
 #: Bytes of text handled at a time.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def _byte_classes() -> bytes:
