@@ -8,16 +8,19 @@ IDF and the L-BFGS gradients are tree-aggregated); only the vocabulary and
 the coefficient matrix (classes x vocabulary) live on the driver.
 
 The stratified split (M6) is exact per class without ranking a whole class
-in one task: rows are keyed by ``md5(seed|id)``; a per-class histogram over
-the first four hex digits (65,536 buckets, aggregated) locates the bucket
-holding each class's cut, and only rows of that one bucket are ranked.
+in one task: the k-th of the keys ``md5(seed|id)`` is selected digit by digit.
+
+Saved models (K6) are found by a fingerprint of the rows and parameters they
+were fitted on, so changed rows are never scored by an old model.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
@@ -26,7 +29,7 @@ from pyspark.ml.common import _py2java
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, IndexToString, Normalizer, SQLTransformer
 from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.ml.wrapper import JavaWrapper
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rxlake.functions.text import terms_statement
@@ -61,29 +64,41 @@ def stratified_split(
     seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """Adds ``split`` = 'test' for the first ceil(f * n_class) rows of each
-    class in ``md5(seed|id)`` order (ties by id), else 'train'."""
-    keyed = df.withColumn("_u", sample_key(id_col, seed)).withColumn("_bkt", F.substring("_u", 1, 4))
-    hist = keyed.groupBy(label, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(label).orderBy("_bkt")  # <= 65,536 bucket rows per class
-    cum = (
-        hist.withColumn("_after", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_before", F.col("_after") - F.col("_n"))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(label)))
-        .withColumn("_k", F.ceil(F.col("_total") * F.lit(test_fraction)))
-    )
-    # per class: the bucket whose cumulative range contains the k-th row
-    cut = cum.filter((F.col("_before") < F.col("_k")) & (F.col("_after") >= F.col("_k"))).select(
-        label, F.col("_bkt").alias("_cut_bkt"), F.col("_before").alias("_cut_before"), "_k"
-    )
-    x = keyed.join(bounded_broadcast(cut), on=label, how="left")
-    boundary = x.filter(F.col("_bkt") == F.col("_cut_bkt"))
-    rank = F.row_number().over(Window.partitionBy(label, "_bkt").orderBy("_u", id_col))
-    ranked = boundary.withColumn("_test", (F.col("_cut_before") + rank) <= F.col("_k"))
-    rest = x.filter(F.col("_cut_bkt").isNull() | (F.col("_bkt") != F.col("_cut_bkt"))).withColumn(
-        "_test", F.coalesce(F.col("_bkt") < F.col("_cut_bkt"), F.lit(False))
-    )
-    out = ranked.unionByName(rest)
-    return out.withColumn("split", F.when(F.col("_test"), "test").otherwise("train")).select(*df.columns, "split")
+    class in ``md5(seed|id)`` order (ties by id), else 'train'.
+
+    The k-th key of each class is selected digit by digit.  One read of the
+    labels and ids counts rows per six-digit prefix (16.7 million a class);
+    their sums by three digits say which 4,096 of them hold the cut, these say
+    which prefix does, and only its keys (one in 16.7 million) are ranked.
+    Each selection has one row per class and is broadcast, so nothing runs
+    while the plan is built and no rows are shuffled for it; the rows
+    themselves are read once and compared with their class's cut.  Rows that
+    repeat the id at the cut stay together, in 'test'.
+    """
+    wide, narrow = 3, 6
+
+    def holding(counts: DataFrame, before: Column, k: Column) -> DataFrame:
+        """One row per class: where, within its counts, the k-th key lies."""
+        upto = Window.partitionBy("_c").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summed = counts.select("_c", "_p", "_n", (before + F.sum("_n").over(upto)).alias("_after"), k.alias("_k"))
+        summed = summed.withColumn("_before", F.col("_after") - F.col("_n")).filter("_before < _k and _after >= _k")
+        return F.broadcast(summed.select(F.col("_c").alias("_of"), F.col("_p").alias("_in"), F.col("_before").alias("_from"), F.col("_k").alias("_kth")))
+
+    of_class = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("null"))
+    keys = df.select(of_class.alias("_c"), sample_key(id_col, seed).alias("_u"), F.col(id_col).alias("_id"))
+    fine = keys.groupBy("_c", F.substring("_u", 1, narrow).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    coarse = fine.groupBy("_c", F.substring("_p", 1, wide).alias("_p")).agg(F.sum("_n").alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy("_c"))
+    first = holding(coarse, F.lit(0), F.ceil(total * F.lit(test_fraction)))
+    inner = fine.join(first, (F.col("_c") == F.col("_of")) & (F.substring("_p", 1, wide) == F.col("_in")))  # 4,096 counts a class
+    second = holding(inner, F.col("_from"), F.col("_kth"))
+    edge = keys.join(second, (F.col("_c") == F.col("_of")) & (F.substring("_u", 1, narrow) == F.col("_in")))
+    rank = F.row_number().over(Window.partitionBy("_c").orderBy("_u", "_id")) + F.col("_from")
+    cut = edge.withColumn("_r", rank).filter(F.col("_r") == F.col("_kth")).select("_c", F.col("_u").alias("_cut_u"), F.col("_id").alias("_cut_id"))
+    key = sample_key(id_col, seed)
+    test = (key < F.col("_cut_u")) | ((key == F.col("_cut_u")) & (F.col(id_col) <= F.col("_cut_id")))
+    judged = df.join(F.broadcast(cut), of_class == F.col("_c"), "left")
+    return judged.select(*df.columns, F.when(test, "test").otherwise("train").alias("split"))
 
 
 # ---------------------------------------------------------------- M8
@@ -175,13 +190,45 @@ def score_severity(model: PipelineModel, df: DataFrame, text_col: str = "narrati
     )
 
 
-def load_or_train(path: str, train: DataFrame, **kw) -> PipelineModel:
-    """K6: load the saved pipeline, or train and save it when missing."""
-    if path_exists(train.sparkSession, f"{path.rstrip('/')}/metadata"):
-        return PipelineModel.load(path)
-    model = train_severity(train, **kw)
-    model.write().overwrite().save(path)
-    return model
+def fingerprint(rows: DataFrame, *parameters) -> str:
+    """Names a table's rows whatever their order: their number, and the sum
+    and XOR of their hashes, from one aggregate (with ``parameters``)."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns], *[F.lit(c) for c in rows.columns])
+    got = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("s"), F.bit_xor(h).alias("x")
+    ).first()
+    text = "|".join(map(str, (got["n"], got["s"], got["x"], *parameters)))
+    return hashlib.sha256(text.encode()).hexdigest()[:24]
+
+
+@dataclass(frozen=True)
+class ModelRegistry:
+    """K6: fitted pipelines under ``root``, one folder per fingerprint of their
+    training rows and parameters.  A folder counts once its mark is written,
+    behind the model, so a save cut short is done again."""
+
+    root: str
+
+    def path(self, train: DataFrame, **parameters) -> str:
+        return f"{self.root.rstrip('/')}/severity-{fingerprint(train, *sorted(parameters.items()))}"
+
+    def save(self, path: str, model: PipelineModel) -> None:
+        model.write().overwrite().save(f"{path}/model")
+        SparkSession.active().range(1).write.mode("overwrite").parquet(f"{path}/saved")
+
+    def load(self, path: str) -> PipelineModel | None:
+        if path_exists(SparkSession.active(), f"{path}/saved/_SUCCESS"):
+            return PipelineModel.load(f"{path}/model")
+        return None
+
+    def load_or_train(self, train: DataFrame, **parameters) -> PipelineModel:
+        """The model of exactly these rows, trained and saved when missing."""
+        path = self.path(train, **parameters)
+        model = self.load(path)
+        if model is None:
+            model = train_severity(train, **parameters)
+            self.save(path, model)
+        return model
 
 
 def train_with_report(

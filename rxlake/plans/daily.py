@@ -19,7 +19,6 @@ from rxlake.operators import curate, marts, quality, series, severity
 from rxlake.operators.clean import _dedup_plan, dedup, drop_lineage, require
 from rxlake.plans.q_board import MART_CHECKS
 from rxlake.schemas import FEEDS, FORECAST_HORIZON
-from rxlake.session import path_exists
 from rxlake.sinks.writers import materialize, replace_table, write_file, write_zone
 from rxlake.sources.feeds import read_zone
 
@@ -131,12 +130,15 @@ def run_daily(
         labelled = cases if labelled is None else labelled
         narratives = cases if narratives is None else narratives
     if narratives is not None and labelled is not None:
-        path = (model_path or f"{out_dir}/models/severity").rstrip("/")
-        if not path_exists(spark, f"{path}/metadata"):
-            model, report = severity.train_with_report(labelled)
-            model.write().overwrite().save(path)
+        registry = severity.ModelRegistry(model_path or f"{out_dir}/models")
+        known = labelled.select("case_id", "narrative", severity.LABEL)
+        path = registry.path(known)
+        model = registry.load(path)
+        if model is None:
+            model, report = severity.train_with_report(known)
+            registry.save(path, model)
             run.paths["scored.report"] = write_zone(report, f"{out_dir}/scored/report", partition_by=None)
-        scored = severity.score_severity(severity.load_or_train(path, labelled), narratives)
+        scored = severity.score_severity(model, narratives)
         run.paths["scored.narratives"] = write_file(scored, f"{out_dir}/scored/narratives")
         if severity.LABEL in scored.columns:
             agreement = severity.label_agreement(scored)

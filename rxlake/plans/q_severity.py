@@ -88,7 +88,7 @@ def m4_balanced_weights(spark, sf_dir):
 
 
 SPLIT_SQL = f"""SELECT case_id, narrative, severity_label,
-       CASE WHEN row_number() OVER (PARTITION BY severity_label
+       CASE WHEN rank() OVER (PARTITION BY severity_label
                  ORDER BY md5('{SEED}|' || CAST(case_id AS VARCHAR)), case_id)
                  <= ceil(count(*) OVER (PARTITION BY severity_label) * {sev.TEST_FRACTION})
             THEN 'test' ELSE 'train' END AS split
@@ -108,55 +108,53 @@ def m8_sample_cases(spark, sf_dir):
     return sev.sample_cases(_narratives(spark, sf_dir), n=10, seed=1).select("case_id", "severity_label")
 
 
-def model_path(spark, sf_dir) -> str:
-    """Stable model location per input directory under the shared folder
-    (K6: the first scoring run trains and saves, later runs load)."""
-    import hashlib
-
+def _registry(spark) -> sev.ModelRegistry:
+    """Saved models in the shared folder (K6)."""
     from rxlake.session import ensure_checkpoint_dir
 
-    key = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/severity-{key}"
+    return sev.ModelRegistry(f"{ensure_checkpoint_dir(spark).rstrip('/')}/models")
 
 
 def _split(spark, sf_dir):
     return sev.stratified_split(_narratives(spark, sf_dir), seed=SEED)
 
 
-# loaded pipelines per (Spark application, model path): the scoring queries
-# of one session share one load; retraining replaces the entry
-_LOADED: dict[tuple[str, str], object] = {}
-
-
-def _model_key(spark, sf_dir) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, model_path(spark, sf_dir)
-
-
-def _train_and_save(spark, sf_dir):
-    """Train on the split's train rows and save (the reference's train mode)."""
-    model = sev.train_severity(_split(spark, sf_dir).filter("split = 'train'"))
-    model.write().overwrite().save(model_path(spark, sf_dir))
-    _LOADED[_model_key(spark, sf_dir)] = model
-    return model
+def _train_rows(spark, sf_dir):
+    return _split(spark, sf_dir).filter("split = 'train'").drop("split")
 
 
 def _model(spark, sf_dir):
-    """Saved model, trained on the train split when missing (score mode)."""
-    key = _model_key(spark, sf_dir)
-    if key not in _LOADED:
-        _LOADED[key] = sev.load_or_train(model_path(spark, sf_dir), _split(spark, sf_dir).filter("split = 'train'"))
-    return _LOADED[key]
+    """The saved model of these train rows, fitted when missing (score mode)."""
+    return _registry(spark).load_or_train(_train_rows(spark, sf_dir))
 
 
 @register("m5_train_severity")
 def m5_train_severity(spark, sf_dir):
     """Train (and save) on the train split; return holdout predictions."""
-    model = _train_and_save(spark, sf_dir)
+    train, registry = _train_rows(spark, sf_dir), _registry(spark)
+    model = sev.train_severity(train)
+    registry.save(registry.path(train), model)
     return sev.score_severity(model, _split(spark, sf_dir).filter("split = 'test'")).select(
         "case_id", "severity_label", "predicted_severity"
     )
 
 
+@register("k6_model_round_trip", "SELECT doc_id AS case_id, text IS NOT NULL AS predicted, TRUE AS same FROM documents")
+def k6_model_round_trip(spark, sf_dir):
+    """A model saved and loaded again predicts every document as before."""
+    from rxlake.session import scratch_path
+
+    model, copy = _model(spark, sf_dir), sev.ModelRegistry(scratch_path(spark, "models"))
+    path = copy.path(_train_rows(spark, sf_dir))
+    copy.save(path, model)
+    docs = adapters.narratives(Tables(spark, sf_dir))
+    once = sev.score_severity(model, docs).withColumnRenamed("predicted_severity", "first")
+    twice = sev.score_severity(copy.load(path), once)
+    return twice.select(
+        "case_id", F.col("first").isNotNull().alias("predicted"), F.col("first").eqNullSafe(F.col("predicted_severity")).alias("same")
+    )
+
+
 @register("a10_classification_report")
 def a10_classification_report(spark, sf_dir):
     """Holdout report of the saved model (trained when missing)."""
