@@ -3,7 +3,7 @@
     spark-submit --conf spark.checkpoint.dir=<shared> -m rxlake \\
         --raw <dir with clinical_trials/ adverse_events/ drug_shipments/ drug_sales/ CSV drops> \\
         --out <zone root> [--complete-through 2026-06-01] [--horizon 6] [--min-months 27] \\
-        [--database <catalog database>] [--skip-severity]
+        [--database <catalog database>] [--run-id 2026-06-01] [--skip-severity]
 
 Options map one-to-one onto :func:`rxlake.plans.daily.run_daily` parameters.
 """
@@ -28,6 +28,7 @@ def main(argv=None) -> None:
     ap.add_argument("--min-months", type=int, default=None, help="months a series needs to be forecast")
     ap.add_argument("--database", default=None, help="database that receives curated and mart tables")
     ap.add_argument("--skip-severity", action="store_true", help="leave out training and scoring of narratives")
+    ap.add_argument("--run-id", default=None, help="name of this run: started again, it goes on behind its last committed zone")
     args = ap.parse_args(argv)
     spark = get_spark(app="rxlake-daily")
     feeds = read_raw_feeds(spark, args.raw, args.mode)
@@ -36,6 +37,7 @@ def main(argv=None) -> None:
     run = run_daily(
         spark, feeds, args.out, series_rows=series_rows, complete_through=args.complete_through,
         score_cases=not args.skip_severity, horizon=args.horizon, min_months=args.min_months, database=args.database,
+        run_id=args.run_id,
     )
     run.audit.show(truncate=False)
 

@@ -2,23 +2,30 @@
 
 One Spark application.  Each zone write is a cut point: the next stage
 reads the written zone back (S3), so lineage never spans the whole job and
-executor loss only recomputes the current stage.  Row audits (A7) come from
-``Observation`` metrics gathered during the staging writes themselves — no
-extra scans of the raw feeds; curated row counts (A8) are observed the
-same way during the curated writes.
+executor loss only recomputes the current stage.  Row audits (A7, A8) are
+results of queries, not counters filled by tasks, so a stage that is run again
+cannot count twice: rows in by one aggregate over the feed's required columns,
+rows out by counting the committed zone (its footers hold the counts).
+
+A run has an id (the scheduler's, say) and a ledger below the output folder:
+every step writes its entry behind its zone, so the same run started again
+goes on behind the last committed step.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.operators import curate, marts, quality, series, severity
 from rxlake.operators.clean import _dedup_plan, dedup, drop_lineage, require
 from rxlake.plans.q_board import MART_CHECKS
 from rxlake.schemas import FEEDS, FORECAST_HORIZON
+from rxlake.session import path_exists
 from rxlake.sinks.writers import materialize, replace_table, write_file, write_zone
 from rxlake.sources.feeds import read_zone
 
@@ -31,18 +38,49 @@ AUDIT_SCHEMA = (
 class DailyRun:
     paths: dict[str, str] = field(default_factory=dict)
     audit: DataFrame | None = None
+    reused: list[str] = field(default_factory=list)  # steps that an earlier start of the run had committed
 
 
-def stage_feed(raw: DataFrame, feed: str, path: str) -> tuple[int, int, int]:
-    """Clean one feed into its staging zone; returns (in, after required, out)."""
+class RunLedger:
+    """Committed steps of one run: a folder per step with its path and counts.
+    Without a run id nothing is kept and every step is done."""
+
+    def __init__(self, spark: SparkSession, out_dir: str, run_id: str | None, run: DailyRun) -> None:
+        self.spark, self.run = spark, run
+        self.root = f"{out_dir}/_runs/{run_id}" if run_id else None
+
+    def step(self, name: str, build: Callable[[], tuple[str, dict[str, int]]]) -> dict[str, int]:
+        """The counts of step ``name``: as committed, or built now.  ``build``
+        writes the zone and returns its path and counts."""
+        entry = f"{self.root}/{name}" if self.root else None
+        if entry and path_exists(self.spark, f"{entry}/_SUCCESS"):
+            row = self.spark.read.parquet(entry).first()
+            self.run.paths[name], counts = row["path"], dict(row["counts"])
+            self.run.reused.append(name)
+            return counts
+        path, counts = build()
+        self.run.paths[name] = path
+        if entry:
+            rows = self.spark.createDataFrame([(path, counts)], "path string, counts map<string, bigint>")
+            rows.coalesce(1).write.mode("overwrite").parquet(entry)
+        return counts
+
+
+def committed_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a written zone, from its files."""
+    return read_zone(spark, path).count()
+
+
+def stage_feed(raw: DataFrame, feed: str, path: str) -> dict[str, int]:
+    """Clean one feed into its staging zone; returns its row counts."""
     spec = FEEDS[feed]
-    o_in, o_req, o_out = Observation(f"{feed}_in"), Observation(f"{feed}_req"), Observation(f"{feed}_out")
-    counted = raw.observe(o_in, F.count(F.lit(1)).alias("n"))
-    kept = require(counted, spec.required).observe(o_req, F.count(F.lit(1)).alias("n"))
+    kept = require(raw, spec.required)
     keys, order = _dedup_plan(kept, spec)
-    out = drop_lineage(dedup(kept, keys, order)).observe(o_out, F.count(F.lit(1)).alias("n"))
+    out = drop_lineage(dedup(kept, keys, order))
     write_zone(out.withColumn("_ingested_at", F.current_timestamp()), path)
-    return int(o_in.get["n"]), int(o_req.get["n"]), int(o_out.get["n"])
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in spec.required], F.lit(True))
+    got = raw.agg(F.count(F.lit(1)).alias("n"), F.count_if(whole).alias("whole")).first()
+    return {"in": got["n"], "required": got["whole"], "out": committed_rows(raw.sparkSession, path)}
 
 
 def run_daily(
@@ -59,6 +97,7 @@ def run_daily(
     min_months: int | None = None,
     database: str | None = None,
     continuous: bool = True,
+    run_id: str | None = None,
 ) -> DailyRun:
     """Run all stages into ``out_dir``.
 
@@ -67,35 +106,40 @@ def run_daily(
     themselves where no ``labelled`` / ``narratives`` are given.  With
     ``database`` the curated zones and the marts also become its tables.
     The forecast estimates weights and initial states (``continuous``) from the
-    parameter grid's winner on.
+    parameter grid's winner on.  A run started again with its ``run_id`` uses
+    the staging, curated and mart zones that it has committed.
     """
     run = DailyRun()
     out_dir = out_dir.rstrip("/")
+    ledger = RunLedger(spark, out_dir, run_id, run)
     counts = {}
     # 1. raw -> staging (P1, A6, P13, K1) with audit
     for feed, raw in raw_feeds.items():
         path = f"{out_dir}/staging/{feed}"
-        counts[feed] = stage_feed(raw, feed, path)
-        run.paths[f"staging.{feed}"] = path
+        counts[feed] = ledger.step(f"staging.{feed}", lambda raw=raw, feed=feed, path=path: (path, stage_feed(raw, feed, path)))
 
     def staged(feed):
         cols = [c for c in FEEDS[feed].schema.fieldNames()]
         return read_zone(spark, run.paths[f"staging.{feed}"], cols)
 
     # 2. staging -> curated
-    cae = curate.curated_adverse_events(staged("adverse_events"), staged("clinical_trials"))
-    csd = curate.curated_supply_demand(staged("drug_shipments"), staged("drug_sales"))
+    builders = {
+        "adverse_events": lambda: curate.curated_adverse_events(staged("adverse_events"), staged("clinical_trials")),
+        "supply_demand": lambda: curate.curated_supply_demand(staged("drug_shipments"), staged("drug_sales")),
+    }
     curated_counts = {}
-    for name, df in (("adverse_events", cae), ("supply_demand", csd)):
-        obs = Observation(f"curated_{name}")
-        run.paths[f"curated.{name}"] = write_zone(
-            df.observe(obs, F.count(F.lit(1)).alias("n")), f"{out_dir}/curated/{name}"
-        )
-        curated_counts[f"curated.{name}"] = int(obs.get["n"])  # A8
+    for name, build in builders.items():
+        def curated(name=name, build=build):
+            path = write_zone(build(), f"{out_dir}/curated/{name}")
+            return path, {"out": committed_rows(spark, path)}  # A8
+
+        curated_counts[f"curated.{name}"] = ledger.step(f"curated.{name}", curated)["out"]
 
     if database:  # warehouse load (K2)
-        for name in ("adverse_events", "supply_demand"):
-            replace_table(read_zone(spark, run.paths[f"curated.{name}"]), f"{database}.curated_{name}", partition_by="region")
+        for name in builders:
+            zone = read_zone(spark, run.paths[f"curated.{name}"])
+            ledger.step(f"table.curated_{name}", lambda zone=zone, name=name: (
+                replace_table(zone, f"{database}.curated_{name}", path=f"{out_dir}/tables/curated_{name}", cluster_by="region"), {}))
 
     # 3. curated -> staging views -> marts (K3) + model tests (Q)
     stg_ae = marts.stg_adverse_events(read_zone(spark, run.paths["curated.adverse_events"]))
@@ -109,11 +153,13 @@ def run_daily(
         "fct_drug_demand": marts.fct_drug_demand(stg_sd),
     }
     for name, df in mart_frames.items():
-        run.paths[f"marts.{name}"] = path = f"{out_dir}/marts/{name}"
-        if database:
-            materialize(df, f"{database}.{name}", "table", path)
-        else:
-            write_zone(df, path, partition_by=None)
+        def mart(name=name, df=df):
+            path = f"{out_dir}/marts/{name}"
+            if database:
+                return materialize(df, f"{database}.{name}", "table", path), {}
+            return write_zone(df, path, partition_by=None), {}
+
+        ledger.step(f"marts.{name}", mart)
     written = {n: read_zone(spark, run.paths[f"marts.{n}"]) for n in mart_frames}
     checks = quality.run_checks(
         {"dim_drugs": written["dim_drugs"], "fct_adverse_events": written["fct_adverse_events"],
@@ -157,7 +203,7 @@ def run_daily(
         )
 
     rows = [
-        (feed, n_in, n_out, n_in - n_req, n_req - n_out, n_in - n_out) for feed, (n_in, n_req, n_out) in counts.items()
+        (feed, c["in"], c["out"], c["in"] - c["required"], c["required"] - c["out"], c["in"] - c["out"]) for feed, c in counts.items()
     ] + [(name, n, n, 0, 0, 0) for name, n in curated_counts.items()]
     run.audit = spark.createDataFrame(rows, AUDIT_SCHEMA)
     return run

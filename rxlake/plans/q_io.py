@@ -13,7 +13,7 @@ from rxlake.plans.q_core import J3_SQL
 from rxlake.plans.registry import register
 from rxlake.plans.staged import Staged, with_ctes
 from rxlake.session import scratch_path
-from rxlake.sinks.writers import materialize, write_file, write_zone
+from rxlake.sinks.writers import materialize, replace_table, write_file, write_zone
 from rxlake.sources import adapters
 from rxlake.sources.feeds import CORRUPT_COL, quarantine_feed, read_feed, read_table, read_zone
 from rxlake.sources.tables import Tables
@@ -93,7 +93,18 @@ def k3_mart_table(spark, sf_dir):
     """The drug dimension replaced as a catalog table (K2, K3), read by name."""
     s = Staged(spark, sf_dir)
     mart = marts.dim_drugs(s.stg_events, s.stg_supply_demand)
-    return read_table(spark, materialize(mart, "rxlake_dim_drugs", "table", scratch_path(spark, "dim-drugs")))
+    materialize(mart, "rxlake_dim_drugs", "table", scratch_path(spark, "dim-drugs"))
+    return read_table(spark, "rxlake_dim_drugs")
+
+
+@register("k2_replaced_table", with_ctes("SELECT * FROM curated_sd"))
+def k2_replaced_table(spark, sf_dir):
+    """Supply and demand loaded over a table of other rows (K2): written aside,
+    sorted by region, then swapped in."""
+    df, path = Staged(spark, sf_dir).curated_supply_demand, scratch_path(spark, "supply-demand")
+    replace_table(df.limit(0), "rxlake_supply_demand", path=path)
+    replace_table(df, "rxlake_supply_demand", path=path, cluster_by="region")
+    return read_table(spark, "rxlake_supply_demand")
 
 
 @register("s3_zone_round_trip", with_ctes("SELECT * FROM curated_ae"))
@@ -116,8 +127,8 @@ DAILY_AUDIT_SQL = audit_sql().replace(
 @register("x1_daily_audit", DAILY_AUDIT_SQL)
 def x1_daily_audit(spark, sf_dir):
     """Run the whole daily job into a fresh shared folder; return its audit
-    (rows in / out per feed and curated row counts, gathered by Observation
-    during the writes)."""
+    (rows in / out per feed and curated row counts, counted in the committed
+    zones)."""
     s = Staged(spark, sf_dir)
     t = s.tables
     run = run_daily(
