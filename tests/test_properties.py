@@ -1,6 +1,7 @@
 """Randomised checks against brute-force Python on small fixtures."""
 
 import numpy as np
+import pytest
 import datetime as dt
 import math
 import random
@@ -175,3 +176,22 @@ def test_continuous_fit_on_rows(spark):
     assert len(fc) == 18 and {r.forecast_units for r in fc if r.drug_code == "flat"} == {5}
     report = series.continuous_report(series.estimate_holt_winters(series.fit_holt_winters(arrays))).collect()
     assert all(r.estimate_sse <= r.grid_sse for r in report) and len(report) == 6
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 20])
+def test_quantiles_match_numpy(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(series, "SKETCH", accuracy)  # 20: the brackets cut most values off
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 3, 10, 11, 1000):
+        a, b = rng.normal(size=n), rng.integers(0, 4, n).astype(float)
+        rows = [(float(x), float(y) if k % 5 else None) for k, (x, y) in enumerate(zip(a, b))]
+        df = spark.createDataFrame(rows, "a double, b double").repartition(3)
+        asked = {"1": 0.25, "2": 0.5, "3": 0.75, "lo": 0.0, "hi": 1.0, "odd": 0.31}
+        got = {(r.metric, r.stat): r.value for r in series.exact_quantiles(df, ["a", "b"], asked).collect()}
+        for s, q in asked.items():
+            assert abs(got["a", s] - np.quantile(a, q)) < 1e-12
+            kept = [y for _, y in rows if y is not None]
+            if kept:
+                assert abs(got["b", s] - np.quantile(kept, q)) < 1e-12
+            else:
+                assert ("b", s) not in got
