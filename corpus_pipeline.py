@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.llm import exact, mixing, packing, quality, simhash
-from rxlake.llm.catalog import labelled_for_fit
+from rxlake.llm.catalog import labels_for_fit
 from rxlake.llm.common import read
 from rxlake.session import scratch_path
 
@@ -18,7 +18,7 @@ from rxlake.session import scratch_path
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject.  It is fitted on the
     labelled rows of the documents table outside the held-out third."""
-    model = quality.fit_rules(labelled_for_fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
+    model = quality.fit_labels(read(spark, sf_dir, "documents"), labels_for_fit(read(spark, sf_dir, "labels")))
     return quality.classify(docs, model).filter("predicted = 1").select("row.*")
 
 

@@ -9,10 +9,9 @@ from rxlake.llm import chat, embeddings, exact, languages, licences, manifest, m
 from rxlake.llm.common import bucket_of, read
 
 
-def labelled_for_fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with a quality label outside the held-out third."""
-    known = labels.select("doc_id", "quality").filter(bucket_of("doc_id", 3) != 1)
-    return docs.select("doc_id", "text").join(known, "doc_id")
+def labels_for_fit(labels: DataFrame) -> DataFrame:
+    """Quality labels outside the held-out third."""
+    return labels.select("doc_id", "quality").filter(bucket_of("doc_id", 3) != 1)
 
 
 OP1_SQL = r"""
@@ -47,7 +46,7 @@ def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.fit_rules(labelled_for_fit(docs, read(spark, sf_dir, "labels")))
+    model = quality.fit_labels(docs, labels_for_fit(read(spark, sf_dir, "labels")))
     return quality.classify(docs, model).select(
         "row.doc_id", (bucket_of("row.doc_id", 3) == 1).alias("held_out"), "score", F.col("predicted").cast("int")
     )

@@ -149,9 +149,47 @@ def fit_rules(
     known = labelled.filter(F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"), F.col(f"`{text_col}`").alias("text")
     )
-    # the sample is drawn on ids alone, so no text passes through the driver
-    ids = known.select(F.col("id").alias("_id")).distinct().orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(fit_rows)
-    stats, names = with_statistics(known.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi"))
+    ids = _drawn(known.select("id").distinct(), fit_rows, seed).select(F.col("id").alias("_id"))
+    return _fit(known.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi"), seed)
+
+
+def _drawn(ids: DataFrame, fit_rows: int, seed: int) -> DataFrame:
+    """The rows of the ``fit_rows`` smallest id hashes (marked for broadcast:
+    so many small rows at most)."""
+    return F.broadcast(ids.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(fit_rows))
+
+
+def fit_labels(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    label_col: str = "quality",
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    fit_rows: int = FIT_ROWS,
+    seed: int = 7,
+) -> RuleModel:
+    """Fit on the texts of ``docs`` whose ids ``labels`` marks 0 or 1.
+
+    The ids are drawn before any text is read: labels meet the ids of the
+    documents alone, at most ``fit_rows`` of them are kept, and the texts are
+    picked by that broadcast list, so no text is shuffled at any size.  An id
+    with both labels is ignored, and so is a null id; of rows that repeat an
+    id one (of the smallest statistics) is used.
+    """
+    one = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
+        F.min(label_col).cast("double").alias("label"), F.max(label_col).cast("double").alias("_most")
+    )
+    present = one.filter(F.col("label") == F.col("_most")).select("id", "label").join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+    drawn = _drawn(present, fit_rows, seed).withColumnRenamed("id", "_id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return _fit(texts.join(drawn, F.col("id") == F.col("_id")).drop("_id"), seed)
+
+
+def _fit(known: DataFrame, seed: int) -> RuleModel:
+    """The model of rows ``id, label, text``, one per id and label."""
+    stats, names = with_statistics(known)
+    stats = stats.groupBy("id", "label").agg(F.min("_stats").alias("_stats"))  # numbers only
     data = cut(stats.select("label", *[F.col(f"_stats.{n}").alias(n) for n in names]))
     share = data.agg(F.sum("label").alias("ones"), F.count("*").alias("rows")).first()
     ones, rows = share["ones"] or 0.0, share["rows"]
