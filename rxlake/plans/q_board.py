@@ -97,7 +97,7 @@ def d14_monthly_revenue(spark, sf_dir):
 
 
 # ---- A7 load audit -----------------------------------------------------------
-def audit_sql() -> str:
+def audit_rows() -> str:
     rows = []
     for feed, raw, req, out in (
         ("clinical_trials", "trials_feed", "trial_id IS NOT NULL AND drug_code IS NOT NULL", "stg_trials"),
@@ -112,7 +112,11 @@ def audit_sql() -> str:
             f"(SELECT (SELECT count(*) FROM {raw}) AS i, (SELECT count(*) FROM {raw} WHERE {req}) AS r, "
             f"(SELECT count(*) FROM {out}) AS o)"
         )
-    return with_ctes("\nUNION ALL\n".join(rows))
+    return "\nUNION ALL\n".join(rows)
+
+
+def audit_sql() -> str:
+    return with_ctes(audit_rows())
 
 
 @register("a7_load_audit", audit_sql())
