@@ -22,6 +22,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
@@ -143,6 +144,53 @@ def linear_model(fit: Fit) -> LogisticRegressionModel:
     return LogisticRegressionModel(java).setFeaturesCol("features").setPredictionCol("prediction")
 
 
+def known_rows(train: DataFrame, text_col: str = "narrative", label: str = LABEL, order: Sequence[str] = SEVERITY_ORDER) -> DataFrame:
+    """Rows with a text and one of the labels; adds ``label`` (its index)."""
+    rows = train.dropna(subset=[text_col, label]).withColumn("label", label_index(label, order))
+    return rows.filter(F.col("label").isNotNull())
+
+
+@dataclass(frozen=True)
+class Features:
+    """Fitted text features: the stages up to ``features`` (terms, counts, tf
+    x idf, L2 norm) and, per index, term and document frequency."""
+
+    stages: list
+    terms: list[str]
+    doc_freq: np.ndarray
+    scale: np.ndarray
+    rows: int
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return PipelineModel(stages=self.stages).transform(df)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``index, term, doc_freq, idf`` of the vocabulary (M2, M3)."""
+        rows = zip(range(len(self.terms)), self.terms, self.doc_freq.tolist(), self.scale.tolist(), strict=True)
+        return spark.createDataFrame([*rows], "index int, term string, doc_freq bigint, idf double")
+
+
+def fit_features(data: DataFrame, text_col: str = "narrative", min_df: int = MIN_DF) -> Features:
+    """M1-M3: vocabulary of the terms in ``min_df`` documents, smooth idf
+    ln((1 + n) / (1 + df)) + 1 (the library's idf is the logarithm alone),
+    vectors of length one."""
+    counter = CountVectorizer(inputCol="terms", outputCol="tf", minDF=float(min_df), vocabSize=(1 << 31) - 1)
+    prefix = Pipeline(stages=[SQLTransformer(statement=terms_statement(text_col)), counter]).fit(data)
+    idf = IDF(inputCol="tf", outputCol="_idf").fit(prefix.transform(data))
+    weights = idf.idf.toArray() + 1.0
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="tfidf")
+    norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
+    return Features([*prefix.stages, scale, norm], list(prefix.stages[1].vocabulary), np.array(idf.docFreq, dtype=np.int64), weights, idf.numDocs)
+
+
+def weighted_terms(features: Features, df: DataFrame, id_col: str = "case_id") -> DataFrame:
+    """M3: ``id, term, weight`` of every document's feature vector."""
+    vector = F.unwrap_udt("features")
+    flat = features.transform(df).select(id_col, F.explode(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("weight"))).alias("f"))
+    table = features.table(df.sparkSession).select("index", "term")
+    return flat.select(id_col, "f.index", "f.weight").join(table, "index").select(id_col, "term", "weight")
+
+
 def train_severity(
     train: DataFrame,
     text_col: str = "narrative",
@@ -153,32 +201,22 @@ def train_severity(
     reg_c: float = 1.0,
 ) -> PipelineModel:
     """M5: fit the full pipeline; rows with null text or label are dropped
-    (P17).  ``regParam = 1 / (C * n)`` maps the reference's C on a summed,
-    weighted loss to Spark's mean loss (balanced weights sum to n)."""
-    data = train.dropna(subset=[text_col, label]).withColumn("label", label_index(label, order)).filter(
-        F.col("label").isNotNull()
-    )
+    (P17).  The strength ``1 / C`` acts on the summed, weighted loss (balanced
+    weights sum to n)."""
+    data = known_rows(train, text_col, label, order)
     share = min(1.0, fit_rows / max(1, data.count()))
     data = data.filter(F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    data = with_balanced_weight(data, label)
-    terms = SQLTransformer(statement=terms_statement(text_col))
-    prefix = Pipeline(stages=[terms, CountVectorizer(inputCol="terms", outputCol="tf", minDF=float(min_df),
-                                                     vocabSize=(1 << 31) - 1)]).fit(data)
-    tf = prefix.transform(data).cache()
+    data = with_balanced_weight(data, label).persist()
     try:
-        idf = IDF(inputCol="tf", outputCol="_idf").fit(tf).idf.toArray()
-        scale = ElementwiseProduct(scalingVec=Vectors.dense(idf + 1.0), inputCol="tf", outputCol="tfidf")
-        norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
-        n = tf.count()
-        feats = norm.transform(scale.transform(tf)).select("features", "label", "weight")
-        fit = fit_multinomial(feats, len(order), len(idf), 1.0 / reg_c, tolerance=TOL / 10)
-        lr = linear_model(fit)
+        features = fit_features(data, text_col, min_df)
+        rows = features.transform(data).select("features", "label", "weight")
+        fit = fit_multinomial(rows, len(order), len(features.terms), 1.0 / reg_c, tolerance=TOL / 10)
     finally:
-        tf.unpersist()
+        data.unpersist()
     LOG.info("severity fit: %d rows, %d terms, objective %.6f, gradient norm %.3g, %d Newton steps, %d Hessian products",
-             n, len(idf), fit.objective, fit.gradient_norm, fit.newton_steps, fit.products)
+             features.rows, len(features.terms), fit.objective, fit.gradient_norm, fit.newton_steps, fit.products)
     to_label = IndexToString(inputCol="prediction", outputCol="predicted_severity", labels=list(order))
-    return PipelineModel(stages=[*prefix.stages, scale, norm, lr, to_label])
+    return PipelineModel(stages=[*features.stages, linear_model(fit), to_label])
 
 
 def score_severity(model: PipelineModel, df: DataFrame, text_col: str = "narrative") -> DataFrame:

@@ -21,6 +21,7 @@ from rxlake.streaming.triage_stream import with_signal
 
 NARR = f"({adapters.LABELLED_NARRATIVES_SQL})"
 TERMS_SQL = f"({terms_select_duckdb(NARR)})"
+ALL_TERMS_SQL = f"({terms_select_duckdb(f'({adapters.NARRATIVES_SQL})')})"
 SEED = sev.DEFAULT_SEED
 
 
@@ -35,47 +36,51 @@ def _terms(spark, sf_dir):
 @register(
     "m1_tokenize",
     f"SELECT case_id, CAST(len(tokens) AS INTEGER) AS n_tokens, CAST(len(terms) AS INTEGER) AS n_terms, "
-    f"md5(array_to_string(terms, ' ')) AS terms_md5 FROM {TERMS_SQL} x",
+    f"md5(array_to_string(terms, ' ')) AS terms_md5 FROM {ALL_TERMS_SQL} x",
 )
 def m1_tokenize(spark, sf_dir):
-    return _terms(spark, sf_dir).select(
+    """Terms of every document, labelled or not."""
+    docs = adapters.narratives(Tables(spark, sf_dir))
+    return SQLTransformer(statement=terms_statement("narrative")).transform(docs).select(
         "case_id", F.size("tokens").alias("n_tokens"), F.size("terms").alias("n_terms"),
         F.md5(F.concat_ws(" ", "terms")).alias("terms_md5"),
     )
 
 
-def _doc_freq(spark, sf_dir):
-    return (
-        _terms(spark, sf_dir)
-        .select("case_id", F.explode(F.array_distinct("terms")).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("doc_freq"))
-    )
+def _features(spark, sf_dir):
+    """The model's own text features, fitted on the labelled narratives."""
+    return sev.fit_features(sev.known_rows(_narratives(spark, sf_dir)))
 
 
 DF_SQL = f"SELECT term, count(*) AS doc_freq FROM (SELECT DISTINCT case_id, unnest(terms) AS term FROM {TERMS_SQL} x) GROUP BY 1"
 
 
+IDF_SQL = f"""SELECT term, doc_freq, ln((1 + (SELECT count(*) FROM {NARR} n WHERE narrative IS NOT NULL)) / (1 + doc_freq)) + 1 AS idf
+  FROM ({DF_SQL}) WHERE doc_freq >= {sev.MIN_DF}"""
+
+
 @register("m2_vocabulary", f"SELECT * FROM ({DF_SQL}) WHERE doc_freq >= {sev.MIN_DF}")
 def m2_vocabulary(spark, sf_dir):
-    return _doc_freq(spark, sf_dir).filter(F.col("doc_freq") >= sev.MIN_DF)
+    """Vocabulary and document frequencies of the fitted features."""
+    return _features(spark, sf_dir).table(spark).select("term", "doc_freq")
 
 
-@register(
-    "m3_smooth_idf",
-    f"SELECT term, doc_freq, round(ln((1 + (SELECT count(*) FROM {NARR} n)) / (1 + doc_freq)) + 1, 6) AS idf "
-    f"FROM ({DF_SQL}) WHERE doc_freq >= {sev.MIN_DF}",
-)
+@register("m3_smooth_idf", f"SELECT term, doc_freq, round(idf, 6) AS idf FROM ({IDF_SQL})")
 def m3_smooth_idf(spark, sf_dir):
-    """Smooth idf per vocabulary term; the corpus size is a scalar subquery
-    (computed once, inlined as a value — no join)."""
-    n_docs = _narratives(spark, sf_dir).select(F.count(F.lit(1))).scalar()
-    vocab = _doc_freq(spark, sf_dir).filter(F.col("doc_freq") >= sev.MIN_DF)
-    # reported to 6 decimals: JVM and C ``ln`` may differ in the last bit
-    return vocab.withColumn(
-        "idf",
-        F.round(F.ln((F.lit(1) + n_docs).cast("double") / (F.lit(1) + F.col("doc_freq")).cast("double")) + 1, 6),
-    )
+    """Weights of the fitted features (to 6 decimals: JVM and C ``ln`` may
+    differ in the last bit)."""
+    return _features(spark, sf_dir).table(spark).select("term", "doc_freq", F.round("idf", 6).alias("idf"))
+
+
+WEIGHTED_SQL = f"""SELECT case_id, term, count(*) * any_value(idf) AS w FROM
+  (SELECT case_id, unnest(terms) AS term FROM {TERMS_SQL} x) t JOIN ({IDF_SQL}) i USING (term) GROUP BY 1, 2"""
+
+
+@register("m3_tfidf_vectors", f"SELECT case_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY case_id)), 6) AS weight FROM ({WEIGHTED_SQL})")
+def m3_tfidf_vectors(spark, sf_dir):
+    """The vectors that the model is fitted on: tf x idf at length one."""
+    rows = sev.weighted_terms(_features(spark, sf_dir), sev.known_rows(_narratives(spark, sf_dir)))
+    return rows.select("case_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @register(
@@ -102,10 +107,18 @@ def m6_stratified_split(spark, sf_dir):
 
 @register(
     "m8_sample_cases",
-    f"SELECT case_id, severity_label FROM {NARR} n ORDER BY md5('1|' || CAST(case_id AS VARCHAR)), case_id LIMIT 10",
+    f"SELECT case_id, md5(narrative) AS narrative_md5 FROM ({adapters.NARRATIVES_SQL}) n ORDER BY md5('1|' || CAST(case_id AS VARCHAR)), case_id LIMIT 10",
 )
 def m8_sample_cases(spark, sf_dir):
-    return sev.sample_cases(_narratives(spark, sf_dir), n=10, seed=1).select("case_id", "severity_label")
+    """Ten of all documents."""
+    sample = sev.sample_cases(adapters.narratives(Tables(spark, sf_dir)), n=10, seed=1)
+    return sample.select("case_id", F.md5(F.col("narrative").cast("binary")).alias("narrative_md5"))
+
+
+@register("p17_training_rows", f"SELECT severity_label, count(*) AS n FROM {NARR} n WHERE narrative IS NOT NULL GROUP BY 1")
+def p17_training_rows(spark, sf_dir):
+    """What a fit is given: rows with a text and a known label, per class."""
+    return sev.known_rows(_narratives(spark, sf_dir)).groupBy("severity_label").agg(F.count("*").alias("n"))
 
 
 def _registry(spark) -> sev.ModelRegistry:
@@ -174,6 +187,16 @@ def m7_score_severity(spark, sf_dir):
     return _scored_all(spark, sf_dir).select("case_id", "severity_label", "predicted_severity")
 
 
+@register("m7_scored_rows", f"""SELECT d.case_id, n.severity_label, d.narrative IS NOT NULL AS predicted, d.narrative IS NOT NULL AS known_class
+  FROM ({adapters.NARRATIVES_SQL}) d LEFT JOIN {NARR} n ON d.case_id = n.case_id""")
+def m7_scored_rows(spark, sf_dir):
+    """Which rows M7 gives a class, and that it is one of the four (which one
+    is the model's affair)."""
+    rows = _scored_all(spark, sf_dir)
+    known = F.coalesce(F.col("predicted_severity").isin(*SEVERITY_ORDER), F.lit(False))
+    return rows.select("case_id", "severity_label", F.col("predicted_severity").isNotNull().alias("predicted"), known.alias("known_class"))
+
+
 def _scored_labelled(spark, sf_dir):
     """Agreement only counts labelled rows, so only those are scored."""
     return sev.score_severity(_model(spark, sf_dir), _narratives(spark, sf_dir))
@@ -184,6 +207,21 @@ def a9_label_agreement(spark, sf_dir):
     return sev.label_agreement(_scored_labelled(spark, sf_dir))
 
 
+@register("a9_agreement_rows", f"SELECT count(*) AS scored_rows, TRUE AS a_share FROM {NARR} n WHERE narrative IS NOT NULL")
+def a9_agreement_rows(spark, sf_dir):
+    """The rows that A9 and D4 judge; the agreement is a share of them."""
+    got = sev.label_agreement(_scored_labelled(spark, sf_dir))
+    return got.select("scored_rows", F.col("agreement").between(0.0, 1.0).alias("a_share"))
+
+
+@register("a10_report_support", f"""WITH held AS (SELECT severity_label AS label FROM ({SPLIT_SQL}) s WHERE split = 'test')
+SELECT l.label, count(h.label) AS support FROM (SELECT unnest({SEVERITY_ORDER!r}) AS label) l LEFT JOIN held h USING (label) GROUP BY 1
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM held)""")
+def a10_report_support(spark, sf_dir):
+    """The held-out report's rows and supports."""
+    return a10_classification_report(spark, sf_dir).select("label", "support")
+
+
 @register("d4_kpi_classifier_accuracy")
 def d4_kpi_classifier_accuracy(spark, sf_dir):
     return sev.label_agreement(_scored_labelled(spark, sf_dir)).select(
@@ -245,20 +283,28 @@ def a10_report_triage_vs_label(spark, sf_dir):
     return sev.classification_report(with_signal(stg), y_pred="severity_signal")
 
 
+SIGNALLED_SQL = f"SELECT *, {triage_signal_sql()} AS severity_signal FROM ({adapters.DOCUMENT_REPORTS_SQL}) r"
+
+
+def _reconciled(spark, sf_dir):
+    from rxlake.streaming.triage_stream import alerts, reconcile_alerts
+
+    t = Tables(spark, sf_dir)
+    scored = sev.score_severity(_model(spark, sf_dir), adapters.narratives(t))
+    return reconcile_alerts(alerts(adapters.document_reports(t)), scored, label_col="predicted_severity")
+
+
 @register("j5_reconcile_alerts_vs_model")
 def j5_reconcile_alerts_vs_model(spark, sf_dir):
     """J5 against the nightly model: the real-time rule run over every
-    narrative (no outcome or serious flag on documents) reconciled with the
-    saved model's predicted severity of the same documents."""
-    from pyspark.sql import functions as F
+    document as a report, reconciled with the saved model's class of it."""
+    return _reconciled(spark, sf_dir)
 
-    from rxlake.streaming.triage_stream import alerts, reconcile_alerts
 
-    docs = adapters.narratives(Tables(spark, sf_dir))
-    reports = docs.select(
-        "case_id", F.lit(None).cast("string").alias("drug_code"), F.lit(None).cast("string").alias("drug_name"),
-        F.lit(None).cast("string").alias("country"), "narrative", F.lit(None).cast("string").alias("outcome"),
-        F.lit(None).cast("boolean").alias("serious_flag"),
-    )
-    scored = sev.score_severity(_model(spark, sf_dir), docs)
-    return reconcile_alerts(alerts(reports), scored, label_col="predicted_severity")
+@register("j5_alert_side", f"SELECT case_id, severity_signal, TRUE AS agreed FROM ({SIGNALLED_SQL}) s WHERE severity_signal <> 'routine'")
+def j5_alert_side(spark, sf_dir):
+    """J5 against the model, the part that SQL can tell: every alert is in the
+    result once, under ``both`` or ``alert_only``."""
+    rows = _reconciled(spark, sf_dir).filter("severity_signal is not null")
+    want = F.when(F.col("batch_class").isNotNull(), "both").otherwise("alert_only")
+    return rows.select("case_id", "severity_signal", (F.col("agreement") == want).alias("agreed"))

@@ -406,3 +406,26 @@ LABELLED_NARRATIVES_SQL = """SELECT d.doc_id AS case_id, text AS narrative,
 def narratives(t: Tables) -> DataFrame:
     """All documents as narratives to score (labelled or not)."""
     return t.documents.select(F.col("doc_id").alias("case_id"), F.col("text").alias("narrative"))
+
+
+NARRATIVES_SQL = "SELECT doc_id AS case_id, text AS narrative FROM documents"
+
+FATAL_SOURCES = ["src3", "src7"]
+
+
+def document_reports(t: Tables) -> DataFrame:
+    """All documents as incoming reports: those of two sources report a fatal
+    outcome, those labelled toxic are flagged serious (unlabelled: unknown)."""
+    d = t.documents.select("doc_id", "text", "lang", "source")
+    x = d.join(t.labels.select(F.col("doc_id").alias("_id"), "toxic"), F.col("doc_id") == F.col("_id"), "left")
+    return x.select(
+        F.col("doc_id").alias("case_id"), F.col("source").alias("drug_code"), F.col("source").alias("drug_name"),
+        F.col("lang").alias("country"), F.col("text").alias("narrative"),
+        F.when(F.col("source").isin(*FATAL_SOURCES), "Fatal").otherwise("Recovered").alias("outcome"),
+        (F.col("toxic") == 1).alias("serious_flag"),
+    )
+
+
+DOCUMENT_REPORTS_SQL = f"""SELECT d.doc_id AS case_id, source AS drug_code, source AS drug_name, lang AS country, text AS narrative,
+    CASE WHEN source IN ({', '.join(f"'{s}'" for s in FATAL_SOURCES)}) THEN 'Fatal' ELSE 'Recovered' END AS outcome, toxic = 1 AS serious_flag
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""

@@ -60,3 +60,44 @@ def test_without_rows_or_with_one_class(spark):
     assert not none.coefficients.any() and none.newton_steps == 0
     one = newton.fit_multinomial(schema_rows, 2, 3, 1.0)
     assert np.isfinite(one.coefficients).all() and one.intercepts[0] > one.intercepts[1]
+
+
+def _narratives(spark, flip=False):
+    rows = [(k, f"{'calm mild day' if k % 2 else 'grave severe pain'} note {k % 5}", ("severe" if (k % 2 == 0) != flip else "mild")) for k in range(40)]
+    return spark.createDataFrame([*rows, (90, None, "mild"), (91, "unlabelled", None)], "case_id long, narrative string, severity_label string")
+
+
+def test_changed_rows_under_the_same_folder_train_again(spark, tmp_dir, monkeypatch):
+    from rxlake.operators import severity
+
+    registry = severity.ModelRegistry(tmp_dir)
+    rows = _narratives(spark)
+    fits = []
+    plain = severity.train_severity
+    monkeypatch.setattr(severity, "train_severity", lambda *a, **k: fits.append(1) or plain(*a, **k))
+    first = registry.load_or_train(rows)
+    again = registry.load_or_train(rows.orderBy("narrative").repartition(5))  # the same rows in another order
+    assert len(fits) == 1
+    other = registry.load_or_train(_narratives(spark, flip=True))
+    assert len(fits) == 2
+    asked = spark.createDataFrame([(1, "grave pain"), (2, "calm day"), (3, None)], "case_id long, narrative string")
+    classes = [{r.case_id: r.predicted_severity for r in severity.score_severity(m, asked).collect()} for m in (first, again, other)]
+    assert classes[0] == classes[1] == {1: "severe", 2: "mild", 3: None} and classes[2] == {1: "mild", 2: "severe", 3: None}
+    registry.load_or_train(rows, min_df=3)  # other parameters
+    registry.load_or_train(rows.union(rows.limit(1)))  # one row twice
+    assert len(fits) == 4
+    # a save that was cut short does not count
+    import shutil
+
+    path = registry.path(rows)
+    shutil.rmtree(f"{path}/saved")
+    registry.load_or_train(rows)
+    assert len(fits) == 5 and registry.load(path) is not None
+
+
+def test_alerts_meet_the_model_in_all_three_buckets(spark):
+    import __spark_entry__ as E
+    from oracle import MEDIUM
+
+    got = {r.agreement: r.n for r in E.queries()["j5_reconcile_alerts_vs_model"](spark, MEDIUM).groupBy("agreement").count().withColumnRenamed("count", "n").collect()}
+    assert set(got) == {"both", "alert_only", "class_only"}, got
