@@ -106,8 +106,10 @@ def link_quotes(
     without quotes keep their turn order.
 
     Null text counts as empty; null conversation ids form one conversation;
-    null turns sort first and link with nothing; repeated rows keep a row each
-    (their order among themselves is arbitrary); an empty table gives no rows.
+    null turns sort first and link with nothing; messages of one turn are
+    ordered by a hash of text and role; repeated rows keep a row each and take
+    consecutive positions; a passage links only if it equals a whole message,
+    block or line; an empty table gives no rows.
     """
     lines = _lines(F.col("text"))
     base = messages.select(
@@ -134,11 +136,18 @@ def link_quotes(
     own_lines = F.split("text", "\n")
     own_blocks = F.split("text", r"\n\n+")
     pieces = F.array_distinct(F.transform(F.concat(F.array("text"), own_blocks, own_lines), normalised))
-    originals = (
-        rows.filter(F.col("turn").isNotNull())
-        .select("conv_id", "turn", F.explode(F.filter(pieces, lambda p: p != "")).alias("passage"))
-        .withColumn("hash", F.xxhash64("passage"))
+    # hashes meet first; only the messages that hold a wanted one are read for its text
+    told = rows.filter(F.col("turn").isNotNull())
+    hashes = F.transform(F.filter(pieces, lambda p: p != ""), lambda p: F.xxhash64(p))
+    holding = (
+        told.select("row", "conv_id", F.explode(hashes).alias("hash"))
         .join(wanted, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("hash") == F.col("_hash")), "left_semi")
+        .select(F.col("row").alias("_row"), F.col("hash").alias("_want"))
+    )
+    held = told.select("row", "conv_id", "turn", "text").join(holding, F.col("row") == F.col("_row"))
+    originals = cut(
+        held.select("conv_id", "turn", F.col("_want").alias("hash"), F.explode(F.filter(pieces, lambda p: F.xxhash64(p) == F.col("_want"))).alias("passage"))
+        .filter("passage <> ''")
     )
     linked = latest_before(quotes, originals, ["conv_id", "hash", "passage"], "turn")
     best = F.min(F.when(F.col("found").isNotNull(), F.struct("level", "at", "found")))
@@ -159,7 +168,8 @@ def link_quotes(
     threads = hops.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), "root")
     threaded = replies.join(threads, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("turn") == F.col("_t")), "left")
     threaded = threaded.withColumn("root_turn", F.coalesce("root", "turn")).drop("_c", "_t", "root")
-    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "root_turn", "turn", "row")]
+    threaded = threaded.withColumn("_tie", F.xxhash64("text", "role"))
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "root_turn", "turn", "_tie", "row")]
     placed = numbered(threaded, order)
     starts = placed.groupBy(F.col("conv_id").alias("_conv")).agg(F.min("at").alias("_start"))
     return placed.join(starts, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(

@@ -137,19 +137,24 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, *, id_col: str
 
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), once(words_of(F.col(f"`{text_col}`"))).alias("w"))
     rows = rows.withColumn("h", once(shingle_hashes(F.col("w"))))
-    hits = F.filter(F.transform("h", lambda h, i: F.when(h.isin(anchors), i)), lambda i: i.isNotNull())
-    rows = rows.withColumn("hits", once(hits)).filter(F.size("hits") > 0)
-    around = F.transform(
-        "hits",
-        lambda i: F.struct(
-            i.alias("at"),
-            F.get(F.col("h"), i).alias("anchor"),
-            F.greatest(i - widest, F.lit(0)).alias("low"),
-            F.slice("h", F.greatest(i - widest, F.lit(0)) + 1, F.lit(2 * widest)).alias("h"),
-            F.slice("w", F.greatest(i - widest, F.lit(0)) + 1, F.lit(2 * widest + SHINGLE)).alias("w"),
+    # a text is cut into segments of `widest` words (with as many before and behind), and only
+    # those with a hit go on, so what a row holds grows with its text, not with its hits
+    hits = F.filter(F.transform("h", lambda h, i: F.when(h.isin(anchors), F.floor(i / widest))), lambda s: s.isNotNull())
+    rows = rows.withColumn("segments", once(F.array_distinct(hits))).filter(F.size("segments") > 0)
+    before = lambda s: F.greatest((s - 1) * widest, F.lit(0)).cast("int")
+    cut = F.transform(
+        "segments",
+        lambda s: F.struct(
+            (s * widest).cast("int").alias("core"),
+            before(s).alias("low"),
+            F.slice("h", before(s) + 1, F.lit(3 * widest)).alias("h"),
+            F.slice("w", before(s) + 1, F.lit(3 * widest + SHINGLE)).alias("w"),
         ),
     )
-    near = rows.withColumn("row_number", F.monotonically_increasing_id()).select("row_number", "doc_id", F.explode(around).alias("x")).select("row_number", "doc_id", "x.*")
+    parts = rows.withColumn("row_number", F.monotonically_increasing_id()).select("row_number", "doc_id", F.explode(cut).alias("x")).select("row_number", "doc_id", "x.*")
+    place = lambda h, i: F.when(h.isin(anchors) & (i + F.col("low")).between(F.col("core"), F.col("core") + (widest - 1)), i + F.col("low"))
+    near = parts.withColumn("at", F.explode(F.filter(F.transform("h", place), lambda i: i.isNotNull())))
+    near = near.withColumn("anchor", F.get(F.col("h"), F.col("at") - F.col("low")))
     step = F.floor((F.col("n") + 1) / 2).cast("int")
     width = F.col("n") + step - 1
     first = F.ceil(F.greatest(F.col("at") - width + 1, F.lit(0)) / step)

@@ -225,6 +225,47 @@ def test_schedule_is_low_discrepancy(spark):
         assert abs(len(mine) - want) <= 4 and max(r["use"] for r in mine) < mixing.MOST_USES
 
 
+def discrepancy(order, share):
+    """Largest distance, over all prefixes, of a source's slots from its share."""
+    count, worst = dict.fromkeys(share, 0), 0.0
+    for k, sid in enumerate(order, 1):
+        count[sid] += 1
+        worst = max(worst, *[abs(count[s] - k * share[s]) for s in share])
+    return worst
+
+
+def test_every_prefix_of_the_mix_holds_each_source_in_its_share(spark):
+    want = {1: 300, 2: 120, 3: 60, 4: 30}
+    src = spark.createDataFrame([(s, n * 10, float(n * 10), n) for s, n in want.items()], "sid int, source_size long, target double, blocks long")
+    slots = [(r["slot"], r["sid"]) for r in mixing.schedule(src).collect()]
+    order = [sid for slot, sid in sorted(slots) if slot < sum(want.values())]  # what follows tops up the rounding rest
+    assert len(slots) - len(order) <= 2 * len(want)
+    share = {s: n / sum(want.values()) for s, n in want.items()}
+    bound = 2 * (math.log2(len(order)) + 1)  # two ends of an interval, one per binary digit
+    assert discrepancy(order, share) <= bound
+    assert discrepancy(sorted(order), share) > 3 * bound  # source after source
+    assert discrepancy([s for k in range(300) for s in want if k < want[s]], share) > 2 * bound  # block after block in turn
+
+
+def test_mixed_documents_come_in_the_order_of_the_mix(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOT_BITS", 10)
+    rows = [(k, "w " * 20, "abcd"[0 if k % 2 else (k // 2) % 4]) for k in range(800)]
+    docs = make_docs(rows)
+    sizes = {r["doc_id"]: r for r in mixing.mixed_sizes(docs).collect()}
+    assert all((r["first_slot"] is None) == (r["taken"] == 0) == (r["n_slots"] == 0) for r in sizes.values())
+    mixed = mixing.mixed_documents(docs)
+    got = [r["doc_id"] for r in mixed.select("doc_id").collect()]  # partitions in order
+    seen = [d for k, d in enumerate(got) if d not in got[:k]]
+    firsts = [sizes[d]["first_slot"] for d in seen]
+    assert firsts == sorted(firsts)
+    total = sum(sizes[d]["size"] for d in got)
+    source = {k: s for k, _, s in rows}
+    share = {s: sum(sizes[d]["size"] for d in got if source[d] == s) / total for s in "abcd"}
+    order = [source[d] for d in got]
+    assert discrepancy(order, share) <= 2 * (math.log2(len(order)) + 2)
+    assert discrepancy(sorted(order), share) > 50
+
+
 def test_every_small_source_reaches_its_target(make_docs, monkeypatch):
     monkeypatch.setattr(mixing, "SLOT_BITS", 8)
     rows = [(k, "w " * 500, f"big{k % 4}") for k in range(120)]
@@ -415,6 +456,13 @@ def test_vectors_match_brute_force(spark, monkeypatch):
     assert embeddings.near_vectors(df.filter("false")).count() == 0
 
 
+def test_most_pairs_are_never_compared_in_full(spark):
+    vectors = spark.read.parquet(f"{MEDIUM}/embeddings.parquet")
+    r = embeddings.join_statistics(vectors, cosine=0.9).first()
+    assert r["vectors"] > 400 and 0 < r["compared"] < 0.05 * r["pairs"]
+    assert tuple(embeddings.join_statistics(vectors.filter("false")).first()) == (0, 0, 0)
+
+
 # ---- substrings
 def brute_substrings(rows, window):
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
