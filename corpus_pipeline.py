@@ -34,7 +34,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes their words, to the nearest whole
-    number; a document of no words stays as it is."""
+    number, in the order of the mix (so packed sequences follow it); a document
+    of no words stays as it is."""
     return mixing.mixed_documents(docs)
 
 

@@ -54,7 +54,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_sizes(read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")
 
 
 def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

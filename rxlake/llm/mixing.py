@@ -177,22 +177,41 @@ def mix(docs: DataFrame, *, seed: int = 17, id_col: str = "doc_id", text_col: st
 
 
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
-    """``rid, doc_id, size, source_size, target, taken`` of every row."""
+    """``rid, doc_id, size, source_size, target, taken, first_slot, n_slots`` of
+    every row: the words the mix takes, the first slot of the mix that holds
+    some of them (null: none) and how many slots do."""
     documents, pieces = mix(docs, **options)
-    taken = pieces.groupBy("rid").agg(F.sum("words").alias("taken"))
+    taken = pieces.groupBy("rid").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("n_slots"))
+    none = F.lit(0).cast("long")
     return documents.join(taken, "rid", "left").select(
-        "rid", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+        "rid", "doc_id", "size", "source_size", "target", F.coalesce(F.col("taken").cast("long"), none).alias("taken"),
+        "first_slot", F.coalesce("n_slots", none).alias("n_slots"),
     )
 
 
-def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input's columns, each document as often as the mix takes its words,
     to the nearest whole number (all but the one at each source's border are
-    taken whole).  Documents without words stay once.  Rows repeating an id
-    (or without one) share their taken words evenly."""
-    sizes = mixed_sizes(docs, id_col=id_col, **options).groupBy("doc_id").agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
+    taken whole), in the order of the mix: partitions are ranges of slots, and
+    a document's u-th copy stands where its u-th use begins, so what reads the
+    rows in order sees every source in its share.
+
+    Documents without words stay once, at a slot hashed from their id.  Rows
+    repeating an id (or without one) share their taken words evenly."""
+    documents, pieces = mix(docs, id_col=id_col, text_col=text_col, **options)
+    uses = [F.min(F.when(F.col("use") == u, F.col("slot"))).alias(f"_u{u}") for u in range(MOST_USES)]
+    taken = pieces.groupBy("rid").agg(F.sum("words").alias("taken"), *uses)
+    per_id = documents.join(taken, "rid", "left").groupBy("doc_id").agg(
+        F.coalesce(F.sum("taken"), F.lit(0)).alias("t"), F.sum("size").alias("s"), *[F.min(f"_u{u}").alias(f"_u{u}") for u in range(MOST_USES)]
+    )
     copies = F.when(F.col("s") == 0, 1).otherwise(F.floor(F.col("t") / F.col("s") + 0.5)).cast("int")
-    uses = sizes.select(F.col("doc_id").alias("_id"), copies.alias("_copies")).filter("_copies > 0")
+    anywhere = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SLOT_BITS))
+    places = [F.coalesce(F.col(f"_u{u}"), *[F.col(f"_u{v}") for v in range(u - 1, -1, -1)], anywhere) for u in range(MOST_USES)]
+    planned = per_id.withColumn("_copies", copies).filter("_copies > 0").select(
+        F.col("doc_id").alias("_id"), F.slice(F.array(*places), 1, F.col("_copies")).alias("_slots")
+    )
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    repeated = rows.join(uses, F.col(f"row.`{id_col}`").eqNullSafe(F.col("_id")))
-    return repeated.select("row", F.explode(F.sequence(F.lit(1), "_copies"))).select("row.*")
+    repeated = rows.join(planned, F.col(f"row.`{id_col}`").eqNullSafe(F.col("_id"))).select("row", F.explode("_slots").alias("_slot"))
+    tie = F.xxhash64(F.col(f"row.`{text_col}`"))
+    ordered = repeated.withColumn("_tie", tie).repartitionByRange("_slot", "_tie").sortWithinPartitions("_slot", "_tie")
+    return ordered.select("row.*")
