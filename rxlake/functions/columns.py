@@ -59,11 +59,6 @@ def count_when(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
-def iso_date(col) -> Column:
-    """ISO yyyy-MM-dd text."""
-    return F.date_format(_c(col), "yyyy-MM-dd")
-
-
 def clamp_round_units(col) -> Column:
     """max(0, round-half-even(x)) as BIGINT (Python ``round`` semantics)."""
     return F.greatest(F.rint(_c(col)), F.lit(0.0)).cast("bigint")

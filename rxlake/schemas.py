@@ -83,15 +83,6 @@ DRUG_SALES = _s(
 # Alert JSON bodies carry the adverse-event fields.
 ALERT_REPORT = ADVERSE_EVENTS
 
-DEMAND_FORECAST = _s(
-    ("drug_code", StringType()),
-    ("region", StringType()),
-    ("forecast_month", DateType()),
-    ("forecast_units", LongType()),
-    ("backtest_mape", DoubleType()),
-    ("backtest_rmse", DoubleType()),
-)
-
 
 @dataclass(frozen=True)
 class FeedSpec:
@@ -127,7 +118,6 @@ FEEDS = {
 SEVERITY_ORDER = ["mild", "moderate", "severe", "life-threatening"]
 SERIOUS_SEVERITIES = ["severe", "life-threatening"]
 ACTIVE_TRIAL_STATUSES = ["Active", "Recruiting"]
-VALID_REGIONS = ["North America", "EMEA", "APAC", "Latin America"]
 PEDIATRIC_BELOW_AGE = 18
 GERIATRIC_FROM_AGE = 65
 AGE_RANGE = (0, 120)

@@ -32,6 +32,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints are removed once nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -108,7 +110,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         # a machine-local folder is invisible to other executors: refuse
         raise RuntimeError(
             "spark.checkpoint.dir is not set: point it at a shared folder (HDFS / object store) "

@@ -88,8 +88,3 @@ def read_zone(spark: SparkSession, path: str, columns: list[str] | None = None)
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A named table or temp view."""
     return spark.table(name)
-
-
-def with_source_key(df: DataFrame) -> DataFrame:
-    """Lineage of the originating file."""
-    return df.withColumn("source_key", F.col("_metadata.file_path"))
