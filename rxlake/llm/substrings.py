@@ -73,6 +73,44 @@ class WaveletMatrix:
         return at - self.starts[symbol]
 
 
+def _ordered_keys(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys in order, and which differ from the one before.  Key
+    and place are sorted as one number where both fit 63 bits (much faster)."""
+    n = len(key)
+    bits = max(1, (n - 1).bit_length())
+    if int(key.max(initial=0)).bit_length() + bits <= 63:
+        packed = np.sort((key << bits) | np.arange(n))
+        order, key = packed & ((1 << bits) - 1), packed >> bits
+    else:
+        order = np.argsort(key)
+        key = key[order]
+    return order, np.concatenate([[True], np.diff(key) != 0])[:n]
+
+
+def _recurring(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Which windows' hash some other window has: all that can occur twice."""
+    base = 0x9E3779B97F4A7C15
+    one = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    one ^= one >> np.uint64(29)
+    total, width, block = None, 0, one  # hash of `width` symbols from each place
+    size = 1
+    while size <= length:
+        factor = np.uint64(pow(base, size, 1 << 64))
+        if length & size:
+            if total is None:
+                total, width = block, size
+            else:
+                n = max(0, len(block) - width)
+                total = block[width:] + total[:n] * factor
+                width += size
+        n = max(0, len(block) - size)
+        block = block[:n] * factor + block[size : size + n]
+        size *= 2
+    h = total[at] ^ (total[at] >> np.uint64(32))
+    _, place, count = np.unique(h, return_inverse=True, return_counts=True)
+    return count[place] > 1
+
+
 class FMIndex:
     """FM-index of several short sequences of longs.  Every sequence has an end
     symbol of its own, so suffixes are in order once the doubling has passed
@@ -87,15 +125,17 @@ class FMIndex:
         inner = np.ones(n, bool)
         inner[ends] = False
         self.text[inner] = ranks + 1
-        rank = self.text + s
+        rank = np.where(inner, self.text + s - 1, 0)
         rank[ends] = np.arange(s)
+        order = np.arange(n)
         for step in (1 << k for k in range(int(lengths.max()).bit_length())):
             after = np.concatenate([rank[step:], np.zeros(min(step, n), np.int64)])[:n]
-            key = rank * (n + s + len(words) + 2) + after
-            order = np.argsort(key, kind="stable")
+            order, new = _ordered_keys(rank * (n + s) + after)
             rank = np.empty(n, np.int64)
-            rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
-        self.suffixes = np.argsort(rank, kind="stable")
+            rank[order] = np.cumsum(new) - 1
+            if new.all():
+                break
+        self.suffixes = order
         self.below = np.concatenate([[0], np.cumsum(np.bincount(self.text, minlength=len(words) + 1))])
         self.matrix = WaveletMatrix(self.text[self.suffixes - 1], len(words))
 
@@ -276,6 +316,8 @@ def _late(rows: list[np.ndarray], content: list[bytes], window: int) -> pa.Recor
     owner = np.repeat(np.arange(len(order)), windows)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = index.begins[owner] + offset
+    some = _recurring(index.text, at, window)  # the others occur once for certain
+    owner, offset, at = owner[some], offset[some], at[some]
     late = index.first_starts(at, window) < at
     owner, offset = owner[late], offset[late]
     edge = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(offset) != 1)])[: len(owner)])
