@@ -38,9 +38,12 @@ STEPS = 1 << 12
 #: Keys counted in a task before they are handed on.
 KEYS = 1 << 22
 #: Tokens of a shard of the model, about.
-SHARD_TOKENS = 1 << 20
-#: Stand for the hashes of a document's start, its end, and what is before the start.
-START, END, NONE = 1, 2, 3
+SHARD_TOKENS = 3 << 19
+#: Stand for the hashes of a document's start, its end, a word that does not
+#: matter before another one, and one that cannot matter behind it.
+START, END, NONE, OTHER = 1, 2, 3, 4
+#: Bits of the bitmap of pairs that may be kept (16 MB whatever the corpus).
+FILTER_BITS = 27
 TYPES = ("|u1", "<u2", "<u4", "<i8", "<f8")
 
 
@@ -217,7 +220,7 @@ class Trie:
     def follow(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``score`` of the token ``c`` after ``a, b``, for distinct triples
         sorted by ``a, b`` (before the start, ``a`` is -1)."""
-        wide, (pairs, *deeper) = self.end + 2, self.levels
+        wide, (pairs, *deeper) = self.end + 3, self.levels
         first = np.flatnonzero(np.concatenate([[True], (np.diff(a) != 0) | (np.diff(b) != 0)]))
         ok = (a[first] >= 0) & (b[first] != self.start)
         context = np.full(len(first), -1)
@@ -419,7 +422,7 @@ def _pieces(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int | None, byt
 
 class Routes:
     """Shard of a token by the word before it; words that hold more than a
-    shard's share are split by the word before that (the start: by the token)."""
+    shard's share are split by the word before that (without one: by the token)."""
 
     def __init__(self, shards: int, hot: np.ndarray, splits: np.ndarray) -> None:
         self.shards, self.hot, self.splits = shards, hot, splits  # hot: sorted
@@ -432,22 +435,101 @@ class Routes:
         return ((_mixed(words) % np.uint64(self.shards)).astype(np.int64) + part) % self.shards
 
     def of(self, a: np.ndarray, b: np.ndarray, c: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        by = _mixed(hashes, 1)[np.where(hashes[b] == START, c, a)]
+        by = _mixed(hashes, 1)[np.where(hashes[a] == NONE, c, a)]
         return self.shard(hashes, np.zeros(1, np.int64))[b] + (by % self.split(hashes)[b].astype(np.uint64)).astype(np.int64)
 
 
-def _gram_packs(routes: Routes, hashes: np.ndarray, index: np.ndarray, ends: np.ndarray, row: np.ndarray, train: np.ndarray) -> list[tuple[int, bytes]]:
+class Maybe:
+    """Which pairs of words may have MIN_COUNT training occurrences: a bitmap
+    over FILTER_BITS bits of their hash (a set bit may let a pair through that
+    has fewer, never the other way round)."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits = bits
+
+    def __call__(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        at = _position(first, second)
+        return (self.bits[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def _position(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return (_mixed(first, second) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _bigrams(hashes: np.ndarray, index: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word codes, and per token of the documents the word before it and itself."""
+    v = len(hashes)
+    code = np.concatenate([hashes, np.array([START, END, NONE, OTHER])])
+    seq, _ = _sequence(index, ends, v, v + 1)
+    b = np.concatenate([[v + 2], seq[:-1]])
+    return code, b[seq != v], seq[seq != v]
+
+
+def _maybe_kept(train_docs: DataFrame) -> np.ndarray:
+    """The bitmap of Maybe.  Tasks count hash positions (sorted, so that their
+    differences pack into a byte or two), ranges of them are added up, and only
+    the bitmap reaches the driver."""
+    width = shuffle_width(train_docs.sparkSession)
+
+    def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def packed() -> pa.RecordBatch:
+            at, n = np.unique(np.concatenate(held), return_counts=True)
+            cuts = np.searchsorted(at * width >> FILTER_BITS, np.arange(width + 1))
+            packs = [_pack(np.diff(at[lo:hi], prepend=-(-(k << FILTER_BITS) // width)), np.minimum(n[lo:hi], MIN_COUNT)) for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+            return pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(packs)], ["shard", "pack"])
+
+        for _, hashes, index, ends in _chunks(it, 0):
+            code, b, c = _bigrams(hashes, index, ends)
+            held.append(_position(code[b], code[c]))
+            size += len(b)
+            if size > KEYS:
+                yield packed()
+                held, size = [], 0
+        if size:
+            yield packed()
+
+    def summed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        for shard, block in _pieces(it):
+            steps, more = _unpack(block, 2)
+            at, place = np.unique(np.concatenate([at, np.cumsum(steps) + -(-(shard << FILTER_BITS) // width)]), return_inverse=True)
+            n = np.minimum(np.bincount(place, np.concatenate([n, more]), len(at)), MIN_COUNT).astype(np.int64)
+        if len(at):
+            at = at[n >= MIN_COUNT]
+            word, place = np.unique(at >> 6, return_inverse=True)
+            mask = np.zeros(len(word), np.uint64)
+            np.bitwise_or.at(mask, place, np.uint64(1) << (at & 63).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask.view(np.int64))], ["word", "mask"])
+
+    packs = train_docs.select("text").mapInArrow(counted, "shard int, pack binary").repartition(width, "shard")
+    got = packs.mapInArrow(summed, "word long, mask long").toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    np.bitwise_or.at(bits, np.asarray(got["word"], dtype=np.int64), np.asarray(got["mask"], dtype=np.int64))
+    return bits
+
+
+def _gram_packs(
+    routes: Routes, maybe: Maybe, hashes: np.ndarray, index: np.ndarray, ends: np.ndarray, row: np.ndarray, train: np.ndarray
+) -> list[tuple[int, bytes]]:
     """Per shard the chunk's distinct triples (word hashes; places of a, b, c
-    in them; training count; tokens) and the row of every token."""
+    in them; training count; tokens) and the row of every token.
+
+    A word whose pair with the one before cannot be kept is only known to be
+    OTHER, a context that cannot be kept is NONE: such tokens are alike, and
+    one triple stands for many."""
     v = len(hashes)
-    code = np.concatenate([hashes, np.array([START, END, NONE])])
+    code = np.concatenate([hashes, np.array([START, END, NONE, OTHER])])
     seq, doc = _sequence(index, ends, v, v + 1)
     b = np.concatenate([[v + 2], seq[:-1]])
     a = np.where(b == v, v + 2, np.concatenate([[v + 2, v + 2], seq])[: len(seq)])
     real = seq != v
     a, b, c, doc = a[real], b[real], seq[real], doc[real]
+    a = np.where(maybe(code[a], code[b]), a, v + 2)  # (NONE, START) is no pair: stays NONE
+    c = np.where(maybe(code[b], code[c]), c, v + 3)
     shard = routes.of(a, b, c, code) % routes.shards
-    key = _triples(b, a, c, v + 3)
+    key = _triples(b, a, c, v + 4)
     order = np.lexsort((key, shard))
     a, b, c, doc, shard, key = (x[order] for x in (a, b, c, doc, shard, key))
     first = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(shard) != 0)]))
@@ -458,46 +540,75 @@ def _gram_packs(routes: Routes, hashes: np.ndarray, index: np.ndarray, ends: np.
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         f = first[lo:hi]
         words, place = np.unique(np.concatenate([a[f], b[f], c[f]]), return_inverse=True)
+        pa_, pb, pc_ = np.split(place, 3)
         tokens = doc[f[0] : f[-1] + n[hi - 1]]
-        out.append((int(shard[f[0]]), _pack(code[words], *np.split(place, 3), t[lo:hi], n[lo:hi], row[tokens] - row[0])))
+        # triples are in order of b: its steps pack better than its places
+        out.append((int(shard[f[0]]), _pack(code[words], pa_, np.diff(pb, prepend=0), pc_, t[lo:hi], n[lo:hi], row[tokens] - row[0])))
     return out
 
 
-def _pairs(scanned: DataFrame, shards: int) -> DataFrame:
-    """``b, c, n``: bigrams of MIN_COUNT training occurrences, counted in
-    tasks, packed by range of their hash and summed per range."""
+def _unpack_grams(block: bytes) -> list[np.ndarray]:
+    words, a, b, *rest = _unpack(block, 7)
+    return [words, a, np.cumsum(b), *rest]
+
+
+def _pairs(train_docs: DataFrame, shared, shards: int) -> DataFrame:
+    """``b, c, n``: bigrams of MIN_COUNT training occurrences: those that may
+    have them are counted in tasks, packed by range of their hash and summed
+    per range."""
 
     def summed(held: list[list[np.ndarray]]) -> list[np.ndarray]:
         b, c, n = (np.concatenate(x) for x in zip(*held, strict=True))
         key, first, place = np.unique(_mixed(b, c), return_index=True, return_inverse=True)
         return [key, b[first], c[first], np.bincount(place, n, len(key)).astype(np.int64)]
 
+    def listed(b: np.ndarray, c: np.ndarray, n: np.ndarray) -> bytes:
+        """Pairs in order of their places in a list of their words."""
+        words, place = np.unique(np.concatenate([b, c]), return_inverse=True)
+        b, c = np.split(place, 2)
+        by = np.lexsort((c, b))
+        return _pack(words, np.diff(b[by], prepend=0), c[by], n[by])
+
+    def told(block: bytes) -> list[np.ndarray]:
+        words, b, c, n = _unpack(block, 4)
+        return [words[np.cumsum(b)], words[c], n]
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def packed() -> pa.RecordBatch:
             key, *columns = summed(held)
             at = np.searchsorted((key >> np.uint64(44)).astype(np.int64) * shards >> 20, np.arange(shards + 1))
-            packs = [_pack(*[x[lo:hi] for x in columns]) for lo, hi in zip(at[:-1], at[1:], strict=True)]
+            packs = [listed(*[x[lo:hi] for x in columns]) for lo, hi in zip(at[:-1], at[1:], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(range(shards), pa.int32()), pa.array(packs)], ["shard", "pairs"])
 
-        for (block,) in _pieces(it):
-            words, _, b, c, t, _, _ = _unpack(block, 7)
-            held.append([words[b[t > 0]], words[c[t > 0]], t[t > 0]])
+        maybe = Maybe(shared.value)
+        for _, hashes, index, ends in _chunks(it, 0):
+            code, b, c = _bigrams(hashes, index, ends)
+            key, n = np.unique(b * len(code) + c, return_counts=True)
+            b, c = code[key // len(code)], code[key % len(code)]
+            some = maybe(b, c)
+            held.append([b[some], c[some], n[some]])
             size += len(held[-1][0])
-            if size > KEYS // 4:
+            if size > KEYS // 2:
                 yield packed()
                 held, size = [], 0
         if size:
             yield packed()
 
     def total(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [_unpack(block, 3) for _, block in _pieces(it)]
+        held, size = [], 0
+        for _, block in _pieces(it):
+            held.append(told(block))
+            size += len(held[-1][0])
+            if size > KEYS // 2:
+                held = [summed(held)[1:]]
+                size = 0  # as much again may come before the next sum
         if held:
             _, b, c, n = summed(held)
             yield pa.RecordBatch.from_arrays([pa.array(x[n >= MIN_COUNT]) for x in (b, c, n)], ["b", "c", "n"])
 
-    packs = scanned.filter("grams is not null").select("grams").mapInArrow(run, "shard int, pairs binary")
+    packs = train_docs.select("text").mapInArrow(run, "shard int, pairs binary")
     return packs.repartition(shards, "shard").mapInArrow(total, "b long, c long, n long")
 
 
@@ -510,12 +621,12 @@ def _solve(model: list[list[np.ndarray]], asks: list[list[np.ndarray]], about: t
     opened, tokens, types = about
     b, c, n, nc, nb = (np.concatenate(x) for x in zip(*model, strict=True)) if model else [np.empty(0, np.int64)] * 5
     words = np.unique(np.concatenate([b, c, *[q[0] for q in asks]]))
-    words = words[~np.isin(words, [START, END, NONE])]
+    words = words[~np.isin(words, [START, END, NONE, OTHER])]
     s = len(words)
-    wide = s + 3
+    wide = s + 4
 
     def ids(h: np.ndarray) -> np.ndarray:
-        return np.select([h == START, h == END, h == NONE], [s, s + 1, s + 2], np.searchsorted(words, h))
+        return np.select([h == START, h == END, h == NONE, h == OTHER], [s, s + 1, s + 2, s + 3], np.searchsorted(words, h))
 
     b, c = ids(b), ids(c)
     places = [ids(q[0]) for q in asks]
@@ -523,7 +634,7 @@ def _solve(model: list[list[np.ndarray]], asks: list[list[np.ndarray]], about: t
     _, at, place = np.unique(_triples(ta, tb, tc, wide), return_index=True, return_inverse=True)
     t = np.bincount(place, np.concatenate([q[4] for q in asks]), len(at)).astype(np.int64)
     ta, tb, tc = ta[at], tb[at], tc[at]
-    inner = tb != s
+    inner = ta != s + 2  # a context of two words
     first = np.flatnonzero(np.concatenate([[True], (np.diff(ta) != 0) | (np.diff(tb) != 0)]))
     seen = np.add.reduceat(t, first)
     own = first[(seen >= MIN_COUNT) & inner[first]]
@@ -533,7 +644,7 @@ def _solve(model: list[list[np.ndarray]], asks: list[list[np.ndarray]], about: t
     counts[b], counts[c] = nb, nc
     counts = np.where(counts > 0, counts, np.bincount(key // wide, count, wide).astype(np.int64))  # contexts of other shards: never asked
     grams = [(key // wide, key % wide, count)]
-    kept = np.flatnonzero((t >= MIN_COUNT) & inner)
+    kept = np.flatnonzero((t >= MIN_COUNT) & inner & (tc != s + 3))
     node = np.searchsorted(key, ta[kept] * wide + tb[kept])
     ident = np.searchsorted(key, tb[kept] * wide + tc[kept]) - np.searchsorted(key, tb[kept] * wide)
     by = np.lexsort((ident, node))
@@ -553,15 +664,18 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
     (crc32 of the id as text, modulo ``fold``, is 0): ``doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score, score``.
 
-    Every n-gram of MIN_COUNT training occurrences is kept.  Tokens travel
-    with the two words before them, packed by chunk, to shards of the model;
-    a shard builds the trie of its contexts and answers its tokens.  Counts of
+    Every n-gram of MIN_COUNT training occurrences is kept.  A broadcast
+    bitmap tells which pairs of words may have as many; tokens travel with
+    what of the two words before them can matter, packed by chunk, to shards
+    of the model; a shard builds the trie of its contexts and answers its
+    tokens.  Counts of
     frequent words are broadcast; rare words travel to shards of the word
     counts (packed by chunk and shard).  Answers come back, packed the same
     way, as sums per document, added up chunk by chunk; a rare word holds less
     than 1 / LEVEL_SIZE of the tokens, so no shard of word counts is hot.  Null text counts as empty (its one token is the end); a null id
     counts as the empty text in the fold rule; repeated rows are scored each;
-    an empty table gives no rows.
+    an empty table gives no rows.  The documents are read several times and
+    must come in the same order each time, as files do (else checkpoint them).
     """
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
@@ -581,7 +695,7 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
     hot, much = np.append(hot, START), np.append(much, max(1, opened))
     routes = Routes(parts, np.sort(hot), np.minimum(parts, -(-much[np.argsort(hot)] // share)))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, held_out boolean, row long, n_tokens long, known long, base double, shard int, chunk long, hashes binary, runs binary, rows binary, grams binary"
+    schema = f"doc_id {id_type}, held_out boolean, row long, n_tokens long, known long, base double, shard int, chunk long, asks binary"
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = map_levels(shared.value)
@@ -598,16 +712,9 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
             total = lambda x: np.bincount(doc, x, len(row))  # noqa: E731,B023
             known = total(kept & (counts[np.maximum(ids, 0)] > 0))
             cols = [row, total(real).astype(np.int64), known.astype(np.int64), total(term)]
-            none = [pa.nulls(len(row), t) for t in (pa.int32(), pa.int64(), *[pa.binary()] * 4)]
+            none = [pa.nulls(len(row), t) for t in (pa.int32(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), *map(pa.array, cols), *none], names)
             yield from rare(found, hashes, index, np.repeat(row, np.diff(ends)), int(row[0]))
-            train = ~np.asarray(b.column(3).to_numpy(zero_copy_only=False), dtype=bool)
-            packs = _gram_packs(routes, hashes, index, ends, row, train)
-            shard, grams = zip(*packs, strict=True)
-            empty = [pa.nulls(len(packs), t) for t in unused]
-            columns = [pa.array(shard, pa.int32()), pa.array([int(row[0])] * len(packs)), *[pa.nulls(len(packs), pa.binary())] * 3, pa.array(grams, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*empty, *columns], names)
-
     id_arrow = to_arrow_type(rows.schema["doc_id"].dataType)
     names = [f.split()[0] for f in schema.split(", ")]
 
@@ -625,17 +732,29 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
         out = []
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
             word, n = np.unique(index[lo:hi], return_counts=True)
-            out.append((int(shard[lo]), chunk, hashes[word].tobytes(), n.astype(np.int32).tobytes(), row[lo:hi].tobytes()))
+            out.append((int(shard[lo]), chunk, _pack(hashes[word], n, row[lo:hi] - chunk)))
         nulls = [pa.nulls(len(out), t) for t in unused]
-        packed = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 3), strict=True)]
-        yield pa.RecordBatch.from_arrays([*nulls, *packed, pa.nulls(len(out), pa.binary())], names)
+        packed = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)]
+        yield pa.RecordBatch.from_arrays([*nulls, *packed], names)
+
+    numbered_rows = rows.withColumn("row", F.monotonically_increasing_id())
+    scanned = cut(numbered_rows.select("row", "text", "doc_id", "held_out").mapInArrow(run, schema))
+    shared_bits = spark.sparkContext.broadcast(_maybe_kept(train_docs))
 
-    scanned = cut(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "text", "doc_id", "held_out").mapInArrow(run, schema))
+    def grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe = Maybe(shared_bits.value)
+        for b, hashes, index, ends in _chunks(it, 1):
+            row = np.asarray(b.column(0), dtype=np.int64)
+            train = ~np.asarray(b.column(2).to_numpy(zero_copy_only=False), dtype=bool)
+            shard, packs = zip(*_gram_packs(routes, maybe, hashes, index, ends, row, train), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard, pa.int32()), pa.array([int(row[0])] * len(packs)), pa.array(packs, pa.binary())], ["shard", "chunk", "grams"]
+            )
     known = words.filter(F.col("n") < least).select(
         F.pmod(F.col("key"), F.lit(shards)).cast("int").alias("shard"), "key", "n", F.lit(None).cast("long").alias("chunk"),
-        *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "runs", "rows")],
+        F.lit(None).cast("binary").alias("asks"),
     )
-    asked = scanned.filter("hashes is not null").select("shard", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("n"), "chunk", "hashes", "runs", "rows")
+    asked = scanned.filter("asks is not null").select("shard", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("n"), "chunk", "asks")
 
     def lookup(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, packs = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
@@ -644,18 +763,18 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
             keys.append(np.asarray(have.column(1), dtype=np.int64))
             counts.append(np.asarray(have.column(2), dtype=np.int64))
             rest = b.filter(pc.is_null(b.column(1)))
-            packs += list(zip(*[rest.column(c).to_pylist() for c in (3, 4, 5, 6)], strict=True))
+            packs += list(zip(*[rest.column(c).to_pylist() for c in (3, 4)], strict=True))
         key, count = np.concatenate(keys), np.concatenate(counts)
         order = np.argsort(key)
         key, count = key[order], np.append(count[order], 0)
-        for chunk, h, n, r in packs:
-            h, n, r = np.frombuffer(h, np.int64), np.frombuffer(n, np.int32), np.frombuffer(r, np.int64)
+        for chunk, block in packs:
+            h, n, r = _unpack(block, 3)
             at = np.searchsorted(key, h)
             c = np.where((at < len(key)) & (key[np.minimum(at, max(0, len(key) - 1))] == h) if len(key) else np.zeros(len(h), bool), count[at], 0)
             per = np.repeat(c, n)
             row, place = np.unique(r, return_inverse=True)
             sums, known = np.bincount(place, np.log10(per + ADD)), np.bincount(place, per > 0)
-            packed = [[chunk], [0], [_pack(row - chunk, sums, known.astype(np.int64))]]
+            packed = [[chunk], [0], [_pack(row, sums, known.astype(np.int64))]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in packed], ["chunk", "kind", "sums"])
 
     def dealt(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -679,7 +798,7 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
                 if chunk is None:
                     model.append(_unpack(block, 5))
                 else:
-                    asks.append(_unpack(block, 7))
+                    asks.append(_unpack_grams(block))
                     chunks.append(chunk)
             if not asks:
                 continue
@@ -702,12 +821,12 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
     answered = "chunk long, kind long, sums binary"
     answers = known.unionByName(asked).repartition(shards, "shard").mapInArrow(lookup, answered)
     ends_ = F.lit(opened).cast("long")  # of the end, and of the start as a context
-    pairs = _pairs(scanned, shards)
+    pairs = _pairs(train_docs, shared_bits, shards)
     for c in ("c", "b"):
         pairs = pairs.join(words.select(F.col("key").alias(f"_{c}"), F.col("n").alias(f"n{c}")), F.col(c) == F.col(f"_{c}"), "left")
     pairs = pairs.select("b", "c", "n", F.coalesce("nc", ends_).alias("nc"), F.coalesce("nb", ends_).alias("nb"))
     model = pairs.mapInArrow(dealt, "shard int, chunk long, grams binary")
-    tokens_ = scanned.filter("grams is not null").select("shard", "chunk", "grams")
+    tokens_ = numbered_rows.select("row", "text", "held_out").mapInArrow(grams, "shard int, chunk long, grams binary")
     judged = model.unionByName(tokens_).repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(answer, answered)
     sums = answers.unionByName(judged).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "r long, rare double, rare_known long, adds double, n_uni long")
     z = math.log10(tokens + ADD * (types + 1))
