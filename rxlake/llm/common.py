@@ -86,3 +86,15 @@ def numbered(df: DataFrame, order: list[Column], out: str = "at") -> DataFrame:
     joined = rows.join(before, part == F.col("_part"))
     number = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return joined.withColumn(out, number).drop("_place", "_part", "_before")
+
+
+def joined_by_size(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with the columns of their group.  ``groups``: one row per key
+    with ``_n``, its rows, ``total`` over all.  Groups of more than a share of the
+    rows, of which there are 4 x partitions at most, are joined by broadcast, so
+    that their rows stay where they are; all others by shuffle."""
+    share = max(1, total // (4 * shuffle_width(rows.sparkSession)))
+    large = groups.filter(F.col("_n") > share).drop("_n")
+    hot = rows.join(F.broadcast(large), key)
+    cold = rows.join(F.broadcast(large.select(key)), key, "left_anti").join(groups.filter(F.col("_n") <= share).drop("_n"), key)
+    return hot.unionByName(cold)

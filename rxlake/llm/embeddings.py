@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlake.llm.common import cut, numbered
+from rxlake.llm.common import cut, joined_by_size, numbered
 from rxlake.llm.components import connected_components
 from rxlake.llm.simhash import LINKS, _forest
 
@@ -243,8 +243,8 @@ def linked_vectors(vectors: DataFrame, *, cosine: float = 0.9, id_col: str = "ve
     members = members.select(
         F.col("vec").alias("_vec"), "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")
     )
-    lowest = members.groupBy("root").agg(F.min("low").alias("component_id"))
-    labelled = members.join(lowest, "root").select("_vec", "n_links", "component_id")
+    lowest = members.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("_n"))
+    labelled = joined_by_size(members, lowest, "root", nodes.count()).select("_vec", "n_links", "component_id")
     return rows.join(labelled, F.col("vec") == F.col("_vec"), "left").select(
         "id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
