@@ -33,8 +33,10 @@ NOTES = {
         "by series, ordered arrays, grid explode (Generate), least-SSE SortAggregate with no exchange (input "
         "already partitioned by series), horizon explode. No self-join; each (series, parameter) fold runs once.",
     "m6_stratified_split":
-        "The documents scan reads only doc_id. Only the boundary bucket's rows are ranked (window on class x "
-        "bucket); every other row is labelled by comparing its bucket with the broadcast cut table.",
+        "The cut of each class is selected by digits: counts per six-digit prefix (the labels and ids alone), "
+        "their sums by three digits, the counts inside the chosen prefix and the keys of one six-digit prefix. "
+        "Each selection is one row per class and broadcast; the rows are compared with their class's cut, no window "
+        "runs over them.",
     "p15_alert_messages":
         "Narrow: one scan with project/filter in whole-stage codegen, no exchange.",
 }
