@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rxlake.llm.common import batches, bucket_of, cut, shuffle_width, split_words
+from rxlake.session import scratch_path
 
 #: Words whose counts are broadcast hold 1 / LEVEL_SIZE of the training tokens
 #: (and the n-grams of a model in one block, see ``train``).
@@ -567,10 +568,11 @@ def _pairs(train_docs: DataFrame, shared, shards: int) -> DataFrame:
         words, place = np.unique(np.concatenate([b, c]), return_inverse=True)
         b, c = np.split(place, 2)
         by = np.lexsort((c, b))
-        return _pack(words, np.diff(b[by], prepend=0), c[by], n[by])
+        return _pack(np.diff(words, prepend=0), np.diff(b[by], prepend=0), c[by], n[by])
 
     def told(block: bytes) -> list[np.ndarray]:
         words, b, c, n = _unpack(block, 4)
+        words = np.cumsum(words)
         return [words[np.cumsum(b)], words[c], n]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -590,7 +592,7 @@ def _pairs(train_docs: DataFrame, shared, shards: int) -> DataFrame:
             some = maybe(b, c)
             held.append([b[some], c[some], n[some]])
             size += len(held[-1][0])
-            if size > KEYS // 2:
+            if size > KEYS // 4:
                 yield packed()
                 held, size = [], 0
         if size:
@@ -601,7 +603,7 @@ def _pairs(train_docs: DataFrame, shared, shards: int) -> DataFrame:
         for _, block in _pieces(it):
             held.append(told(block))
             size += len(held[-1][0])
-            if size > KEYS // 2:
+            if size > KEYS // 4:
                 held = [summed(held)[1:]]
                 size = 0  # as much again may come before the next sum
         if held:
@@ -738,7 +740,9 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
         yield pa.RecordBatch.from_arrays([*nulls, *packed], names)
 
     numbered_rows = rows.withColumn("row", F.monotonically_increasing_id())
-    scanned = cut(numbered_rows.select("row", "text", "doc_id", "held_out").mapInArrow(run, schema))
+    path = scratch_path(spark, "lm-rows")  # written in one run of the tasks, compressed
+    numbered_rows.select("row", "text", "doc_id", "held_out").mapInArrow(run, schema).write.parquet(path)
+    scanned = spark.read.parquet(path)
     shared_bits = spark.sparkContext.broadcast(_maybe_kept(train_docs))
 
     def grams(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
