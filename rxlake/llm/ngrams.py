@@ -727,9 +727,9 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
         index, row = index[some], row[some]
         if not len(index):
             return
-        order = np.lexsort((index, hashes[index].view(np.uint64) % np.uint64(shards)))
-        index, row = index[order], row[order]
-        shard = (hashes[index].view(np.uint64) % np.uint64(shards)).astype(np.int64)
+        shard = hashes[index] % shards  # never negative, as pmod of the word counts
+        order = np.lexsort((index, shard))
+        index, row, shard = index[order], row[order], shard[order]
         edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
         out = []
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
@@ -741,7 +741,9 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
 
     numbered_rows = rows.withColumn("row", F.monotonically_increasing_id())
     path = scratch_path(spark, "lm-rows")  # written in one run of the tasks, compressed
-    numbered_rows.select("row", "text", "doc_id", "held_out").mapInArrow(run, schema).write.parquet(path)
+    # both scans take the same columns: a batch ends by its bytes, and its first row names the chunk
+    whole = numbered_rows.select("row", "text", "doc_id", "held_out")
+    whole.mapInArrow(run, schema).write.parquet(path)
     scanned = spark.read.parquet(path)
     shared_bits = spark.sparkContext.broadcast(_maybe_kept(train_docs))
 
@@ -749,7 +751,7 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
         maybe = Maybe(shared_bits.value)
         for b, hashes, index, ends in _chunks(it, 1):
             row = np.asarray(b.column(0), dtype=np.int64)
-            train = ~np.asarray(b.column(2).to_numpy(zero_copy_only=False), dtype=bool)
+            train = ~np.asarray(b.column(3).to_numpy(zero_copy_only=False), dtype=bool)
             shard, packs = zip(*_gram_packs(routes, maybe, hashes, index, ends, row, train), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard, pa.int32()), pa.array([int(row[0])] * len(packs)), pa.array(packs, pa.binary())], ["shard", "chunk", "grams"]
@@ -830,7 +832,7 @@ def score(docs: DataFrame, *, fold: int = 10, order: int = ORDER, id_col: str =
         pairs = pairs.join(words.select(F.col("key").alias(f"_{c}"), F.col("n").alias(f"n{c}")), F.col(c) == F.col(f"_{c}"), "left")
     pairs = pairs.select("b", "c", "n", F.coalesce("nc", ends_).alias("nc"), F.coalesce("nb", ends_).alias("nb"))
     model = pairs.mapInArrow(dealt, "shard int, chunk long, grams binary")
-    tokens_ = numbered_rows.select("row", "text", "held_out").mapInArrow(grams, "shard int, chunk long, grams binary")
+    tokens_ = whole.mapInArrow(grams, "shard int, chunk long, grams binary")
     judged = model.unionByName(tokens_).repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(answer, answered)
     sums = answers.unionByName(judged).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "r long, rare double, rare_known long, adds double, n_uni long")
     z = math.log10(tokens + ADD * (types + 1))

@@ -423,6 +423,25 @@ def test_lm_keeps_every_ngram_from_a_fixed_count(make_docs, monkeypatch, level):
         assert abs(got[i] - want) < 0.01
 
 
+@pytest.mark.parametrize(("conf", "value"), [("spark.sql.shuffle.partitions", "24"), ("spark.sql.execution.arrow.maxBytesPerBatch", "3000b")])
+def test_lm_rare_words_meet_their_counts(spark, make_docs, conf, value):
+    # 6 shards (no power of two); batches that end by their bytes
+    rows = [(i, f"often rare{i % 150} only{i} " + "pad " * (i % 60)) for i in range(300)]
+    docs, before = make_docs(rows), spark.conf.get(conf, None)
+    spark.conf.set(conf, value)
+    try:
+        got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in rows_of(ngrams.score(docs)))
+    finally:
+        spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)
+    count = {}
+    for i, t in rows:
+        for w in [*t.split(), None] if zlib.crc32(str(i).encode()) % 10 else []:
+            count[w] = count.get(w, 0) + 1
+    n, z = sum(count.values()), math.log10(sum(count.values()) + 0.1 * (len(count) + 1))
+    want = [(i, w, [*t.split(), None]) for i, t in rows for w in [len(t.split()) + 1]]
+    assert got == [(i, w, sum(x in count for x in k), n, round(sum(math.log10(count.get(x, 0) + 0.1) - z for x in k), 4)) for i, w, k in want]
+
+
 def test_lm_beats_the_base_on_held_out_rows(spark):
     got = catalog.op7_elias_fano_lm(spark, MEDIUM).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
