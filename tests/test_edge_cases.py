@@ -289,6 +289,15 @@ def test_classifier_learns_templates_and_nulls_stay_null(spark):
     assert severity.label_agreement(scored).collect()[0].agreement == 1.0
 
 
+def test_sampled_cases_are_labelled_ones(spark, tmp_dir):
+    from rxlake.plans.catalog import QUERIES
+
+    spark.createDataFrame([(i, f"text {i}", "en", "s", 6) for i in range(40)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(i, 1, i % 2) for i in range(0, 40, 8)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    got = {r.case_id: r.severity_label for r in QUERIES["m8_sample_cases"](spark, tmp_dir).collect()}
+    assert got == {i: "mild" for i in range(0, 40, 8)}
+
+
 def test_kpis_on_small_frame(spark):
     df = ae_rows(spark, [ae("1", sev="severe", serious=True), ae("2", sev="life-threatening", serious=True),
                          ae("3"), ae("4", serious=None)])
