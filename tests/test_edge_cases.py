@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import math
 import os
+from collections import Counter
 
 import pytest
 
@@ -289,6 +291,22 @@ def test_classifier_learns_templates_and_nulls_stay_null(spark):
     assert severity.label_agreement(scored).collect()[0].agreement == 1.0
 
 
+def test_vocabulary_and_vectors_stay_distributed(spark):
+    rows = [(1, "fever rash fever"), (1, "fever rash fever"), (2, "rash"), (1, "cough fever"), (None, "fever rash"), (3, "alone"), (4, "")]
+    df = spark.createDataFrame(rows, "case_id long, narrative string")
+    features = severity.fit_features(df)
+    idf = {t: math.log((1 + 7) / (1 + n)) + 1 for t, n in (("fever", 4), ("rash", 4), ("fever rash", 3), ("rash fever", 2))}
+    assert {r.term: round(r.idf, 9) for r in features.vocabulary.collect()} == {t: round(w, 9) for t, w in idf.items()}
+    want = []
+    for i, text in rows:
+        w = text.split()
+        tf = Counter(t for t in [*w, *map(" ".join, zip(w, w[1:]))] if t in idf)
+        size = math.sqrt(sum((n * idf[t]) ** 2 for t, n in tf.items()))
+        want += [(i or 0, t, round(n * idf[t] / size, 9)) for t, n in tf.items()]
+    got = [(r.case_id or 0, r.term, round(r.weight, 9)) for r in severity.weighted_terms(features, df).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_sampled_cases_are_labelled_ones(spark, tmp_dir):
     from rxlake.plans.catalog import QUERIES
 
