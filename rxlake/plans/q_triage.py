@@ -89,7 +89,9 @@ GOOD_SQL = f"SELECT *, {SIGNAL_SQL} AS severity_signal FROM ({_DELIVERED}) d WHE
 def _drop_reports(spark, sf_dir) -> str:
     """The registered drop as files, one folder per delivery."""
     path = scratch_path(spark, "case-reports")
-    _deliveries(spark, sf_dir).write.partitionBy("delivery").text(path)
+    # tasks put their files in place themselves: a folder per delivery is too many for the driver to move
+    writer = _deliveries(spark, sf_dir).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.partitionBy("delivery").text(path)
     return path
 
 
