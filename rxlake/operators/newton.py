@@ -40,6 +40,18 @@ class Fit:
     products: int
 
 
+@dataclass(frozen=True)
+class RowFit:
+    """Weights as ``by_row' X`` (rows x classes), intercepts, and what it took."""
+
+    by_row: np.ndarray
+    intercepts: np.ndarray
+    objective: float
+    gradient_norm: float
+    newton_steps: int
+    products: int
+
+
 def pack_rows(rows: DataFrame, parts: int) -> DataFrame:
     """Blocks of rows from ``features`` (sparse vector), ``label``, ``weight``."""
 
@@ -208,3 +220,75 @@ def fit_multinomial(
     finally:
         blocks.unpersist()
     return Fit(w[:, :-1], w[:, -1] - w[:, -1].mean(), objective, norm, steps, products)
+
+
+def fit_by_rows(
+    gram: Callable[[np.ndarray], np.ndarray], label: np.ndarray, weight: np.ndarray, classes: int, l2: float,
+    tolerance: float = 1e-5, max_steps: int = 50, max_products: int = 60,
+) -> RowFit:
+    """The steps of :func:`fit_multinomial` with every vector of features kept as
+    its factors by row (the gradient ``U' X + l2 A' X`` has the factors
+    ``U + l2 A``).  ``gram`` multiplies rows x classes by ``X X'``, once per
+    conjugate-gradient iteration and once per step; a trial of the line search
+    takes none."""
+    n, own = len(label), np.arange(len(label))
+    total = float(weight.sum())
+    products = 0
+
+    def multiplied(m: np.ndarray) -> np.ndarray:
+        nonlocal products
+        products += 1
+        return gram(m)
+
+    def loss(z: np.ndarray) -> float:
+        top = z.max(axis=1)
+        return float((weight * (top + np.log(np.exp(z - top[:, None]).sum(axis=1)) - z[own, label])).sum())
+
+    a, ka, free = np.zeros((n, classes)), np.zeros((n, classes)), np.zeros(classes)
+    if not n:
+        return RowFit(a, free, 0.0, 0.0, 0, 0)
+    objective, first, norm, steps = loss(ka), 0.0, 0.0, 0
+    while True:
+        chance = softmax(ka + free)
+        u = chance.copy()
+        u[own, label] -= 1.0
+        u *= weight[:, None]
+        r, r_free = -(u + l2 * a), -u.sum(axis=0)
+        kr = multiplied(r)
+        rr = max(0.0, float((r * kr).sum() + (r_free * r_free).sum()))
+        norm = rr**0.5
+        first = first or norm
+        if norm <= tolerance * total or steps == max_steps:
+            break
+        steps += 1
+        kg, g_free = kr, r_free
+        # conjugate gradients on H d = -g
+        d, kd, d_free = np.zeros_like(a), np.zeros_like(a), np.zeros(classes)
+        p, kp, p_free = r.copy(), kr.copy(), r_free.copy()
+        goal = min(0.1, (norm / first) ** 0.5) * norm
+        for _ in range(max_products):
+            z = kp + p_free
+            v = weight[:, None] * chance * (z - (chance * z).sum(axis=1, keepdims=True))
+            hp, h_free = v + l2 * p, v.sum(axis=0)
+            curve = float((kp * hp).sum() + (p_free * h_free).sum())
+            if curve <= 1e-12 * float((p * kp).sum() + (p_free * p_free).sum()):
+                break
+            length = rr / curve
+            d, kd, d_free = d + length * p, kd + length * kp, d_free + length * p_free
+            r, kr, r_free = r - length * hp, kr - length * multiplied(hp), r_free - length * h_free
+            left = max(0.0, float((r * kr).sum() + (r_free * r_free).sum()))
+            if left**0.5 <= goal:
+                break
+            p, kp, p_free = r + (left / rr) * p, kr + (left / rr) * kp, r_free + (left / rr) * p_free
+            rr = left
+        falls, scale = -float((kg * d).sum() + (g_free * d_free).sum()), 1.0
+        while True:
+            a_next, ka_next, free_next = a + scale * d, ka + scale * kd, free + scale * d_free
+            tried = loss(ka_next + free_next) + 0.5 * l2 * float((a_next * ka_next).sum())
+            if tried <= objective + 1e-4 * scale * falls or scale < 1e-6:
+                break
+            scale /= 2
+        if tried >= objective:  # at the precision of the sum
+            break
+        a, ka, free, objective = a_next, ka_next, free_next, tried
+    return RowFit(a, free - free.mean(), objective, norm, steps, products)

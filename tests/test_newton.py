@@ -101,3 +101,57 @@ def test_alerts_meet_the_model_in_all_three_buckets(spark):
 
     got = {r.agreement: r.n for r in E.queries()["j5_reconcile_alerts_vs_model"](spark, MEDIUM).groupBy("agreement").count().withColumnRenamed("count", "n").collect()}
     assert set(got) == {"both", "alert_only", "class_only"}, got
+
+
+@pytest.mark.parametrize("rows,n", [(30, 90), (80, 12)])
+def test_fit_by_rows_matches_dense_newton(rows, n):
+    rng = np.random.default_rng(rows)
+    x = rng.normal(size=(rows, n)) * (rng.random((rows, n)) < 0.3)
+    x[3], x[5] = 0, x[4]
+    y, w = rng.integers(0, 3, rows), rng.uniform(0.2, 3, rows)
+    fit = newton.fit_by_rows(lambda m: x @ (x.T @ m), y, w, 3, 0.5, tolerance=1e-9)
+    want = dense_newton(x, y, w, 3, 0.5)
+    assert np.allclose(fit.by_row.T @ x, want[:, :-1], atol=1e-5) and np.allclose(fit.intercepts, want[:, -1], atol=1e-5)
+
+
+def test_no_vocabulary_on_the_driver_and_scores_by_hand(spark, monkeypatch):
+    """Every array a fit takes to the driver has the size of its rows, not of its terms."""
+    import math
+
+    from rxlake.operators import severity
+
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(f"w{t}" for t in rng.integers(0, 400, 60)) + (" grave" * 3 if k % 3 == 0 else " calm"), "severe" if k % 3 == 0 else "mild") for k in range(60)]
+    rows += [(100 + k, rows[k][1], rows[k][2]) for k in range(5)]  # copies
+    train = spark.createDataFrame(rows, "case_id long, narrative string, severity_label string")
+    taken, plain = [], type(train).toArrow
+    monkeypatch.setattr(type(train), "toArrow", lambda self: taken.append(plain(self)) or taken[-1])
+    model = severity.train_severity(train)
+    terms = severity.fit_features(train).vocabulary.count()
+    largest = max(t.nbytes for t in taken)
+    assert terms > 700 and largest < 8 * terms and largest <= 60 * 4 * 8 + 1024
+
+    asked = spark.createDataFrame([(1, "w1 grave w2 w2"), (1, "w1 grave w2 w2"), (2, "calm w5"), (3, "zzz"), (4, ""), (5, None), (6, None)], "case_id long, narrative string")
+    got = sorted((r.case_id, r.predicted_severity) for r in severity.score_severity(model, asked).collect())
+    assert [g[0] for g in got] == [1, 1, 2, 3, 4, 5, 6] and got[5:] == [(5, None), (6, None)]
+    weights = {}
+    for r in model.weights.collect():
+        per = np.frombuffer(r.weights).reshape(len(model.classes), -1).T
+        weights |= dict(zip(np.frombuffer(r.terms, np.int64).tolist(), zip(np.frombuffer(r.idf), per, strict=True), strict=True))
+    assert len(weights) == terms
+    for text, want in [(asked.first().narrative, got[0][1]), ("calm w5", got[2][1]), ("zzz", got[3][1]), ("", got[4][1])]:
+        words = text.split()
+        hashed = {r.h: r.n for r in spark.createDataFrame([(t,) for t in [*words, *map(" ".join, zip(words, words[1:]))]], "t string").selectExpr("xxhash64(t) h").groupBy("h").count().withColumnRenamed("count", "n").collect()}
+        known = {h: n for h, n in hashed.items() if h in weights}
+        size = math.sqrt(sum((n * weights[h][0]) ** 2 for h, n in known.items())) or 1.0
+        margin = np.array(model.intercepts) + sum((n * weights[h][1] / size for h, n in known.items()), np.zeros(len(model.classes)))
+        assert want == model.classes[int(margin.argmax())]
+
+
+def test_fit_without_rows_scores_by_the_first_class(spark):
+    from rxlake.operators import severity
+
+    none = _narratives(spark).filter("case_id < 0")
+    model = severity.train_severity(none)
+    got = severity.score_severity(model, _narratives(spark).filter("case_id > 88")).collect()
+    assert {(r.case_id, r.predicted_severity) for r in got} == {(90, None), (91, "mild")}
