@@ -118,8 +118,9 @@ def test_no_vocabulary_on_the_driver_and_scores_by_hand(spark, monkeypatch):
     """Every array a fit takes to the driver has the size of its rows, not of its terms."""
     import math
 
-    from rxlake.operators import severity
+    from rxlake.operators import severity, termpacks
 
+    monkeypatch.setattr(termpacks, "DIRECT_BYTES", 0)  # sums of any size meet by ranges of rows
     rng = np.random.default_rng(3)
     rows = [(k, " ".join(f"w{t}" for t in rng.integers(0, 400, 60)) + (" grave" * 3 if k % 3 == 0 else " calm"), "severe" if k % 3 == 0 else "mild") for k in range(60)]
     rows += [(100 + k, rows[k][1], rows[k][2]) for k in range(5)]  # copies
