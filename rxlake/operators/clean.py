@@ -29,22 +29,37 @@ def dedup(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[tuple[str, bool]] = (),
+    columns: Iterable[str] | None = None,
+    told: Iterable[str] = (),
 ) -> DataFrame:
     """One row per ``keys``; the first row by ``order`` then all columns.
 
     ``order`` is a list of ``(column, ascending)``; every other column
     follows ascending as the tie-break.  With no keys, exact duplicate rows
-    are removed.
+    are removed.  Where a caller reads only some ``columns`` (and the keys) the
+    compared row ends at the last of them: what lies behind breaks ties between
+    rows that agree in all of these.  Columns ``told`` by the keys (one value a
+    group) break no tie.
     """
     if not keys:
-        return df.dropDuplicates()
-    keys = list(keys)
+        rows = df.dropDuplicates()
+        return rows if columns is None else rows.select(*[c for c in df.columns if c in set(columns)])
+    keys, told = list(keys), set(told)
+    kept = set(df.columns if columns is None else columns)
     dtypes = dict(df.dtypes)
-    payload = [c for c in df.columns if c not in keys]
     sort_keys = [sortable(F.col(c), dtypes[c], asc).alias(f"_o{i}") for i, (c, asc) in enumerate(order)]
+    # rows that tie in ``order`` agree in its columns: these are never compared again,
+    # and the ascending ones are read where they lie
+    led = {c for c, _ in order}
+    read = {c: f"_o{i}" for i, (c, asc) in enumerate(order) if asc and c not in keys}
+    compared = [c for c in df.columns if c not in {*keys, *led, *told}]
+    while compared and compared[-1] not in kept:
+        compared.pop()
+    payload = compared + [c for c in df.columns if c in kept and c in led | told and c not in {*keys, *read}]
     row = F.struct(*sort_keys, *[F.col(c) for c in payload]).alias("_best")
     best = df.groupBy(*keys).agg(F.min(row).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns)
+    found = read | {c: c for c in payload}
+    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{found[c]}").alias(c) for c in df.columns if c in keys or c in kept])
 
 
 def dedup_sql(source: str, keys: Sequence[str], order: Sequence[tuple[str, bool]], columns: Sequence[str]) -> str:
@@ -83,12 +98,15 @@ def _dedup_plan(df: DataFrame, spec: FeedSpec) -> tuple[list[str], list[tuple[st
     return keys, order
 
 
-def clean(df: DataFrame, feed: str | FeedSpec) -> DataFrame:
-    """P1 + A6 for a feed; lineage columns are dropped at the end."""
+def clean(df: DataFrame, feed: str | FeedSpec, columns: Iterable[str] | None = None) -> DataFrame:
+    """P1 + A6 for a feed; lineage columns are dropped at the end, and those
+    not among the ``columns`` a caller reads (unset: it reads all)."""
     spec = FEEDS[feed] if isinstance(feed, str) else feed
     kept = require(df, spec.required)
     keys, order = _dedup_plan(kept, spec)
-    return drop_lineage(dedup(kept, keys, order))
+    told = spec.keys if keys != list(spec.keys) else ()
+    rows = drop_lineage(dedup(kept, keys, order, columns, told))
+    return rows if columns is None else rows.select(*[c for c in rows.columns if c in set(columns)])
 
 
 def clean_sql(source: str, feed: str | FeedSpec, columns: Sequence[str]) -> str:

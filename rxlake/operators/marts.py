@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,16 +20,14 @@ FCT_AE_COLUMNS = [
 ]
 
 
-def stg_adverse_events(curated: DataFrame) -> DataFrame:
+def stg_adverse_events(curated: DataFrame, columns: Sequence[str] = STG_AE_COLUMNS) -> DataFrame:
     """P3 + P4: explicit projection, rows without case_id dropped."""
-    return curated.filter(F.col("case_id").isNotNull()).select(*STG_AE_COLUMNS)
+    return curated.filter(F.col("case_id").isNotNull()).select(*columns)
 
 
-def stg_cases(cases: DataFrame) -> DataFrame:
+def stg_cases(cases: DataFrame, columns: Sequence[str] = STG_AE_COLUMNS) -> DataFrame:
     """P3 + P4 without the trial-context column (see ``curate.with_age_flags``)."""
-    return cases.filter(F.col("case_id").isNotNull()).select(
-        *[c for c in STG_AE_COLUMNS if c != "active_trial_count"]
-    )
+    return cases.filter(F.col("case_id").isNotNull()).select(*[c for c in columns if c != "active_trial_count"])
 
 
 def stg_supply_demand(curated: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rxlake.operators import curate, marts, quality
 from rxlake.plans.registry import register
-from rxlake.plans.staged import Staged, with_ctes
+from rxlake.plans.staged import DIM_DRUGS_READS, Staged, with_ctes
 
 FCT_AE_SQL_COLS = """case_id, drug_code, report_date, CAST(date_trunc('month', report_date) AS DATE) AS report_month,
        region, country, severity_label, serious_flag, is_pediatric, is_geriatric, active_trial_count, outcome"""
@@ -116,7 +116,7 @@ J3_SQL = """SELECT coalesce(ae.drug_code, sd.drug_code) AS drug_code, ae.drug_na
 
 @register("j3_dim_drugs", with_ctes(J3_SQL))
 def j3_dim_drugs(spark, sf_dir):
-    s = Staged(spark, sf_dir)
+    s = Staged(spark, sf_dir, columns=DIM_DRUGS_READS)
     return marts.dim_drugs(s.stg_cases, s.stg_supply_demand)
 
 

@@ -3,6 +3,7 @@ DuckDB CTE text that computes the same relations for oracle checks."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,14 @@ from rxlake.operators.clean import clean, clean_sql
 from rxlake.sources import adapters
 from rxlake.sources.tables import Tables
 
+# what the drug dimension (J3) reads of each feed, with the columns that J1, J2
+# and the staging views compute with on the way
+DIM_DRUGS_READS = {
+    "adverse_events": ("case_id", "drug_code", "drug_name", "patient_age"),
+    "clinical_trials": ("trial_id", "drug_code", "status"),
+    "drug_shipments": ("drug_code", "region", "ship_date", "quantity_units"),
+}
+
 AE_FEED_COLUMNS = schemas.ADVERSE_EVENTS.fieldNames() + ["src_orderkey", "src_linenumber", "src_price"]
 TRIALS_FEED_COLUMNS = schemas.CLINICAL_TRIALS.fieldNames() + ["src_orderkey"]
 SHIP_FEED_COLUMNS = schemas.DRUG_SHIPMENTS.fieldNames() + ["src_orderkey", "src_linenumber"]
@@ -20,12 +29,16 @@ SALES_FEED_COLUMNS = schemas.DRUG_SALES.fieldNames()
 
 
 class Staged:
-    """Lazily built relations of the daily flow over one driver directory."""
+    """Lazily built relations of the daily flow over one driver directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, broadcast_counts: bool = True):
+    ``columns`` names, per feed, those that the caller reads (a feed not named:
+    all); cleaning keeps the same rows, with these columns."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, broadcast_counts: bool = True, columns: dict[str, Sequence[str]] | None = None):
         self.spark = spark
         self.tables = Tables(spark, sf_dir)
         self.broadcast_counts = broadcast_counts
+        self.columns = columns or {}
 
     # feeds
     @cached_property
@@ -55,15 +68,15 @@ class Staged:
     # staging
     @cached_property
     def events(self) -> DataFrame:
-        return clean(self.events_feed, "adverse_events")
+        return clean(self.events_feed, "adverse_events", self.columns.get("adverse_events"))
 
     @cached_property
     def trials(self) -> DataFrame:
-        return clean(self.trials_feed, "clinical_trials")
+        return clean(self.trials_feed, "clinical_trials", self.columns.get("clinical_trials"))
 
     @cached_property
     def shipments(self) -> DataFrame:
-        return clean(self.shipments_feed, "drug_shipments")
+        return clean(self.shipments_feed, "drug_shipments", self.columns.get("drug_shipments"))
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -81,12 +94,17 @@ class Staged:
     # staging views
     @cached_property
     def stg_events(self) -> DataFrame:
-        return marts.stg_adverse_events(self.curated_events)
+        return marts.stg_adverse_events(self.curated_events, self._staged_columns)
 
     @cached_property
     def stg_cases(self) -> DataFrame:
         """Staged cases for consumers that never read trial context (no J1 join)."""
-        return marts.stg_cases(curate.with_age_flags(self.events))
+        return marts.stg_cases(curate.with_age_flags(self.events), self._staged_columns)
+
+    @property
+    def _staged_columns(self) -> list[str]:
+        read = self.columns.get("adverse_events", schemas.ADVERSE_EVENTS.fieldNames())
+        return [c for c in marts.STG_AE_COLUMNS if c in read or c not in schemas.ADVERSE_EVENTS.fieldNames()]
 
     @cached_property
     def stg_supply_demand(self) -> DataFrame:
