@@ -8,7 +8,7 @@ from rxlake.operators.clean import load_audit
 from rxlake.operators.quality import Check
 from rxlake.plans.q_core import J3_SQL
 from rxlake.plans.registry import register
-from rxlake.plans.staged import Staged, with_ctes
+from rxlake.plans.staged import DIM_DRUGS_READS, Staged, with_ctes
 from rxlake.schemas import AGE_RANGE, SERIOUS_SEVERITIES, SEVERITY_ORDER
 
 
@@ -183,7 +183,8 @@ DIM_SQL = f"({J3_SQL})"
 def q_mart_quality_report(spark, sf_dir):
     from rxlake.operators import marts
 
-    s = Staged(spark, sf_dir)
+    # the cases whole: the mart of events and the dimension read the same rows
+    s = Staged(spark, sf_dir, columns={f: c for f, c in DIM_DRUGS_READS.items() if f != "adverse_events"})
     tables = {
         "dim_drugs": marts.dim_drugs(s.stg_events, s.stg_supply_demand),
         "fct_adverse_events": marts.fct_adverse_events(s.stg_events),

@@ -47,6 +47,44 @@ def test_dedup_without_key_removes_only_exact_duplicates(spark):
     assert clean.clean(df, "drug_sales").count() == 2
 
 
+def test_dedup_of_read_columns_keeps_the_same_rows(spark):
+    """The row compared ends at the last column read; ties, nulls and repeats
+    are settled as by whole rows."""
+    import random
+    from itertools import combinations
+
+    rng = random.Random(7)
+    day = lambda: rng.choice([None, D(2024, 1, 5), D(2024, 1, 6)])
+    rows = [(k := rng.randrange(12), k % 3, f"{k}-{k % 3}", rng.choice(["a", "b"]), rng.choice([None, "n", "m"]), day(), rng.choice([None, 1, 2]), rng.choice([None, "x", "y"]), rng.random() < 0.5)
+            for _ in range(150)]
+    df = spark.createDataFrame(rows, "k long, j int, id string, code string, name string, day date, units int, place string, cold boolean")
+    for keys, told in ((["k", "j"], ["id"]), (["id"], [])):
+        order = [("day", False), ("code", True), ("units", True)]
+        whole = clean.dedup(df, keys, order)
+        assert whole.columns == df.columns
+        best = {}
+        for r in df.collect():
+            first = lambda v: (v is not None, v)
+            rank = (*[first(x) for x in (None if r.day is None else -r.day.toordinal(), r.code, r.units)], *[first(r[c]) for c in df.columns if c not in keys])
+            key = tuple(r[c] for c in keys)
+            best[key] = min(best.get(key, (rank, r)), (rank, r), key=lambda x: x[0])
+        assert sorted(map(str, whole.collect())) == sorted(str(r) for _, r in best.values())
+        others = [c for c in df.columns if c not in keys]
+        for some in [*combinations(others, 1), *combinations(others, 3)]:
+            read = clean.dedup(df, keys, order, some, told)
+            assert read.columns == [c for c in df.columns if c in keys or c in some]
+            assert sorted(map(str, read.collect())) == sorted(map(str, whole.select(*read.columns).collect())), some
+
+
+def test_drug_dimension_reads_no_columns_it_does_not_need(spark):
+    import __spark_entry__ as E
+    from conftest import SMALL
+
+    for name, unread in (("j3_dim_drugs", ["l_linestatus", "l_returnflag", "p_size", "o_orderpriority"]), ("q_mart_quality_report", ["l_linestatus", "p_size"])):
+        plan = E.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "l_quantity" in plan and not [c for c in unread if c in plan], name
+
+
 def test_load_audit_counts(spark):
     df = ae_rows(spark, [ae("C1"), ae("C1", age=3), ae(None)])
     r = clean.load_audit({"adverse_events": df}).collect()[0]
