@@ -261,7 +261,7 @@ def fit_by_rows(
         if norm <= tolerance * total or steps == max_steps:
             break
         steps += 1
-        kg, g_free = kr, r_free
+        kg, g_free = kr.copy(), r_free.copy()
         # conjugate gradients on H d = -g
         d, kd, d_free = np.zeros_like(a), np.zeros_like(a), np.zeros(classes)
         p, kp, p_free = r.copy(), kr.copy(), r_free.copy()
@@ -274,12 +274,17 @@ def fit_by_rows(
             if curve <= 1e-12 * float((p * kp).sum() + (p_free * p_free).sum()):
                 break
             length = rr / curve
-            d, kd, d_free = d + length * p, kd + length * kp, d_free + length * p_free
-            r, kr, r_free = r - length * hp, kr - length * multiplied(hp), r_free - length * h_free
+            for held, step in ((d, p), (kd, kp), (d_free, p_free)):
+                held += length * step
+            kr -= length * multiplied(hp)
+            for held, step in ((r, hp), (r_free, h_free)):
+                held -= length * step
             left = max(0.0, float((r * kr).sum() + (r_free * r_free).sum()))
             if left**0.5 <= goal:
                 break
-            p, kp, p_free = r + (left / rr) * p, kr + (left / rr) * kp, r_free + (left / rr) * p_free
+            for held, rest in ((p, r), (kp, kr), (p_free, r_free)):
+                held *= left / rr
+                held += rest
             rr = left
         falls, scale = -float((kg * d).sum() + (g_free * d_free).sum()), 1.0
         while True:

@@ -156,3 +156,30 @@ def test_fit_without_rows_scores_by_the_first_class(spark):
     model = severity.train_severity(none)
     got = severity.score_severity(model, _narratives(spark).filter("case_id > 88")).collect()
     assert {(r.case_id, r.predicted_severity) for r in got} == {(90, None), (91, "mild")}
+
+
+def test_a_fit_leaves_no_products_on_the_driver(spark, monkeypatch):
+    """Every product's operand is given up on the driver too, once it is used."""
+    import os
+
+    from rxlake.operators import severity
+
+    made, sc = [], spark.sparkContext
+    plain = type(sc).broadcast
+    monkeypatch.setattr(type(sc), "broadcast", lambda self, value: made.append(plain(self, value)) or made[-1])
+    severity.train_severity(_narratives(spark))
+    assert len(made) > 4 and sum(os.path.exists(b._path) for b in made) <= 2  # rows' ids, weights by row  # noqa: SLF001
+
+
+def test_split_rows_meet_their_labels_once(spark):
+    """Passes over the split read written rows."""
+    from conftest import SMALL
+    from rxlake.operators import severity
+    from rxlake.plans import q_severity
+
+    split = q_severity._split(spark, SMALL)  # noqa: SLF001
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and "FileScan" in plan.replace("Scan parquet", "FileScan")
+    again = severity.stratified_split(q_severity._narratives(spark, SMALL), seed=q_severity.SEED)  # noqa: SLF001
+    assert split.schema.simpleString() == again.schema.simpleString()
+    assert sorted(map(str, split.collect())) == sorted(map(str, again.collect()))
