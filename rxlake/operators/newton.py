@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 1024
+SLICE_ROWS = 1 << 13  # of a fit by rows, worked on at a time
 PACKED = "rows long, ends binary, indices binary, vals binary, label binary, weight binary"
 
 
@@ -222,6 +223,11 @@ def fit_multinomial(
     return Fit(w[:, :-1], w[:, -1] - w[:, -1].mean(), objective, norm, steps, products)
 
 
+def _whole(x: np.ndarray) -> np.ndarray:
+    """With the last class, which is minus the others' sum."""
+    return np.vstack((x, -x.sum(axis=0)))
+
+
 def fit_by_rows(
     gram: Callable[[np.ndarray], np.ndarray], label: np.ndarray, weight: np.ndarray, classes: int, l2: float,
     tolerance: float = 1e-5, max_steps: int = 50, max_products: int = 60,
@@ -230,70 +236,112 @@ def fit_by_rows(
     its factors by row (the gradient ``U' X + l2 A' X`` has the factors
     ``U + l2 A``).  ``gram`` multiplies rows x classes by ``X X'``, once per
     conjugate-gradient iteration and once per step; a trial of the line search
-    takes none."""
-    n, own = len(label), np.arange(len(label))
+    takes none.
+
+    The factors of a row sum to zero over the classes, so the last class is
+    neither kept nor multiplied.  Nine such vectors live at a time; what is made
+    of them on the way is made for some thousand rows at once."""
+    n = len(label)
+    if not n or classes < 2:
+        return RowFit(np.zeros((n, classes)), np.zeros(classes), 0.0, 0.0, 0, 0)
+    cuts = [slice(k, min(k + SLICE_ROWS, n)) for k in range(0, n, SLICE_ROWS)]
     total = float(weight.sum())
     products = 0
+    a, ka, d, kd, r, p, kp, hp = (np.zeros((classes - 1, n)) for _ in range(8))
+    free, d_free = np.zeros(classes), np.zeros(classes)
 
     def multiplied(m: np.ndarray) -> np.ndarray:
         nonlocal products
         products += 1
-        return gram(m)
-
-    def loss(z: np.ndarray) -> float:
-        top = z.max(axis=1)
-        return float((weight * (top + np.log(np.exp(z - top[:, None]).sum(axis=1)) - z[own, label])).sum())
+        return gram(m.T).T
+
+    def inner(x: np.ndarray, y: np.ndarray) -> float:
+        return sum(float((_whole(x[:, c]) * _whole(y[:, c])).sum()) for c in cuts)
+
+    def add(held: np.ndarray, step: float, other: np.ndarray) -> None:
+        for c in cuts:
+            held[:, c] += step * other[:, c]
+
+    def chances(c: slice) -> np.ndarray:
+        return softmax((_whole(ka[:, c]) + free[:, None]).T).T
+
+    def objective_at(scale: float) -> float:
+        """Where ``scale`` times the direction is added."""
+        out = 0.0
+        for c in cuts:
+            k = _whole(ka[:, c] + scale * kd[:, c])
+            z = k + (free + scale * d_free)[:, None]
+            top = z.max(axis=0)
+            out += float((weight[c] * (top + np.log(np.exp(z - top).sum(axis=0)) - z[label[c], np.arange(len(top))])).sum())
+            out += 0.5 * l2 * float((_whole(a[:, c] + scale * d[:, c]) * k).sum())
+        return out
 
-    a, ka, free = np.zeros((n, classes)), np.zeros((n, classes)), np.zeros(classes)
-    if not n:
-        return RowFit(a, free, 0.0, 0.0, 0, 0)
-    objective, first, norm, steps = loss(ka), 0.0, 0.0, 0
+    def descent(into: np.ndarray) -> np.ndarray:
+        """Minus the gradient's factors; returns those of the intercepts."""
+        of_free = np.zeros(classes)
+        for c in cuts:
+            u = chances(c)
+            u[label[c], np.arange(u.shape[1])] -= 1.0
+            u *= weight[c]
+            of_free -= u.sum(axis=1)
+            into[:, c] = -(u[:-1] + l2 * a[:, c])
+        return of_free
+
+    def curved() -> np.ndarray:
+        """The Hessian times ``p`` into ``hp``; returns the part of the intercepts."""
+        of_free = np.zeros(classes)
+        for c in cuts:
+            chance, z = chances(c), _whole(kp[:, c]) + p_free[:, None]
+            v = weight[c] * chance * (z - (chance * z).sum(axis=0))
+            of_free += v.sum(axis=1)
+            hp[:, c] = v[:-1] + l2 * p[:, c]
+        return of_free
+
+    objective, first, norm, steps = objective_at(0.0), 0.0, 0.0, 0
     while True:
-        chance = softmax(ka + free)
-        u = chance.copy()
-        u[own, label] -= 1.0
-        u *= weight[:, None]
-        r, r_free = -(u + l2 * a), -u.sum(axis=0)
+        r_free = descent(r)
         kr = multiplied(r)
-        rr = max(0.0, float((r * kr).sum() + (r_free * r_free).sum()))
+        rr = max(0.0, inner(r, kr) + float((r_free * r_free).sum()))
         norm = rr**0.5
         first = first or norm
         if norm <= tolerance * total or steps == max_steps:
             break
         steps += 1
-        kg, g_free = kr.copy(), r_free.copy()
         # conjugate gradients on H d = -g
-        d, kd, d_free = np.zeros_like(a), np.zeros_like(a), np.zeros(classes)
-        p, kp, p_free = r.copy(), kr.copy(), r_free.copy()
+        for held in (d, kd, d_free):
+            held[...] = 0.0
+        p[...], kp[...], p_free = r, kr, r_free.copy()
         goal = min(0.1, (norm / first) ** 0.5) * norm
         for _ in range(max_products):
-            z = kp + p_free
-            v = weight[:, None] * chance * (z - (chance * z).sum(axis=1, keepdims=True))
-            hp, h_free = v + l2 * p, v.sum(axis=0)
-            curve = float((kp * hp).sum() + (p_free * h_free).sum())
-            if curve <= 1e-12 * float((p * kp).sum() + (p_free * p_free).sum()):
+            h_free = curved()
+            curve = inner(kp, hp) + float((p_free * h_free).sum())
+            if curve <= 1e-12 * (inner(p, kp) + float((p_free * p_free).sum())):
                 break
             length = rr / curve
-            for held, step in ((d, p), (kd, kp), (d_free, p_free)):
-                held += length * step
-            kr -= length * multiplied(hp)
-            for held, step in ((r, hp), (r_free, h_free)):
-                held -= length * step
-            left = max(0.0, float((r * kr).sum() + (r_free * r_free).sum()))
+            add(d, length, p)
+            add(kd, length, kp)
+            d_free += length * p_free
+            add(kr, -length, multiplied(hp))
+            add(r, -length, hp)
+            r_free -= length * h_free
+            left = max(0.0, inner(r, kr) + float((r_free * r_free).sum()))
             if left**0.5 <= goal:
                 break
             for held, rest in ((p, r), (kp, kr), (p_free, r_free)):
                 held *= left / rr
                 held += rest
             rr = left
-        falls, scale = -float((kg * d).sum() + (g_free * d_free).sum()), 1.0
+        start_free = descent(p)  # the step's first residual again; X X' is symmetric
+        falls, scale = -(inner(p, kd) + float((start_free * d_free).sum())), 1.0
         while True:
-            a_next, ka_next, free_next = a + scale * d, ka + scale * kd, free + scale * d_free
-            tried = loss(ka_next + free_next) + 0.5 * l2 * float((a_next * ka_next).sum())
+            tried = objective_at(scale)
             if tried <= objective + 1e-4 * scale * falls or scale < 1e-6:
                 break
             scale /= 2
         if tried >= objective:  # at the precision of the sum
             break
-        a, ka, free, objective = a_next, ka_next, free_next, tried
-    return RowFit(a, free - free.mean(), objective, norm, steps, products)
+        add(a, scale, d)
+        add(ka, scale, kd)
+        free += scale * d_free
+        objective = tried
+    return RowFit(_whole(a).T, free - free.mean(), objective, norm, steps, products)

@@ -183,3 +183,37 @@ def test_split_rows_meet_their_labels_once(spark):
     again = severity.stratified_split(q_severity._narratives(spark, SMALL), seed=q_severity.SEED)  # noqa: SLF001
     assert split.schema.simpleString() == again.schema.simpleString()
     assert sorted(map(str, split.collect())) == sorted(map(str, again.collect()))
+
+
+def test_a_fit_by_rows_keeps_few_vectors(monkeypatch):
+    """Of rows x classes, the driver holds a few vectors and no temporaries; the
+    slices it works on do not show in the result."""
+    import tracemalloc
+
+    rng = np.random.default_rng(11)
+    n, classes = 40_000, 4
+    x, y, w = rng.normal(size=(n, 6)), rng.integers(0, classes, n), rng.uniform(0.2, 3, n)
+    asked = []
+
+    def gram(m):
+        asked.append(m.shape)
+        return x @ (x.T @ m)
+
+    tracemalloc.start()
+    fit = newton.fit_by_rows(gram, y, w, classes, 0.5, tolerance=1e-7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 11 * n * classes * 8 and fit.newton_steps > 1
+    assert set(asked) == {(n, classes - 1)}  # the last class is minus the others' sum
+    assert np.allclose(fit.by_row.sum(axis=1), 0)
+    monkeypatch.setattr(newton, "SLICE_ROWS", n + 1)
+    whole = newton.fit_by_rows(gram, y, w, classes, 0.5, tolerance=1e-7)
+    assert np.allclose(fit.by_row, whole.by_row, atol=1e-6) and np.allclose(fit.intercepts, whole.intercepts, atol=1e-6)
+    hot = np.eye(classes)[y]
+    p = newton.softmax(x @ (fit.by_row.T @ x).T + fit.intercepts)
+    assert np.abs(((p - hot) * w[:, None]).T @ x + 0.5 * fit.by_row.T @ x).max() < 1e-5 * w.sum()
+
+
+def test_fit_by_rows_of_one_class():
+    one = newton.fit_by_rows(lambda m: m, np.zeros(3, np.int64), np.ones(3), 1, 1.0)
+    assert one.by_row.shape == (3, 1) and not one.by_row.any() and not one.intercepts.any()
