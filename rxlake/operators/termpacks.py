@@ -13,22 +13,27 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxlake.functions.text import terms_statement
+from rxlake.session import scratch_path
 
 # what runs in tasks is pickled by value: executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PACK_TEXTS = 2048
 SHARD_CHARS = 1 << 25  # characters of fitted text a shard stands for, about
+LOT_CHARS = 1 << 22  # characters of text that are weighed together, about
+COUNT_CHARS = 1 << 23  # and those whose terms are counted in one shard
 DIRECT_BYTES = 16 << 20  # of all tasks' sums that the driver adds up itself
 PACK = "shard int, part int, a binary, b binary, rows binary, terms binary, tf binary"
 TERMS = "shard int, terms binary, idf binary"
 MODEL = f"{TERMS}, weights binary"
+PIECE = "lot long, shard int, terms binary, checks binary, docs binary"
 BLOCK = "shard int, terms binary, idf binary, ends binary, rows binary, tf binary"
 
 
@@ -256,3 +261,93 @@ def weighed(model: DataFrame, packs: DataFrame, shards: int, parts: int, classes
     schema = "a long, b long, sq double, " + ", ".join(f"{n} double" for n in names)
     partial = _meeting(model, packs, shards, parts).mapInArrow(run, schema)
     return partial.groupBy("a", "b").agg(*[F.sum(n).alias(n) for n in ("sq", *names)])
+
+
+# ---------------------------------------------------------------- vectors of the fitted rows
+def _sorted_terms(lists: pa.ChunkedArray) -> tuple[np.ndarray, ...]:
+    """Terms of the rows by hash, check and row: where each stood, its row, hash
+    and check, and where a term and where an entry (term and row) begins."""
+    lists = lists.combine_chunks()
+    flat = lists.flatten()
+    row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    term, check = flat.field(0).to_numpy(zero_copy_only=False).view(np.uint64), flat.field(1).to_numpy(zero_copy_only=False)
+    order = np.lexsort((check, term))  # stable: rows stay in order
+    row, term, check = row[order], term[order], check[order]
+    first = np.ones(len(term), bool)
+    first[1:] = (term[1:] != term[:-1]) | (check[1:] != check[:-1])
+    entry = first.copy()
+    entry[1:] |= row[1:] != row[:-1]
+    return order, row, term, check, first, entry
+
+
+def fitted_vectors(rows: DataFrame, n: int, min_df: int, id_col: str, text: str) -> DataFrame:
+    """``id, term, weight``: tf x idf at length one of every row, idf from the
+    ``n`` rows themselves (terms in ``min_df`` of them).
+
+    The rows are written once, in lots.  A lot tells each shard the hashes (96
+    bits) of its distinct terms and in how many of its rows they stand; the shard
+    answers with the sums over all lots in the order asked, and the lot, met with
+    its rows again, weighs them.  No entry of a row travels, and no term's text."""
+    spark = rows.sparkSession
+    kept = rows.select(id_col, text)
+
+    def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, first = 0, TaskContext.get().partitionId() << 33
+        for b in it:
+            if b.num_rows:
+                upto = before + np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+                before = int(upto[-1])
+                yield pa.RecordBatch.from_arrays([pa.array(first + upto // LOT_CHARS), *b.columns], ["lot", id_col, text])
+
+    schema = kept.withColumn("lot", F.lit(0).cast("long")).select("lot", id_col, text).schema
+    path = scratch_path(spark, "vector-lots")
+    kept.mapInArrow(deal, schema).write.option("compression", "zstd").parquet(path)
+    lots = spark.read.schema(schema).parquet(path)
+    chars = lots.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    shards = 1 << min(20, max(5, (chars // COUNT_CHARS).bit_length()))
+    shift = np.uint64(65 - shards.bit_length())
+    hashed = F.transform("terms", lambda t: F.struct(F.xxhash64(t).alias("h"), F.hash(t).alias("c")))
+    terms = SQLTransformer(statement=terms_statement(text)).transform(lots.repartition("lot"))  # texts travel, not their terms
+
+    def ask(lot: pa.Table) -> pa.Table:
+        _, _, term, check, first, entry = _sorted_terms(lot["hashed"])
+        start = np.flatnonzero(first)
+        docs = np.add.reduceat(entry, start, dtype=np.int32) if len(start) else np.empty(0, np.int32)
+        term, check = term[start], check[start]
+        edge = np.searchsorted(term >> shift, np.arange(shards + 1, dtype=np.uint64))
+        held = [(k, slice(lo, hi)) for k, (lo, hi) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if hi > lo]
+        return pa.table([
+            pa.array([lot["lot"][0].as_py()] * len(held), pa.int64()), pa.array([k for k, _ in held], pa.int32()),
+            *[_binary([x[cut] for _, cut in held]) for x in (term, check, docs)]], [f.split()[0] for f in PIECE.split(", ")])
+
+    def answer(shard: pa.Table) -> pa.Table:
+        term, check, docs = (
+            np.concatenate([np.frombuffer(x.as_buffer(), t) for x in shard[c]]) for c, t in (("terms", np.uint64), ("checks", np.int32), ("docs", np.int32)))
+        order = np.lexsort((check, term))
+        by_term, by_check = term[order], check[order]
+        first = np.ones(len(order), bool)
+        first[1:] = (by_term[1:] != by_term[:-1]) | (by_check[1:] != by_check[:-1])
+        total = np.empty(len(order), np.int64)
+        total[order] = np.add.reduceat(docs[order], np.flatnonzero(first), dtype=np.int64)[np.cumsum(first) - 1]
+        ends = np.cumsum(pc.binary_length(shard["docs"]).to_numpy() // 4)
+        return pa.table([shard["lot"], shard["shard"], _binary(np.split(total, ends[:-1]))], ["lot", "shard", "docs"])
+
+    def weigh(lot: pa.Table, answers: pa.Table) -> pa.Table:
+        order, row, _, _, first, entry = _sorted_terms(lot["hashed"])
+        told = [np.frombuffer(x.as_buffer(), np.int64) for x in answers.sort_by("shard")["docs"]]
+        docs = np.concatenate([*told, np.empty(0, np.int64)])
+        assert len(docs) == first.sum(), "a lot's rows have changed"
+        start = np.flatnonzero(entry)
+        tf, of = np.diff(np.append(start, len(entry))), (np.cumsum(first) - 1)[start]
+        known = docs[of] >= min_df
+        start, tf, of = start[known], tf[known], of[known]
+        at = row[start]
+        w = tf * (np.log((1.0 + n) / (1.0 + docs)) + 1.0)[of]
+        w /= np.sqrt(np.bincount(at, w * w, lot.num_rows))[at]
+        return pa.table([lot[id_col].take(pa.array(at)), lot["terms"].combine_chunks().flatten().take(pa.array(order[start])), pa.array(w)], [id_col, "term", "weight"])
+
+    pieces = terms.select("lot", hashed.alias("hashed")).groupBy("lot").applyInArrow(ask, PIECE)
+    answers = pieces.groupBy("shard").applyInArrow(answer, "lot long, shard int, docs binary")
+    texts = terms.select("lot", id_col, "terms", hashed.alias("hashed"))
+    out = kept.select(id_col, F.lit("").alias("term"), F.lit(0.0).alias("weight")).schema
+    return texts.groupBy("lot").cogroup(answers.groupBy("lot")).applyInArrow(weigh, out)

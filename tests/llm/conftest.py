@@ -1,6 +1,7 @@
 import zlib
 
 import pytest
+from oracle import MEDIUM, SMALL  # noqa: F401 - either conftest may be the one imported by name
 from pyspark.sql import types as T
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import math
 import os
+import random
 from collections import Counter
 
 import pytest
@@ -527,3 +528,33 @@ def test_lines_are_documents(spark, tmp_dir):
         f.write('{"case_id": "A", "serious_flag": true}\n\n[{"case_id": "B"}, {"case_id": "C"}]\n{"case_id": "D"} {"case_id": "E"}\n')
     docs = alert_src.with_reports(alert_src.read_alert_documents(spark, tmp_dir, layout="lines"))
     assert _ledger(ts.delivery_ledger(docs)) == {"bulk.json": (4, 2, 2, 1)}
+
+
+def test_vectors_of_the_fitted_rows_move_no_entries(spark, monkeypatch):
+    """Lots of a few rows, rows that repeat, no text, no id: the vectors of the
+    other path; texts and hashes are all that is shuffled."""
+    from rxlake.operators import termpacks
+
+    monkeypatch.setattr(termpacks, "LOT_CHARS", 300)
+    rng = random.Random(8)
+    rows = [(k % 50 if k % 7 else None, " ".join(f"w{rng.randint(0, 90)}" for _ in range(rng.randint(0, 40)))) for k in range(120)]
+    rows += [rows[3], rows[3], (3, rows[4][1]), (5, ""), (6, None), (None, None), (8, "alone")]
+    df = spark.createDataFrame(rows, "case_id long, narrative string").repartition(3)
+    features = severity.fit_features(df, min_df=3)
+    fitted = severity.weighted_terms(features, df)
+    assert fitted.schema.simpleString() == "struct<case_id:bigint,term:string,weight:double>"
+    plan = fitted._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    told = lambda d: Counter((r.case_id, r.term, round(r.weight, 9)) for r in d.collect())
+    assert told(fitted) == told(severity.weighted_terms(features, df.select("*")))
+    none = df.filter("case_id > 1000")
+    assert severity.weighted_terms(severity.fit_features(none), none).collect() == []
+
+
+def test_counting_known_rows_carries_no_text_through_the_join(spark):
+    from oracle import SMALL
+    from rxlake.sources import adapters
+    from rxlake.sources.tables import Tables
+
+    plan = severity.known_rows(adapters.labelled_narratives(Tables(spark, SMALL))).groupBy().count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(text" in plan and not [x for x in plan.split("\n") if "Project" in x and "text#" in x]
