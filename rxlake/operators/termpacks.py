@@ -37,9 +37,9 @@ PIECE = "lot long, shard int, terms binary, checks binary, docs binary"
 BLOCK = "shard int, terms binary, idf binary, ends binary, rows binary, tf binary"
 
 
-def shards_for(chars: int) -> int:
-    """A power of two of shards, 32 to 4,096."""
-    return 1 << min(12, max(5, int(chars // SHARD_CHARS).bit_length()))
+def shards_for(chars: int, each: int = SHARD_CHARS, most: int = 12) -> int:
+    """A power of two of shards, 32 to 2 ** ``most`` (4,096)."""
+    return 1 << min(most, max(5, int(chars // each).bit_length()))
 
 
 def text_key(text: str) -> tuple[Column, Column]:
@@ -304,7 +304,7 @@ def fitted_vectors(rows: DataFrame, n: int, min_df: int, id_col: str, text: str)
     kept.mapInArrow(deal, schema).write.option("compression", "zstd").parquet(path)
     lots = spark.read.schema(schema).parquet(path)
     chars = lots.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    shards = 1 << min(20, max(5, (chars // COUNT_CHARS).bit_length()))
+    shards = shards_for(chars, COUNT_CHARS, 20)
     shift = np.uint64(65 - shards.bit_length())
     hashed = F.transform("terms", lambda t: F.struct(F.xxhash64(t).alias("h"), F.hash(t).alias("c")))
     terms = SQLTransformer(statement=terms_statement(text)).transform(lots.repartition("lot"))  # texts travel, not their terms

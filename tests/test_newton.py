@@ -217,3 +217,55 @@ def test_a_fit_by_rows_keeps_few_vectors(monkeypatch):
 def test_fit_by_rows_of_one_class():
     one = newton.fit_by_rows(lambda m: m, np.zeros(3, np.int64), np.ones(3), 1, 1.0)
     assert one.by_row.shape == (3, 1) and not one.by_row.any() and not one.intercepts.any()
+
+
+def _many_texts(spark, n=150):
+    rng = np.random.default_rng(17)
+    classes = ["mild", "moderate", "severe", "life-threatening"]
+    rows = [(k, " ".join(f"w{t}" for t in rng.integers(0, 200, 30)) + f" {classes[k % 4][:4]}" * int(rng.integers(0, 3)), classes[k % 4]) for k in range(n)]
+    rows += [(n + k, rows[k][1], rows[k][2]) for k in range(8)] + [(900, "", "mild"), (901, "zzz", "severe"), (902, None, "mild"), (903, "w1 w2", None)]
+    return spark.createDataFrame(rows, "case_id long, narrative string, severity_label string").repartition(3)
+
+
+def _weights(model):
+    out = {}
+    for r in model.weights.collect():
+        out |= dict(zip(np.frombuffer(r.terms, np.int64).tolist(), np.frombuffer(r.weights).reshape(len(model.classes), -1).T, strict=True))
+    return out
+
+
+def test_more_rows_than_the_driver_holds_are_all_fitted(spark, monkeypatch):
+    """Beyond the driver's share nothing is left out: the same model from vectors
+    that lie in ranges over the executors; the driver takes sums only."""
+    from rxlake.operators import rangefit, severity
+
+    train, asked = _many_texts(spark), _many_texts(spark, 60)
+    seen, plain = [], severity.fit_features
+    monkeypatch.setattr(severity, "fit_features", lambda *a, **k: seen.append(plain(*a, **k)) or seen[-1])
+    whole = severity.train_severity(train)
+    for name, value in (("RANGE_BITS", 4), ("RANGES_A_TASK", 2), ("SPOOL_BYTES", 512), ("KEPT_PRODUCTS", 3)):
+        monkeypatch.setattr(rangefit, name, value)
+    taken, arrow = [], type(train).toArrow
+    monkeypatch.setattr(type(train), "toArrow", lambda self: taken.append(1) or arrow(self))
+    told, collect = [], rangefit.RDD.collect
+    monkeypatch.setattr(rangefit.RDD, "collect", lambda self: told.append(collect(self)) or told[-1])
+    parts = severity.train_severity(train, driver_rows=20)
+    assert not taken and len(told) > 20 and max(np.asarray(x).size for some in told for x in some) <= len(parts.classes) + 2
+    assert [f.rows for f in seen] == [160, 160]
+    first, second = _weights(whole), _weights(parts)
+    assert first.keys() == second.keys() and len(first) > 200
+    assert max(np.abs(first[t] - second[t]).max() for t in first) < 1e-4 * max(np.abs(w).max() for w in first.values())
+    assert np.allclose(whole.intercepts, parts.intercepts, atol=1e-4)
+    predicted = [sorted((r.case_id, r.predicted_severity or "") for r in severity.score_severity(m, asked).collect()) for m in (whole, parts)]
+    assert predicted[0] == predicted[1]
+    monkeypatch.undo()
+    assert not [x for x in spark.sparkContext._jsc.getPersistentRDDs().values() if "Python" in str(x) or "valueOfPair" in str(x)]  # noqa: SLF001
+
+
+def test_texts_without_terms_fit_by_ranges(spark):
+    """No vocabulary at all: intercepts only, as on the driver."""
+    from rxlake.operators import severity
+
+    train = spark.createDataFrame([(k, f"x{k}", "severe" if k % 3 else "mild") for k in range(30)], "case_id long, narrative string, severity_label string")
+    whole, parts = severity.train_severity(train), severity.train_severity(train, driver_rows=5)
+    assert _weights(whole) == _weights(parts) == {} and np.allclose(whole.intercepts, parts.intercepts, atol=1e-6)
